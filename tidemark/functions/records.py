@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,7 +44,7 @@ def from_records(records: DataFrame, fg: FeatureGroup, names: Sequence[str] | No
     for f in fg.schema.fields:
         if names is not None and f.name not in names:
             continue
-        found = F.get(F.filter("record", lambda r, name=f.name: r["name"] == name), F.lit(0))
+        found = F.get(F.filter("record", _named(f.name)), F.lit(0))
         if isinstance(f.dataType, T.ArrayType):
             columns.append(found["values"].cast(f.dataType).alias(f.name))
         else:
@@ -52,6 +52,10 @@ def from_records(records: DataFrame, fg: FeatureGroup, names: Sequence[str] | No
     return records.select(*columns)
 
 
+def _named(name: str) -> Callable[[Column], Column]:
+    return lambda r: r["name"] == name
+
+
 def long_to_rows(long: DataFrame, fg: FeatureGroup) -> DataFrame:
     """Typed rows from the long form: one aggregation per record, no pivot over distinct names."""
     picked = []

@@ -23,6 +23,8 @@ from tidemark.session import durable
 DRIVER_LABELS = 10_000
 MAX_CATEGORIES = 2_000
 
+INFERRED = ("bigint", "double", "timestamp")
+
 # Age bins and their labels.
 AGE_EDGES = (18, 30, 40, 50, 60, 70, 90)
 AGE_LABELS = ("18-29", "30-39", "40-49", "50-59", "60-69", "70-plus")
@@ -188,22 +190,27 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def infer_types(df: DataFrame) -> dict[str, str]:
-    """Narrowest of bigint, double, timestamp, string that every value of a text column fits.
-
-    One aggregation over the whole frame, so no later value can contradict it.
-    """
+    """Narrowest of bigint, double, timestamp, string that every value of a text column fits."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    if not text:
+    # A few rows rule out most types cheaply; the whole frame decides among the rest.
+    likely = _fitting(df.limit(1000), {c: INFERRED for c in text}, empty=True)
+    fits = _fitting(df, likely, empty=False)
+    return {c: fits[c][0] if fits.get(c) else "string" for c in text}
+
+
+def _fitting(df: DataFrame, candidates: dict[str, Sequence[str]], empty: bool) -> dict[str, list[str]]:
+    """The candidate types that every value of a column casts to; ``empty`` says if none at all do."""
+    tests = [(c, t) for c, types in candidates.items() for t in types]
+    if not tests:
         return {}
-    tests = ("bigint", "double", "timestamp")
     counts = df.agg(
-        *[F.count(c).alias(f"{i}_all") for i, c in enumerate(text)],
-        *[F.count(F.col(c).try_cast(t)).alias(f"{i}_{t}") for i, c in enumerate(text) for t in tests],
+        *[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"{c} misses {t}") for c, t in tests],
+        *[F.count(c).alias(f"{c} values") for c in candidates],
     ).first()
-    out = {}
-    for i, c in enumerate(text):
-        fits = [t for t in tests if counts[f"{i}_{t}"] == counts[f"{i}_all"] and counts[f"{i}_all"] > 0]
-        out[c] = fits[0] if fits else "string"
+    out: dict[str, list[str]] = {}
+    for c, t in tests:
+        if counts[f"{c} misses {t}"] == 0 and (empty or counts[f"{c} values"] > 0):
+            out.setdefault(c, []).append(t)
     return out
 
 

@@ -18,6 +18,7 @@ from tidemark.operators.latest import (
     time_literal,
 )
 from tidemark.operators.pit import Skew, pit_recent
+from tidemark.sources.files import write_csv
 
 
 def suffixed(left: Sequence[str], right: Sequence[str], suffix: str = "_{}") -> dict[str, str]:
@@ -202,7 +203,7 @@ class Dataset:
         return out
 
     def to_csv(self, path: str, header: bool = True) -> None:
-        self.to_dataframe().write.option("header", header).csv(path)
+        write_csv(self.to_dataframe(), path, header)
 
     def _join(self, base: DataFrame, target: _Target) -> DataFrame:
         fg, history = target.fg, target.history

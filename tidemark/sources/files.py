@@ -16,6 +16,12 @@ from tidemark.model import PARTITION_COLUMNS, FeatureGroup
 from tidemark.operators.latest import as_time
 from tidemark.operators.select import stamp
 
+# CSV keeps microseconds; Spark's default would cut them to milliseconds.
+CSV_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 GRAINS = PARTITION_COLUMNS  # year, month, day, hour: a layout uses a leading part of them
 
 
@@ -115,18 +121,19 @@ def _bound(moment: datetime, grain: str, lower: bool) -> Column:
 
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", **options: Any) -> None:
     """A query result as files: parquet, orc, json, csv; avro and text where available."""
-    df.write.format(fmt).options(**options).save(path)
+    defaults = CSV_TIMES if fmt == "csv" else {}
+    df.write.format(fmt).options(**{**defaults, **options}).save(path)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = False, sep: str = ",") -> None:
-    df.write.option("header", header).option("sep", sep).csv(path)
+    df.write.options(header=header, sep=sep, **CSV_TIMES).csv(path)
 
 
 def write_by_month(df: DataFrame, time: str, path: str, fmt: str = "csv") -> None:
     """One folder per month, named ``year_month=2020-1``; each row is in exactly one."""
     rows = df.withColumn("year_month", year_month(F.col(time)))
     writer = rows.hint("rebalance", "year_month").write.partitionBy("year_month")
-    writer.option("header", True).format(fmt).save(path)
+    writer.options(header=True, **CSV_TIMES).format(fmt).save(path)
 
 
 def sample_file(df: DataFrame, n: int = 10) -> DataFrame:
