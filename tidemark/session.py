@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+_local_dirs: dict[str, str] = {}
+
 
 def local_session(cores: int | str = "*", app: str = "tidemark", memory: str = "12g") -> SparkSession:
     """A session for tests and benchmarks on one machine; a cluster brings its own."""
@@ -47,9 +49,10 @@ def shared_dir(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="tidemark-")
+    return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
