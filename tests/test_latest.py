@@ -6,6 +6,7 @@ from helpers import at, history, rows
 from tidemark.model import FeatureGroup
 from tidemark.operators import latest as L
 from tidemark.operators import select as S
+from tidemark.skew import Skew
 
 
 def test_ties_are_broken_by_api_then_write_then_value(spark):
@@ -91,6 +92,22 @@ def test_salted_ranking_equals_plain_ranking(spark, monkeypatch, ties):
     assert rows(L.latest(df, fg, n=7, ties=ties)) == plain
 
 
+@pytest.mark.parametrize("order", ["full", "event_time"])
+@pytest.mark.parametrize("n", [1, 3])
+def test_large_ties_kept_by_join(spark, order, n):
+    rng = random.Random(4)
+    df, fg = history(
+        spark,
+        [(rng.choice([1, 1, 1, 2, None]), rng.choice([1, 5, 5, None]), float(rng.randrange(3)), rng.randrange(2), 1, False)
+         for _ in range(200)],
+    )
+    every = Skew(target_rows=1, fraction=0.0, min_bytes=0)
+    plain = rows(L.latest(df, fg, ties="all", order=order, n=n, skew=None))
+    joined = L.latest(df, fg, ties="all", order=order, n=n, skew=every)
+    assert "LeftSemi" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(joined) == plain
+
+
 def test_ranking_happens_before_the_shuffle(spark):
     df, fg = history(spark, [(1, 1, 1.0, 1, 1, False)])
     plan = L.latest(df, fg)._jdf.queryExecution().executedPlan().toString()

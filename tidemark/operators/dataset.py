@@ -17,7 +17,8 @@ from tidemark.operators.latest import (
     rows_as_of_write_time,
     time_literal,
 )
-from tidemark.operators.pit import Skew, pit_recent
+from tidemark.operators.pit import pit_recent
+from tidemark.skew import Skew
 from tidemark.sources.files import write_csv
 
 

@@ -17,6 +17,7 @@ from tidemark.model import (
     WRITE_TIME,
     FeatureGroup,
 )
+from tidemark.skew import Skew, hot_groups
 
 # Up to this n Catalyst ranks inside each map task before the shuffle
 # (spark.sql.optimizer.windowGroupLimitThreshold); beyond it we pre-rank ourselves.
@@ -78,6 +79,7 @@ def latest(
     n: int = 1,
     ids: DataFrame | Sequence | None = None,
     features: Sequence[str] | None = None,
+    skew: Skew | None = Skew(),
 ) -> DataFrame:
     """The newest ``n`` rows per record id.
 
@@ -88,7 +90,9 @@ def latest(
     as_of    only rows with event time up to this instant take part
 
     Ranking happens inside each map task before the shuffle, so a record id
-    holding a large share of the history sends at most ``n`` rows per task.
+    holding a large share of the history sends at most ``n`` rows per task. Tied
+    rows that are all to be kept could still be too many for one task: in large
+    inputs they are counted, and a large tie is kept by a join instead.
     """
     if ties not in ("first", "all"):
         raise ValueError(f"ties must be 'first' or 'all', not {ties!r}")
@@ -109,15 +113,49 @@ def latest(
         rank = F.row_number()
     else:
         rank = F.dense_rank()
-    if n > GROUP_LIMIT:
-        df = _salted_limit(df, fg.record_id, newest, rank, n)
-    df = df.withColumn(_RANK, rank.over(Window.partitionBy(fg.record_id).orderBy(*newest))).where(F.col(_RANK) <= n)
+    if ties == "all" and skew is not None and skew.applies(df) and _large_ties(df, fg, order, skew):
+        df = _joined_ties(df, fg, order, n)
+    else:
+        df = _ranked(df, fg, newest, rank, n)
     if deleted == "after":
         df = df.where(~F.col(IS_DELETED))
-    df = df.drop(_RANK)
     return df.select(*features) if features is not None else df
 
 
+def _ranked(df: DataFrame, fg: FeatureGroup, newest: list[Column], rank: Column, n: int) -> DataFrame:
+    if n > GROUP_LIMIT:
+        df = _salted_limit(df, fg.record_id, newest, rank, n)
+    w = Window.partitionBy(fg.record_id).orderBy(*newest)
+    return df.withColumn(_RANK, rank.over(w)).where(F.col(_RANK) <= n).drop(_RANK)
+
+
+def _order_values(df: DataFrame, fg: FeatureGroup, order: str) -> dict[str, Column]:
+    values = [as_time(df, fg.event_time)]
+    if order == "full":
+        values += [F.col(c) for c in (API_TIME, WRITE_TIME) if c in df.columns]
+    return {f"__o{i}": v for i, v in enumerate(values)}
+
+
+def _large_ties(df: DataFrame, fg: FeatureGroup, order: str, skew: Skew) -> bool:
+    values = _order_values(df, fg, order)
+    narrow = df.select(F.col(fg.record_id).alias("__id"), *[v.alias(k) for k, v in values.items()])
+    return hot_groups(narrow, narrow.columns, skew) is not None
+
+
+def _joined_ties(df: DataFrame, fg: FeatureGroup, order: str, n: int) -> DataFrame:
+    """Rank distinct times only, then keep the rows at those times by a semi join.
+
+    The join may split a tie over many tasks, which a window cannot.
+    """
+    values = _order_values(df, fg, order)
+    timed = df.withColumns(values)
+    times = timed.select(F.col(fg.record_id).alias("__id"), *[F.col(k).alias(f"{k}r") for k in values]).distinct()
+    w = Window.partitionBy("__id").orderBy(*[F.col(f"{k}r").desc_nulls_last() for k in values])
+    top = times.withColumn(_RANK, F.row_number().over(w)).where(F.col(_RANK) <= n).drop(_RANK)
+    same = [F.col(fg.record_id).eqNullSafe(F.col("__id")), *[F.col(k).eqNullSafe(F.col(f"{k}r")) for k in values]]
+    return timed.join(top, same, "left_semi").drop(*values)
+
+
 def _present_system(df: DataFrame) -> list[str]:
     return [c for c in SYSTEM_COLUMNS if c in df.columns]
 

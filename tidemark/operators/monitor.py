@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -65,26 +66,52 @@ def profile_topk(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFram
     return ranked.where(F.col("position") <= k).select("name", "value", "n", "position")
 
 
-def profile_histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
+@dataclass(frozen=True)
+class Spread:
+    """Range and moments of one column."""
+
+    low: float
+    high: float
+    mean: float
+    deviation: float
+
+
+def spreads(df: DataFrame, columns: Sequence[str]) -> dict[str, Spread]:
+    """Range, mean and population deviation of the columns that hold values, in one pass."""
+    measures = (F.min, F.max, F.avg, F.stddev_pop)
+    row = df.agg(*[m(F.col(c).cast("double")) for c in columns for m in measures]).first()
+    found = {c: row[4 * i : 4 * i + 4] for i, c in enumerate(columns)}
+    return {c: Spread(*values) for c, values in found.items() if values[0] is not None}
+
+
+def profile_histogram(
+    df: DataFrame, columns: Sequence[str], bins: int = 10, spread: dict[str, Spread] | None = None
+) -> DataFrame:
     """Row counts in bins of equal width; the highest bin includes the maximum."""
-    spans = df.agg(*[f(F.col(c).cast("double")) for c in columns for f in (F.min, F.max)]).first()
     number = {}
-    for i, c in enumerate(columns):
-        low, high = spans[2 * i], spans[2 * i + 1]
-        if low is None:
-            continue
-        width = (high - low) / bins or 1.0
-        number[c] = F.least(F.floor((F.col(c).cast("double") - F.lit(low)) / F.lit(width)), F.lit(bins - 1).cast("long"))
-    binned = df.select(*[n.alias(c) for c, n in number.items()]).unpivot([], list(number), "name", "bin")
-    return binned.where("bin IS NOT NULL").groupBy("name", "bin").agg(F.count(F.lit(1)).alias("n"))
+    for c, s in (spread or spreads(df, columns)).items():
+        width = (s.high - s.low) / bins or 1.0
+        step = F.floor((F.col(c).cast("double") - F.lit(s.low)) / F.lit(width))
+        number[c] = F.least(step, F.lit(bins - 1).cast("long"))
+    return _counted(df, number, "bin")
 
 
-def profile_zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def profile_zscore(df: DataFrame, columns: Sequence[str], spread: dict[str, Spread] | None = None) -> DataFrame:
     """Row counts by whole standard deviations from the mean, -4 and 4 holding all beyond."""
-    scaled = standard_scale(df, list(columns)).select(*columns)
-    whole = _long(scaled, columns, "double").where("value IS NOT NULL")
-    step = F.greatest(F.least(F.floor("value"), F.lit(4).cast("long")), F.lit(-4).cast("long"))
-    return whole.groupBy("name", step.alias("deviations")).agg(F.count(F.lit(1)).alias("n"))
+    number = {
+        c: F.greatest(F.least(F.floor(score), F.lit(4).cast("long")), F.lit(-4).cast("long"))
+        for c, score in _scores(spread or spreads(df, columns)).items()
+    }
+    return _counted(df, number, "deviations")
+
+
+def _scores(spread: dict[str, Spread]) -> dict[str, Column]:
+    return {c: (F.col(c).cast("double") - F.lit(s.mean)) / F.lit(s.deviation or 1.0) for c, s in spread.items()}
+
+
+def _counted(df: DataFrame, number: dict[str, Column], output: str) -> DataFrame:
+    long = df.select(*[n.alias(c) for c, n in number.items()]).unpivot([], list(number), "name", output)
+    return long.where(F.col(output).isNotNull()).groupBy("name", output).agg(F.count(F.lit(1)).alias("n"))
 
 
 def profile_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -101,7 +128,8 @@ def profile_correlation(df: DataFrame, columns: Sequence[str] | None = None) ->
 def profile(df: DataFrame, columns: Sequence[str] | None = None, top: int = TOP, bins: int = 10) -> DataFrame:
     """One row per column with all statistics, as a report stores them."""
     numeric = list(columns or numeric_columns(df))
-    out = profile_numeric(df, numeric).select(
+    spread = spreads(df, numeric)
+    basic = profile_numeric(df, numeric).select(
         "name",
         F.col("value_count").alias("size"),
         F.col("missing_count").alias("missingValuesCount"),
@@ -110,14 +138,19 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, top: int = TOP,
         "mean",
         F.col("standard_deviation").alias("standardDeviation"),
     )
-    entropy = profile_entropy(df, numeric).withColumnRenamed("distinct_count", "distinctValuesCount")
-    common = _gather(profile_topk(df, numeric, top), ["position", "value", "n"], "mostCommonValues")
-    spread = _gather(profile_histogram(df, numeric, bins), ["bin", "n"], "valueDistribution")
-    scores = _gather(profile_zscore(df, numeric), ["deviations", "n"], "zScoreDistribution")
-    out = out.join(entropy, "name", "left")
-    for part in (common, spread, scores, *_extremes(df, numeric, top), _outliers(df, numeric, top)):
-        out = out.join(part, "name", "left")
-    return out
+    parts = [
+        profile_entropy(df, numeric).withColumnRenamed("distinct_count", "distinctValuesCount"),
+        _gather(profile_topk(df, numeric, top), ["position", "value", "n"], "mostCommonValues"),
+        _gather(profile_histogram(df, numeric, bins, spread), ["bin", "n"], "valueDistribution"),
+        _gather(profile_zscore(df, numeric, spread), ["deviations", "n"], "zScoreDistribution"),
+        *_extremes(df, numeric, top),
+        _outliers(df, spread, top),
+    ]
+    # Every part has one row per column, so the parts are laid over each other.
+    united = basic
+    for part in parts:
+        united = united.unionByName(part, allowMissingColumns=True)
+    return united.groupBy("name").agg(*[F.max(c).alias(c) for c in united.columns if c != "name"])
 
 
 def _gather(df: DataFrame, fields: list[str], output: str) -> DataFrame:
@@ -126,14 +159,15 @@ def _gather(df: DataFrame, fields: list[str], output: str) -> DataFrame:
 
 
 def _extremes(df: DataFrame, columns: Sequence[str], k: int) -> list[DataFrame]:
-    values = _long(df, columns, "double").where("value IS NOT NULL").groupBy("name", "value").count()
-    return [_first_k(values, order, k, output) for order, output in (
-        (F.col("value").asc(), "minimumValues"), (F.col("value").desc(), "maximumValues"))]
+    values = _long(df, columns, "double").where("value IS NOT NULL").distinct()
+    orders = {"minimumValues": F.col("value").asc(), "maximumValues": F.col("value").desc()}
+    return [_first_k(values, order, k, output) for output, order in orders.items()]
 
 
-def _outliers(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
-    scores = _long(standard_scale(df, list(columns)), columns, "double").where(F.abs("value") > 3)
-    return _first_k(scores, F.abs("value").desc(), k, "zScoreOutliersSample")
+def _outliers(df: DataFrame, spread: dict[str, Spread], k: int) -> DataFrame:
+    scores = df.select(*[s.alias(c) for c, s in _scores(spread).items()])
+    far = _long(scores, list(spread), "double").where(F.abs("value") > 3)
+    return _first_k(far, F.abs("value").desc(), k, "zScoreOutliersSample")
 
 
 def _first_k(values: DataFrame, order: Column, k: int, output: str) -> DataFrame:

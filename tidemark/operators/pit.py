@@ -22,26 +22,11 @@ from pyspark.sql import types as T
 
 from tidemark.model import IS_DELETED, WRITE_TIME, FeatureGroup, parse_features
 from tidemark.operators.latest import as_time
-from tidemark.session import estimated_bytes
+from tidemark.skew import Skew, hot_slices, slice_number
 
 _K, _T, _SIDE, _W, _B, _S = "__key", "__time", "__side", "__written", "__slice", "__spine"
 
 
-@dataclass(frozen=True)
-class Skew:
-    """When a record counts as hot and into how many time slices it is cut.
-
-    A record is hot above ``max(min_rows, total * fraction)`` rows, so at most
-    ``1 / fraction`` records are. Inputs that Catalyst estimates below
-    ``min_bytes`` are not counted at all.
-    """
-
-    min_rows: int = 2_000_000
-    fraction: float = 0.001
-    slices: int = 200
-    min_bytes: int = 1 << 30
-
-
 @dataclass(frozen=True)
 class Request:
     """One feature group to look up, with its history and the features wanted."""
@@ -230,32 +215,11 @@ def _lookup(
 
 
 def hot_records(frames: list[DataFrame], skew: Skew | None) -> DataFrame | None:
-    """Hot keys with their slice bounds, or None. At most ``1 / fraction`` rows."""
-    if skew is None or sum(estimated_bytes(f) for f in frames) < skew.min_bytes:
-        return None
-    key_type = frames[0].schema[_K].dataType
-    counts = None
-    for frame in frames:
-        part = frame.select(F.col(_K).cast(key_type), F.col(_T).cast("timestamp").alias(_T))
-        part = part.where(F.col(_K).isNotNull() & F.col(_T).isNotNull())
-        counts = part if counts is None else counts.unionByName(part)
-    per_key = counts.groupBy(_K).agg(F.count(F.lit(1)).alias("n"))
-    total = per_key.agg(F.sum("n")).first()[0] or 0
-    floor = max(skew.min_rows, int(total * skew.fraction))
-    keys = [r[0] for r in per_key.where(F.col("n") > floor).select(_K).collect()]
-    if not keys:
+    """Hot records of the spine and the histories together, with their slice bounds, or None."""
+    if skew is None or not skew.applies(*frames):
         return None
-    shares = [i / skew.slices for i in range(1, skew.slices)]
-    bounds = (
-        counts.where(F.col(_K).isin(keys))
-        .groupBy(_K)
-        .agg(F.array_distinct(F.percentile_approx(_T, shares, 10000)).alias("bounds"))
-        .collect()
-    )
-    schema = T.StructType(
-        [T.StructField(_K, key_type), T.StructField("bounds", T.ArrayType(T.TimestampType()))]
-    )
-    return frames[0].sparkSession.createDataFrame([tuple(r) for r in bounds], schema)
+    narrow = [f.select(_K, F.col(_T).cast("timestamp").alias(_T)) for f in frames]
+    return hot_slices(_union(narrow), _K, _T, skew)
 
 
 def _cold(df: DataFrame, hot: DataFrame) -> DataFrame:
@@ -264,12 +228,8 @@ def _cold(df: DataFrame, hot: DataFrame) -> DataFrame:
 
 def _sliced(df: DataFrame, hot: DataFrame) -> DataFrame:
     """Hot rows with the number of their time slice; equal times share a slice."""
-    moment = F.col(_T).cast("timestamp")
-    return (
-        df.join(F.broadcast(hot), _K)
-        .withColumn(_B, F.size(F.filter("bounds", lambda b: b <= moment)))
-        .drop("bounds")
-    )
+    joined = df.join(F.broadcast(hot), _K)
+    return joined.withColumn(_B, slice_number(F.col(_T).cast("timestamp"))).drop("bounds", "coarse")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -375,7 +335,7 @@ def _numbered(
     before = Window.partitionBy(_K).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_K, _B, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
     inside = F.row_number().over(Window.partitionBy(_K, _B).orderBy(*order))
-    # One row per hot record and slice: at most slices / fraction rows.
+    # One row per hot record and slice, no more than there are slice bounds.
     sliced = few.withColumn("__i", inside).join(F.broadcast(offsets), [_K, _B])
     sliced = sliced.withColumn("__n", F.col("__before") + F.col("__i")).select(*plain.columns)
     return plain.unionByName(sliced)

@@ -13,7 +13,7 @@ import re
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model import IS_DELETED, PARTITION_COLUMNS, FeatureGroup
@@ -31,25 +31,31 @@ class VersionedTable:
     def folder(self, version: int) -> str:
         return f"{self.path}/version={version}"
 
-    def snapshots(self) -> DataFrame:
-        """Committed versions that can still be read."""
-        return self.log().where(~F.col("expired")).drop("expired")
-
     def log(self) -> DataFrame:
         """Every version ever committed; expiry is the newest fact about a version."""
         if not _exists(self.spark, f"{self.path}/_log"):
             return self.spark.createDataFrame([], LOG_SCHEMA)
         entries = self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/_log")
-        first = [F.max(c).alias(c) for c in ("parent", "committed_at", "operation", "row_count")]
-        return entries.groupBy("version").agg(*first, F.max("expired").alias("expired"))
+        facts = [F.max(c).alias(c) for c in ("parent", "committed_at", "operation", "row_count", "expired")]
+        return entries.groupBy("version").agg(*facts)
+
+    def snapshots(self) -> DataFrame:
+        """Committed versions that can still be read."""
+        return self.log().where(~F.col("expired")).drop("expired")
+
+    def _readable(self) -> list[Row]:
+        """The snapshots, oldest first: one row per version."""
+        return sorted(self.snapshots().collect(), key=lambda r: r.version)
 
     def current_version(self) -> int | None:
-        return self.snapshots().agg(F.max("version")).first()[0]
+        known = self._readable()
+        return known[-1].version if known else None
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of a version, by default the current one."""
-        wanted = self.current_version() if version is None else version
-        if wanted is None or not self.snapshots().where(F.col("version") == wanted).take(1):
+        known = [r.version for r in self._readable()]
+        wanted = (known[-1] if known else None) if version is None else version
+        if wanted not in known:
             raise ValueError(f"{self.path} has no version {wanted}")
         return self.spark.read.parquet(self.folder(wanted))
 
@@ -62,9 +68,9 @@ class VersionedTable:
         files: int | None = None,
     ) -> int:
         """Write a new version; a folder left by a failed attempt is overwritten."""
-        parent = self.current_version()
-        newest = self.log().agg(F.max("version")).first()[0]
-        version = 0 if newest is None else newest + 1
+        known = self.log().select("version", "expired").collect()
+        version = max((r.version for r in known), default=-1) + 1
+        parent = max((r.version for r in known if not r.expired), default=None)
         if files is not None:
             df = df.repartition(files)
         elif partition_by:
@@ -77,9 +83,7 @@ class VersionedTable:
     def expire(self, retention_seconds: int = RETENTION_SECONDS, now: datetime | None = None) -> list[int]:
         """Drop versions older than the retention time, always keeping the current one."""
         limit = (now or _now()) - timedelta(seconds=retention_seconds)
-        newest = self.current_version()
-        old = self.snapshots().where((F.col("committed_at") < F.lit(limit)) & (F.col("version") != newest))
-        rows = old.collect()  # one row per version
+        rows = [r for r in self._readable()[:-1] if r.committed_at < limit]
         # The log entry comes first: a version is unreadable before its files go.
         if rows:
             self._append([(r.version, r.parent, r.committed_at, r.operation, r.row_count, True) for r in rows])
@@ -89,7 +93,7 @@ class VersionedTable:
 
     def orphans(self) -> list[str]:
         """Version folders without a readable log entry, left by failed or expired writes."""
-        known = {r.version for r in self.snapshots().select("version").collect()}
+        known = {r.version for r in self._readable()}
         return [
             folder
             for folder in _folders(self.spark, self.path)
@@ -109,18 +113,16 @@ class VersionedTable:
         size = _bytes(self.spark, self.folder(version))
         keys = tuple(c for c in df.columns if c in PARTITION_COLUMNS)
         files = None if keys else max(1, math.ceil(size / target_bytes))
-        before = content_hash(df).first()
         new = self.commit(df, "compact", at, keys, files)
-        if content_hash(self.read(new)).first() != before:
+        if content_hash(self.spark.read.parquet(self.folder(new))).first() != content_hash(df).first():
             raise RuntimeError(f"compaction of {self.path} changed its content")
         return new
 
     def previous_snapshot(self) -> DataFrame:
         """The parent of the newest version, if it is still readable."""
         snapshots = self.snapshots()
-        newest = snapshots.where(F.col("committed_at") == snapshots.agg(F.max("committed_at")).first()[0])
-        parents = newest.select(F.col("parent").alias("version"))
-        return snapshots.join(parents, "version", "left_semi").orderBy(F.col("committed_at").desc()).limit(1)
+        newest = snapshots.orderBy(F.col("committed_at").desc(), F.col("version").desc()).limit(1)
+        return snapshots.join(newest.select(F.col("parent").alias("version")), "version", "left_semi")
 
     def hard_delete(self, fg: FeatureGroup, at: datetime | None = None) -> int:
         """Rewrite without every record that has a delete marker."""
