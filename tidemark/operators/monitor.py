@@ -110,7 +110,9 @@ def _scores(spread: dict[str, Spread]) -> dict[str, Column]:
 
 
 def _counted(df: DataFrame, number: dict[str, Column], output: str) -> DataFrame:
-    long = df.select(*[n.alias(c) for c, n in number.items()]).unpivot([], list(number), "name", output)
+    # least and greatest skip nulls, so missing values are kept out by hand.
+    bins = [F.when(F.col(c).isNotNull(), n).alias(c) for c, n in number.items()]
+    long = df.select(*bins).unpivot([], list(number), "name", output)
     return long.where(F.col(output).isNotNull()).groupBy("name", output).agg(F.count(F.lit(1)).alias("n"))
 
 
