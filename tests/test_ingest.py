@@ -8,6 +8,7 @@ from tidemark.model import FeatureGroup
 from tidemark.operators import ingest as I
 from tidemark.operators.latest import latest
 from tidemark.sources import files as S
+from tidemark.sources.versions import hard_delete
 from tidemark.streaming.ingest import file_stream, ingest_stream, read_ingested
 
 
@@ -53,7 +54,7 @@ def test_soft_delete_only_when_newer(spark):
 
 def test_hard_delete_removes_rows_written_after_the_marker(spark):
     df, fg = history(spark, [(1, 1, 1.0, 1, 1, False), (1, 2, None, 2, 2, True), (1, 3, 3.0, 3, 3, False), (2, 1, 1.0, 1, 1, None)])
-    assert rows(I.hard_delete(df, fg), "id") == [(2,)]
+    assert rows(hard_delete(df, fg), "id") == [(2,)]
     online, marked = I.hard_delete_online(df.where("id = 2"), df, fg, spark.createDataFrame([(2,)], "id long"), at(9))
     assert online.count() == 0 and rows(marked.where("is_deleted"), "id") == [(1,), (2,)]
 
@@ -137,3 +138,14 @@ def test_stream_equals_batch_and_repeats_change_nothing(spark, tmp_path):
     assert rows(read_ingested(spark, off, ["id", "x"])) == [(1, 18.0), (1, 4.0), (2, 2.0), (2, 6.0)]
     assert rows(I.read_online(spark, on, fg, ["id", "x"])) == [(1, 4.0), (2, 6.0)]
     assert spark.read.json(bad).count() == 1
+
+
+def test_compaction_in_place_rewrites_crowded_partitions_once(spark, tmp_path):
+    path = str(tmp_path / "h")
+    df, fg = history(spark, [(1, 1, 1.0, 1, 1, False), (2, 25, 2.0, 1, 1, False), (3, 2, 3.0, 1, 1, False)])
+    for part in (df.where("id < 3"), df.where("id = 3")):
+        S.write_offline(part, fg, path, stamped=True, grain="day")
+    assert I.compact_offline(spark, path, ["year", "month", "day"]) == 1
+    assert I.compact_offline(spark, path, ["year", "month", "day"]) == 0
+    assert {r.file_count for r in S.partition_stats(spark, path).collect()} == {1}
+    assert rows(spark.read.parquet(path), "id", "x") == [(1, 1.0), (2, 2.0), (3, 3.0)]

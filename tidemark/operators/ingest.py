@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from typing import Any
 
@@ -20,11 +20,12 @@ from tidemark.model import (
 from tidemark.operators.latest import as_time, drop_system, latest, time_literal
 from tidemark.operators.select import stamp
 from tidemark.session import durable
-from tidemark.sources.files import write_offline
-from tidemark.sources.versions import drop_data, hard_delete
+from tidemark.sources.files import partition_stats, write_offline
+from tidemark.sources.versions import TARGET_BYTES, drop_data
 
 REASON = "failure_reason"
 TARGETS = ("offline", "online")
+MAX_BROADCAST_PARTITIONS = 10_000
 
 
 def checked(df: DataFrame, fg: FeatureGroup) -> DataFrame:
@@ -201,30 +202,68 @@ def ingest(
 def hard_delete_offline(spark: SparkSession, path: str, fg: FeatureGroup, keys: Sequence[str]) -> int:
     """Erase marked records from a partitioned history, rewriting only the partitions that hold them.
 
-    The new content of those partitions is written to the shared folder first,
-    then replaces them. A partition left without rows keeps no data file.
-    Returns the number of partitions rewritten.
+    Values go first and markers second: a run broken off leaves every marker
+    that is still needed, and the next run finishes the work. Returns the number
+    of partition rewrites.
     """
     history = spark.read.parquet(path)
-    marked = history.where(F.col(IS_DELETED)).select(fg.record_id).distinct()
-    touched = durable(history.join(marked, fg.record_id, "left_semi").select(*keys).distinct(), "touched")
+    marked = durable(history.where(F.col(IS_DELETED)).select(fg.record_id).distinct(), "marked")
+    live = ~F.coalesce(F.col(IS_DELETED), F.lit(False))
+
+    def places(rows: DataFrame) -> DataFrame:
+        return durable(rows.join(marked, fg.record_id, "left_semi").select(*keys).distinct(), "touched")
+
+    def without_values(rows: DataFrame) -> DataFrame:
+        kept = rows.where(live).join(marked, fg.record_id, "left_anti").select(*rows.columns)
+        return kept.unionByName(rows.where(~live))
+
+    def without_markers(rows: DataFrame) -> DataFrame:
+        return rows.join(marked, fg.record_id, "left_anti").select(*rows.columns)
+
+    values = rewrite_partitions(spark, path, keys, places(history.where(live)), without_values)
+    markers = places(spark.read.parquet(path).where(F.col(IS_DELETED)))
+    return values + rewrite_partitions(spark, path, keys, markers, without_markers)
+
+
+def compact_offline(spark: SparkSession, path: str, keys: Sequence[str], target_bytes: int = TARGET_BYTES) -> int:
+    """Merge the small files of a partitioned history, rewriting only partitions with too many files.
+
+    File sizes follow spark.sql.adaptive.advisoryPartitionSizeInBytes. Returns
+    the number of partitions rewritten; a second run finds none.
+    """
+    stats = partition_stats(spark, path)
+    crowded = stats.where(F.col("file_count") > F.ceil(F.col("total_size") / target_bytes))
+    types = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+    values = [F.regexp_extract("partition", f"(?:^|/){k}=([^/]+)", 1).cast(types[k]).alias(k) for k in keys]
+    touched = durable(crowded.select(*values), "touched")
+    return rewrite_partitions(spark, path, keys, touched, lambda rows: rows)
+
+
+def rewrite_partitions(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    touched: DataFrame,
+    change: Callable[[DataFrame], DataFrame],
+) -> int:
+    """Replace the content of some partitions by a change of it.
+
+    The new content is written to the shared folder first, so nothing being read
+    is overwritten, and a copy outlives a failed replacement. A partition left
+    without rows loses its folder.
+    """
     count = touched.count()
     if count == 0:
         return 0
-    same = [history[k].eqNullSafe(touched[k]) for k in keys]
-    kept = hard_delete(history.join(F.broadcast(touched) if count < 10_000 else touched, same, "left_semi"), fg)
-    staged = durable(kept, "erased")
-    staged.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *keys
-    ).parquet(path)
-    _drop_emptied(spark, path, touched, staged, keys)
-    return count
-
-
-def _drop_emptied(spark: SparkSession, path: str, touched: DataFrame, staged: DataFrame, keys: Sequence[str]) -> None:
-    """Dynamic overwrite leaves a partition alone when nothing remains of it: delete those."""
+    history = spark.read.parquet(path)
+    side = F.broadcast(touched) if count < MAX_BROADCAST_PARTITIONS else touched
+    inside = history.join(side, [history[k].eqNullSafe(side[k]) for k in keys], "left_semi")
+    staged = durable(change(inside), "rewritten")
+    writer = staged.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).parquet(path)
+    # Dynamic overwrite leaves alone a partition that no row remains in.
     left = staged.select(*keys).distinct()
-    same = [touched[k].eqNullSafe(left[k]) for k in keys]
-    for row in touched.join(left, same, "left_anti").toLocalIterator():
+    emptied = touched.join(left, [touched[k].eqNullSafe(left[k]) for k in keys], "left_anti")
+    for row in emptied.toLocalIterator():
         drop_data(spark, "/".join([path, *[f"{k}={row[k]}" for k in keys]]), confirm=True)
-
+    return count

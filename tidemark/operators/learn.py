@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
@@ -22,6 +23,7 @@ REORDER_THRESHOLD, DISCOUNT_THRESHOLD = 0.5, 0.65  # fixed values
 
 _PREFIX_STEP = 4  # hex digits per refinement: 65,536 counts reach the driver at most
 _FETCH = 10_000
+_HASH_DIGITS = 32
 
 
 def training_set(joined: DataFrame, label: str, drop: Sequence[str]) -> DataFrame:
@@ -45,14 +47,14 @@ def split(
     of one id stay together.
     """
     keys = df.select(split_key(id_column, seed).alias("key"))
-    first = _prefix_counts(keys, "")
-    total = sum(n for _, n in first)
-    key, out = split_key(id_column, seed), None
-    for cut, name in zip(cuts, names):
-        bound = _key_at(keys, first, int(cut * total))
+    counts = _prefix_counts(keys, "")
+    total = sum(n for _, n in counts)
+    bounds = _keys_at(keys, counts, [int(cut * total) for cut in cuts])
+    key, out = split_key(id_column, seed), F.lit(names[-1])
+    for bound, name in reversed(list(zip(bounds, names))):
         inside = F.lit(True) if bound is None else key < F.lit(bound)
-        out = F.when(inside, name) if out is None else out.when(inside, name)
-    return df.withColumn("split", F.lit(names[-1]) if out is None else out.otherwise(names[-1]))
+        out = F.when(inside, name).otherwise(out)
+    return df.withColumn("split", out)
 
 
 def _prefix_counts(keys: DataFrame, prefix: str) -> list[tuple[str, int]]:
@@ -62,8 +64,26 @@ def _prefix_counts(keys: DataFrame, prefix: str) -> list[tuple[str, int]]:
     return sorted((r["prefix"], r["n"]) for r in rows)
 
 
-def _key_at(keys: DataFrame, counts: list[tuple[str, int]], position: int) -> str | None:
-    """The hash at a 0-based position of the sorted order; None at the end."""
+def _keys_at(keys: DataFrame, counts: list[tuple[str, int]], positions: list[int]) -> list[str | None]:
+    """The hashes at 0-based positions of the sorted order; None past the end.
+
+    A prefix with few rows is fetched, one with many is counted by longer prefixes.
+    """
+    places = [_locate(keys, counts, position) for position in positions]
+    prefixes = sorted({p[0] for p in places if p is not None and len(p[0]) < _HASH_DIGITS})
+    found: dict[str, list[str]] = {p: [] for p in prefixes}
+    if prefixes:
+        wanted = functools.reduce(Column.__or__, [F.col("key").startswith(p) for p in prefixes])
+        for row in keys.where(wanted).collect():
+            for p in prefixes:
+                if row["key"].startswith(p):
+                    found[p].append(row["key"])
+    ranked = {p: sorted(ks) for p, ks in found.items()}
+    return [None if at is None else ranked[at[0]][at[1]] if at[0] in ranked else at[0] for at in places]
+
+
+def _locate(keys: DataFrame, counts: list[tuple[str, int]], position: int) -> tuple[str, int] | None:
+    """A prefix of at most ``_FETCH`` rows and the position inside it."""
     while True:
         for prefix, n in counts:
             if position < n:
@@ -71,11 +91,8 @@ def _key_at(keys: DataFrame, counts: list[tuple[str, int]], position: int) -> st
             position -= n
         else:
             return None
-        if len(prefix) >= 32:
-            return prefix
-        if n <= _FETCH:
-            rows = keys.where(F.col("key").startswith(prefix)).orderBy("key").limit(position + 1).collect()
-            return rows[position]["key"]
+        if n <= _FETCH or len(prefix) >= _HASH_DIGITS:
+            return prefix, position
         counts = _prefix_counts(keys, prefix)
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from tidemark.model import IS_DELETED, WRITE_TIME, FeatureGroup, parse_features
 from tidemark.operators.latest import as_time
+from tidemark.session import durable
 from tidemark.skew import Skew, hot_slices, slice_number
 
 _K, _T, _SIDE, _W, _B, _S = "__key", "__time", "__side", "__written", "__slice", "__spine"
@@ -152,12 +153,13 @@ def pit_recent(
         if how == "inner":
             found = found.where("NOT __h0.is_deleted")
         return found.select(*spine.columns, *[_value(0, f).alias(names.get(f, f)) for f in wanted])
-    numbered = _numbered(spine, spine_time, key, request, n, skew)
+    hot = hot_records([_spine(spine, spine_time, key), _history(request, 0)], skew)
+    numbered = _numbered(request, n, hot)
     counter = FeatureGroup(
         fg.name, _K, _T, T.StructType([f for f in numbered.schema.fields if f.name in (_K, _T, "__n")])
     )
     as_history = numbered.select(_K, _T, "__n", F.lit(False).alias(IS_DELETED))
-    last = _lookup(spine, spine_time, key, [Request(counter, as_history, ("__n",))], strict, skew)
+    last = _lookup_known(spine, spine_time, key, [Request(counter, as_history, ("__n",))], strict, hot)
     last = last.select(*spine.columns, F.expr("__h0.__n").alias("__last"))
     steps = F.sequence(F.greatest(F.lit(1).cast("long"), F.col("__last") - (n - 1)), F.col("__last"))
     wide = last.withColumn("__n", F.explode_outer(steps)).drop("__last")
@@ -203,9 +205,15 @@ def _lookup(
     spine: DataFrame, spine_time: str, key: str, requests: list[Request], strict: bool, skew: Skew | None
 ) -> DataFrame:
     """Spine columns plus one payload struct ``__h<i>`` per request."""
+    sides = [_spine(spine, spine_time, key), *[_history(r, i) for i, r in enumerate(requests)]]
+    return _lookup_known(spine, spine_time, key, requests, strict, hot_records(sides, skew))
+
+
+def _lookup_known(
+    spine: DataFrame, spine_time: str, key: str, requests: list[Request], strict: bool, hot: DataFrame | None
+) -> DataFrame:
     rows = _spine(spine, spine_time, key)
     histories = [_history(r, i) for i, r in enumerate(requests)]
-    hot = hot_records([rows, *histories], skew)
     if hot is None:
         found = _sweep(rows, histories, strict)
     else:
@@ -279,7 +287,7 @@ def _sweep_hot(rows: DataFrame, histories: list[DataFrame], strict: bool, hot: D
     for i, history in enumerate(histories):
         w = Window.partitionBy(_K, _T).orderBy(F.col(_W).desc_nulls_last(), F.col(f"__h{i}").desc_nulls_last())
         one = _sliced(history, hot).withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
-        best.append(one)
+        best.append(durable(one, "hot-history"))  # read twice below
 
     # Newest row of each slice, carried to the start of every later slice with spine rows.
     tails = [
@@ -316,12 +324,9 @@ def _join_rank(spine: DataFrame, spine_time: str, key: str, request: Request, st
     return joined.select(f"{_S}.*", "__h0")
 
 
-def _numbered(
-    spine: DataFrame, spine_time: str, key: str, request: Request, n: int, skew: Skew | None
-) -> DataFrame:
+def _numbered(request: Request, n: int, hot: DataFrame | None) -> DataFrame:
     """History rows numbered 1, 2, … per record in time order (column ``__n``)."""
     history = _history(request, 0)
-    hot = hot_records([_spine(spine, spine_time, key), history], skew)
     order = [F.col(_T), F.col(_W).asc_nulls_first(), F.col("__h0").asc_nulls_first()]
     if hot is None:
         return history.withColumn("__n", F.row_number().over(Window.partitionBy(_K).orderBy(*order)).cast("long"))
@@ -331,6 +336,7 @@ def _numbered(
     # Only the last n rows of one instant can ever be among the n newest.
     w = Window.partitionBy(_K, _T).orderBy(F.col(_W).desc_nulls_last(), F.col("__h0").desc_nulls_last())
     few = _sliced(history, hot).withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= n).drop("__r")
+    few = durable(few, "hot-history")  # read twice below
     sizes = few.groupBy(_K, _B).agg(F.count(F.lit(1)).alias("__size"))
     before = Window.partitionBy(_K).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_K, _B, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
@@ -338,4 +344,4 @@ def _numbered(
     # One row per hot record and slice, no more than there are slice bounds.
     sliced = few.withColumn("__i", inside).join(F.broadcast(offsets), [_K, _B])
     sliced = sliced.withColumn("__n", F.col("__before") + F.col("__i")).select(*plain.columns)
-    return plain.unionByName(sliced)
+    return plain.unionByName(durable(sliced, "hot-numbered"))

@@ -421,3 +421,14 @@ def erase_partitions(spark: SparkSession, d: str) -> DataFrame:
     S.write_offline(history, fg, path, stamped=True, grain="year")
     I.hard_delete_offline(spark, path, fg, ["year"])
     return spark.read.parquet(path).select(*fg.names, "is_deleted")
+
+
+@query(f"select {HISTORY_COLUMNS} from {{customer_history}}")
+def compact_partitions(spark: SparkSession, d: str) -> DataFrame:
+    history, fg = with_group(spark, d, "customer_history")
+    path = scratch_path(spark, "compact")
+    for status in ("F", "O", "P"):
+        S.write_offline(history.where(F.col("o_orderstatus") == status), fg, path, stamped=True, grain="year")
+    S.write_offline(history.where("o_orderstatus is null"), fg, path, stamped=True, grain="year")
+    I.compact_offline(spark, path, ["year"])
+    return spark.read.parquet(path).select(*fg.names, "is_deleted")

@@ -33,6 +33,23 @@ def local_session(cores: int | str = "*", app: str = "tidemark", memory: str = "
     return spark
 
 
+def cluster_settings(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """SQL settings for a job that shuffles about this much: partitions of a size that fits a task.
+
+    AQE merges partitions that turn out small and splits skewed ones, so the
+    number may be generous.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, -(-shuffle_bytes // partition_bytes))),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def _setting(spark: SparkSession, key: str) -> str | None:
     value = spark.conf.get(key, None)
     return value or spark.sparkContext.getConf().get(key)

@@ -54,15 +54,15 @@ def hot_slices(rows: DataFrame, key: str, time: str, skew: Skew) -> DataFrame |
     if found is None:
         return None
     hot, threshold = found
+    tier = F.lit(TIERS[-1])
+    for slices in reversed(TIERS[:-1]):
+        tier = F.when(F.col("n") <= threshold * slices, slices).otherwise(tier)
+    tiered = hot.select(key, tier.alias("tier"))
     parts = []
-    for i, slices in enumerate(TIERS):
-        at_most = F.col("n") <= threshold * slices
-        tier = at_most if i == 0 else (F.col("n") > threshold * TIERS[i - 1])
-        if 0 < i < len(TIERS) - 1:
-            tier = tier & at_most
-        shares = [s / slices for s in range(1, slices)]
-        bounds = F.percentile_approx(time, shares, max(10_000, 10 * slices))
-        members = F.broadcast(hot.where(tier).select(key))
+    for (slices,) in tiered.select("tier").distinct().collect():
+        shares = [i / slices for i in range(1, slices)]
+        bounds = F.percentile_approx(time, shares, max(1_000, 20 * slices))
+        members = F.broadcast(tiered.where(F.col("tier") == slices).select(key))
         parts.append(rows.join(members, key).groupBy(key).agg(F.array_distinct(bounds).alias("bounds")))
     every = parts[0]
     for part in parts[1:]:
