@@ -68,6 +68,13 @@ def test_lineage_depth_and_cycles(spark):
     assert O.reach(edges, "end", "both", 1).count() == 1
 
 
+def test_recorded_edges_are_read_once(spark, tmp_path):
+    edges = O.training_run_edges(spark, "run", "model", ["fg1"])
+    for _ in range(2):
+        O.record_edges(edges, str(tmp_path / "edges"))
+    assert rows(O.read_edges(spark, str(tmp_path / "edges"))) == rows(edges)
+
+
 def test_catalog_search(spark):
     df = spark.createDataFrame([(1, True, 2.0)], "customer_id long, is_married boolean, x double")
     fg = FeatureGroup.from_frame("customers", df, "customer_id", "x")

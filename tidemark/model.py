@@ -95,6 +95,18 @@ class FeatureGroup:
             for f in self.schema.fields
         ]
 
+    def describe(self) -> dict:
+        return {
+            "name": self.name,
+            "record_id": self.record_id,
+            "event_time": self.event_time,
+            "description": self.description,
+            "tags": dict(self.tags),
+            "online": self.online,
+            "location": self.location,
+            "features": self.definitions(),
+        }
+
     def add_feature(self, name: str, dtype: T.DataType) -> FeatureGroup:
         """Additive evolution: older rows read the new feature as null."""
         if name in self.names:

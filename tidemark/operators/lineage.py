@@ -41,6 +41,15 @@ def training_run_edges(
     return edges_frame(spark, edges)
 
 
+def record_edges(edges: DataFrame, path: str) -> None:
+    """Append edges to the edge table; a run recorded twice counts once when read."""
+    edges.write.mode("append").parquet(path)
+
+
+def read_edges(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(EDGE_SCHEMA).parquet(path).distinct()
+
+
 def reach(edges: DataFrame, start: str, direction: str, max_depth: int) -> DataFrame:
     """Nodes within ``max_depth`` steps of a node, with their kind and smallest depth.
 

@@ -117,8 +117,8 @@ def _counted(df: DataFrame, number: dict[str, Column], output: str) -> DataFrame
 
 
 def profile_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Correlation of each pair of up to 20 numeric columns, all pairs in one pass."""
-    columns = list(columns or numeric_columns(df))[:CORRELATED_COLUMNS]
+    """Correlation of each pair of columns, by default of the first 20 numeric ones, in one pass."""
+    columns = list(columns or numeric_columns(df)[:CORRELATED_COLUMNS])
     value = {c: F.col(c).cast("double") for c in columns}
     rows = [
         F.struct(F.lit(a).alias("name"), F.lit(b).alias("other"), F.corr(value[a], value[b]).alias("correlation"))

@@ -10,13 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.model import FeatureGroup
 from tidemark.operators import ingest as I
 from tidemark.operators.latest import drop_system, latest, materialized
-from tidemark.operators.select import stamp
-from tidemark.plans.fixtures import frame, group, with_group
+from tidemark.plans.fixtures import frame, with_group
 from tidemark.plans.registry import query
 from tidemark.session import scratch_path
 from tidemark.sources import files as S
 from tidemark.sources.versions import VersionedTable
-from tidemark.sources.versions import content_hash as _content_hash
 from tidemark.sources.versions import hard_delete as _hard_delete
 from tidemark.streaming.ingest import file_stream, ingest_stream, read_ingested
 

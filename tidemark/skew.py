@@ -21,13 +21,13 @@ class Skew:
 
     It is hot above ``max(target_rows, total * fraction)`` rows, so there are at
     most ``1 / fraction`` hot records, with ``16 / fraction`` slice bounds in
-    all: a table that is safe to broadcast. Inputs that Catalyst estimates below
-    ``min_bytes`` are not counted.
+    all: a table that is safe to broadcast. Inputs below ``min_bytes`` are not
+    counted, as no record in them can be too large.
     """
 
     target_rows: int = 5_000_000
     fraction: float = 1e-5
-    min_bytes: int = 1 << 30
+    min_bytes: int = 256 << 20
 
     def applies(self, *frames: DataFrame) -> bool:
         return sum(estimated_bytes(f) for f in frames) >= self.min_bytes

@@ -136,6 +136,11 @@ def write_by_month(df: DataFrame, time: str, path: str, fmt: str = "csv") -> Non
     writer.options(header=True, **CSV_TIMES).format(fmt).save(path)
 
 
+def spread(df: DataFrame, factor: int = 3) -> DataFrame:
+    """Even partitions, a few per core, for a sink outside Spark; AQE sizes all other writes."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism * factor)
+
+
 def sample_file(df: DataFrame, n: int = 10) -> DataFrame:
     """The first rows of one of the files a frame is read from."""
     files = df.inputFiles()
