@@ -91,8 +91,11 @@ def test_routing(spark, tmp_path):
     late, _ = history(spark, [(1, 0, 9.0, 9, 9, False), (5, 0, 5.0, 9, 9, False)])
     I.ingest(late.select(*fg.names), fg, ["online"], online_path=on, batch=2)
     assert rows(I.read_online(spark, on, fg), "id", "x") == [(1, 2.0), (5, 5.0)]
-    I.compact_online(spark, on, fg, str(tmp_path / "on2"))
-    assert rows(I.read_online(spark, str(tmp_path / "on2"), fg), "id", "x") == [(1, 2.0), (5, 5.0)]
+    I.compact_online(spark, on, fg)
+    assert len(list((tmp_path / "on").glob("delta=*"))) == 1
+    assert rows(I.read_online(spark, on, fg), "id", "x") == [(1, 2.0), (5, 5.0)]
+    I.ingest(late.select(*fg.names), fg, ["online"], online_path=on, batch=2)  # again after the merge
+    assert rows(I.read_online(spark, on, fg), "id", "x") == [(1, 2.0), (5, 5.0)]
     with pytest.raises(ValueError):
         I.ingest(df, fg, ["nowhere"])
 
@@ -107,6 +110,17 @@ def test_partition_pruning_reaches_the_scan(spark, tmp_path):
     assert "PartitionFilters: [(" in plan or "PartitionFilters: [isnotnull" in plan
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_dataset_formats(spark, tmp_path, fmt):
+    df = spark.createDataFrame([(1, at(1.0001))], "id long, t timestamp")
+    S.write_dataset(df, str(tmp_path / fmt), fmt)
+    assert rows(spark.read.format(fmt).schema(df.schema).load(str(tmp_path / fmt))) == [(1, at(1.0001))]
+
+
+def test_spread(spark):
+    assert S.spread(spark.range(100)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 3
+
+
 def test_month_folders_and_empty_prefix(spark, tmp_path):
     df = spark.createDataFrame([(1, "2020-01-31 23:59:59"), (2, "2020-02-01 00:00:00")], "id long, t string")
     S.write_by_month(df.withColumn("t", F.col("t").cast("timestamp")), "t", str(tmp_path / "m"))

@@ -46,11 +46,13 @@ def test_reports_are_read_in_order_and_cut_by_date(spark, tmp_path):
     assert [r["max_change"] for r in series] == [None, 1.0, 1.0]
 
 
-def test_drift_rows_continue_the_ids(spark):
+def test_drift_rows_continue_the_ids(spark, monkeypatch):
     df = spark.createDataFrame([("O0", 1.0), ("O1", 3.0), ("O2", 9.0)], "id string, amount double")
     fg = FeatureGroup.from_frame("g", df, "id", "id")
     assert rows(M.drift_rows(df, fg, 3, "amount", n=2)) == [("O3", -1.0), ("O4", 1.0)]
     assert M.drift_rows(df, fg, 3, "amount", n=None).count() == 3
+    monkeypatch.setattr(M, "TOP_ROWS", 1)
+    assert rows(M.drift_rows(df, fg, 3, "amount", n=2)) == [("O3", -1.0), ("O4", 1.0)]
 
 
 def test_lineage_depth_and_cycles(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from typing import Any
@@ -21,7 +22,7 @@ from tidemark.operators.latest import as_time, drop_system, latest, time_literal
 from tidemark.operators.select import stamp
 from tidemark.session import durable
 from tidemark.sources.files import partition_stats, write_offline
-from tidemark.sources.versions import TARGET_BYTES, drop_data
+from tidemark.sources.versions import TARGET_BYTES, delete_path, drop_data, list_folders
 
 REASON = "failure_reason"
 TARGETS = ("offline", "online")
@@ -164,10 +165,17 @@ def read_online(spark: SparkSession, path: str, fg: FeatureGroup, features: Sequ
     return drop_system(latest(rows, fg)).select(*(features or fg.names))
 
 
-def compact_online(spark: SparkSession, path: str, fg: FeatureGroup, target: str) -> None:
-    """Merge all deltas into one, in a new folder; markers stay, to keep late rows out."""
-    rows = spark.read.option("mergeSchema", True).parquet(path).drop("delta")
-    write_online(rows, fg, target, "merged")
+def compact_online(spark: SparkSession, path: str, fg: FeatureGroup) -> None:
+    """Merge the deltas present into one; markers stay, to keep late rows out.
+
+    The merged delta is written before the old ones are removed. Reading both
+    gives the same records as reading either, and later deltas are not touched.
+    """
+    deltas = list_folders(spark, path)
+    rows = spark.read.option("mergeSchema", True).parquet(*deltas)
+    write_online(rows, fg, path, f"merged-{uuid.uuid4().hex}")
+    for folder in deltas:
+        delete_path(spark, folder)
 
 
 def ingest(

@@ -16,6 +16,7 @@ from tidemark.model import FeatureGroup
 
 CORRELATED_COLUMNS = 20
 TOP = 50
+TOP_ROWS = 100_000  # a top-n of up to this many rows is merged by one task
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -184,9 +185,13 @@ def drift_rows(
 
     New ids continue from the number of records; ``n=None`` takes every row.
     """
-    order = [F.col(fg.record_id).asc()]
-    taken = df if n is None else df.orderBy(*order).limit(n)
-    numbered = row_positions(taken, order, "__position")
+    # The hash orders rows of one record, so that the sort can cut a large record.
+    order = [F.col(fg.record_id).asc(), F.xxhash64(*df.columns).asc()]
+    if n is not None and n <= TOP_ROWS:
+        df = df.orderBy(*order).limit(n)
+    numbered = row_positions(df, order, "__position")
+    if n is not None:
+        numbered = numbered.where(F.col("__position") < n)
     scaled = standard_scale(numbered, feature)
     new_id = prefixed_id(prefix, F.col("__position") + F.lit(record_count))
     return scaled.withColumn(fg.record_id, new_id).drop("__position")

@@ -43,6 +43,7 @@ def cluster_settings(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> di
         "spark.sql.shuffle.partitions": str(max(200, -(-shuffle_bytes // partition_bytes))),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),

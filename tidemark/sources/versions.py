@@ -88,7 +88,7 @@ class VersionedTable:
         if rows:
             self._append([(r.version, r.parent, r.committed_at, r.operation, r.row_count, True) for r in rows])
         for row in rows:
-            _delete(self.spark, self.folder(row.version))
+            delete_path(self.spark, self.folder(row.version))
         return [r.version for r in rows]
 
     def orphans(self) -> list[str]:
@@ -96,14 +96,14 @@ class VersionedTable:
         known = {r.version for r in self._readable()}
         return [
             folder
-            for folder in _folders(self.spark, self.path)
+            for folder in list_folders(self.spark, self.path)
             if (m := re.search(r"/version=(\d+)$", folder)) and int(m.group(1)) not in known
         ]
 
     def remove_orphans(self) -> list[str]:
         found = self.orphans()
         for folder in found:
-            _delete(self.spark, folder)
+            delete_path(self.spark, folder)
         return found
 
     def compact(self, target_bytes: int = TARGET_BYTES, at: datetime | None = None) -> int:
@@ -166,7 +166,7 @@ def drop_data(spark: SparkSession, path: str, confirm: bool = False) -> None:
     """Delete a feature group's files; refuses without ``confirm=True``."""
     if not confirm:
         raise ValueError("dropping data needs confirm=True")
-    _delete(spark, path)
+    delete_path(spark, path)
 
 
 def _now() -> datetime:
@@ -183,12 +183,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
     fs, target = _hadoop(spark, path)
     fs.delete(target, True)
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
+def list_folders(spark: SparkSession, path: str) -> list[str]:
     fs, target = _hadoop(spark, path)
     return [str(s.getPath()) for s in fs.listStatus(target) if s.isDirectory()] if fs.exists(target) else []
 
