@@ -192,22 +192,28 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
 def infer_types(df: DataFrame) -> dict[str, str]:
     """Narrowest of bigint, double, timestamp, string that every value of a text column fits."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    # A few rows rule out most types cheaply; the whole frame decides among the rest.
-    likely = _fitting(df.limit(1000), {c: INFERRED for c in text}, empty=True)
-    fits = _fitting(df, likely, empty=False)
-    return {c: fits[c][0] if fits.get(c) else "string" for c in text}
-
-
-def _fitting(df: DataFrame, candidates: dict[str, Sequence[str]], empty: bool) -> dict[str, list[str]]:
-    """The candidate types that every value of a column casts to; ``empty`` says if none at all do."""
-    tests = [(c, t) for c, types in candidates.items() for t in types]
-    if not tests:
-        return {}
+    # A few rows rule out most types; the whole frame then tests one type per column at a time.
+    open_types = {c: list(INFERRED) for c in text}
+    for c, types in _fitting(df.limit(1000), [(c, t) for c in text for t in INFERRED], empty=True).items():
+        open_types[c] = types
+    found: dict[str, str] = {}
+    while tests := [(c, types[0]) for c, types in open_types.items() if types and c not in found]:
+        fitting = _fitting(df, tests, empty=False)
+        for c, t in tests:
+            if c in fitting:
+                found[c] = t
+            else:
+                open_types[c] = open_types[c][1:]
+    return {c: found.get(c, "string") for c in text}
+
+
+def _fitting(df: DataFrame, tests: list[tuple[str, str]], empty: bool) -> dict[str, list[str]]:
+    """The tested types that every value of a column casts to; ``empty`` says if none at all do."""
     counts = df.agg(
         *[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"{c} misses {t}") for c, t in tests],
-        *[F.count(c).alias(f"{c} values") for c in candidates],
+        *[F.count(c).alias(f"{c} values") for c in dict.fromkeys(c for c, _ in tests)],
     ).first()
-    out: dict[str, list[str]] = {}
+    out: dict[str, list[str]] = {c: [] for c, _ in tests} if empty else {}
     for c, t in tests:
         if counts[f"{c} misses {t}"] == 0 and (empty or counts[f"{c} values"] > 0):
             out.setdefault(c, []).append(t)

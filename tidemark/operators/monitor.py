@@ -54,16 +54,24 @@ def frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def profile_entropy(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct values and entropy, -sum(p ln p), of each column."""
+    return _entropy(frequencies(df, columns))
+
+
+def _entropy(counts: DataFrame) -> DataFrame:
     total, weighted = F.sum("n"), F.sum(F.col("n") * F.log("n"))
-    return frequencies(df, columns).groupBy("name").agg(
+    return counts.groupBy("name").agg(
         F.count(F.lit(1)).alias("distinct_count"), (F.log(total) - weighted / total).alias("entropy")
     )
 
 
 def profile_topk(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
     """The k most common values of each column; equal counts in order of value."""
+    return _topk(frequencies(df, columns), k)
+
+
+def _topk(counts: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("name").orderBy(F.col("n").desc(), F.col("value").asc())
-    ranked = frequencies(df, columns).withColumn("position", F.row_number().over(w))
+    ranked = counts.withColumn("position", F.row_number().over(w))
     return ranked.where(F.col("position") <= k).select("name", "value", "n", "position")
 
 
@@ -141,12 +149,13 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, top: int = TOP,
         "mean",
         F.col("standard_deviation").alias("standardDeviation"),
     )
+    counts = frequencies(df, numeric)
     parts = [
-        profile_entropy(df, numeric).withColumnRenamed("distinct_count", "distinctValuesCount"),
-        _gather(profile_topk(df, numeric, top), ["position", "value", "n"], "mostCommonValues"),
+        _entropy(counts).withColumnRenamed("distinct_count", "distinctValuesCount"),
+        _gather(_topk(counts, top), ["position", "value", "n"], "mostCommonValues"),
         _gather(profile_histogram(df, numeric, bins, spread), ["bin", "n"], "valueDistribution"),
         _gather(profile_zscore(df, numeric, spread), ["deviations", "n"], "zScoreDistribution"),
-        *_extremes(df, numeric, top),
+        *_extremes(counts, top),
         _outliers(df, spread, top),
     ]
     # Every part has one row per column, so the parts are laid over each other.
@@ -161,8 +170,9 @@ def _gather(df: DataFrame, fields: list[str], output: str) -> DataFrame:
     return df.groupBy("name").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(output))
 
 
-def _extremes(df: DataFrame, columns: Sequence[str], k: int) -> list[DataFrame]:
-    values = _long(df, columns, "double").where("value IS NOT NULL").distinct()
+def _extremes(counts: DataFrame, k: int) -> list[DataFrame]:
+    # The condition is always true: it keeps n in the plan, so that every use of the counts shares one shuffle.
+    values = counts.where("n > 0").select("name", F.col("value").cast("double").alias("value"))
     orders = {"minimumValues": F.col("value").asc(), "maximumValues": F.col("value").desc()}
     return [_first_k(values, order, k, output) for output, order in orders.items()]
 

@@ -241,7 +241,7 @@ def lookup_then_score(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _edges(spark: SparkSession, d: str) -> DataFrame:
-    return frame(spark, d, "lineage_edges")
+    return durable(frame(spark, d, "lineage_edges"), "edges")  # an edge table, as a user would keep it
 
 
 REACH = """
