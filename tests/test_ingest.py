@@ -163,3 +163,15 @@ def test_compaction_in_place_rewrites_crowded_partitions_once(spark, tmp_path):
     assert I.compact_offline(spark, path, ["year", "month", "day"]) == 0
     assert {r.file_count for r in S.partition_stats(spark, path).collect()} == {1}
     assert rows(spark.read.parquet(path), "id", "x") == [(1, 1.0), (2, 2.0), (3, 3.0)]
+
+
+def test_feature_added_later_is_null_in_older_rows(spark, tmp_path):
+    df, fg = history(spark, [(1, 1, 1.0, 1, 1, False)])
+    off, on = str(tmp_path / "off"), str(tmp_path / "on")
+    I.ingest(df.select(*fg.names), fg, ["offline", "online"], offline_path=off, online_path=on, batch=0)
+    grown = fg.add_feature("kids", df.schema["id"].dataType)
+    new, _ = history(spark, [(2, 1, 2.0, 1, 1, False)])
+    new = new.select(*fg.names).withColumn("kids", new.id)
+    I.ingest(new, grown, ["offline", "online"], offline_path=off, online_path=on, batch=1)
+    assert rows(I.read_online(spark, on, grown, ["id", "kids"])) == [(1, None), (2, 2)]
+    assert rows(S.read_offline(spark, off, merge_schema=True), "id", "kids") == [(1, None), (2, 2)]

@@ -14,11 +14,10 @@ from pyspark.sql import types as T
 from tidemark.model import (
     API_TIME,
     IS_DELETED,
-    PARTITION_COLUMNS,
     WRITE_TIME,
     FeatureGroup,
 )
-from tidemark.operators.latest import as_time, drop_system, latest, time_literal
+from tidemark.operators.latest import as_time, latest, time_literal
 from tidemark.operators.select import stamp
 from tidemark.session import durable
 from tidemark.sources.files import partition_stats, write_offline
@@ -148,6 +147,13 @@ def expire_ttl(
     return kept, history.unionByName(markers)
 
 
+def online_schema(fg: FeatureGroup) -> T.StructType:
+    """Columns of the online table: the features, event time as a timestamp, system columns."""
+    fields = [T.StructField(f.name, T.TimestampType() if f.name == fg.event_time else f.dataType) for f in fg.schema]
+    times = [T.StructField(c, T.TimestampType()) for c in (WRITE_TIME, API_TIME)]
+    return T.StructType([*fields, *times, T.StructField(IS_DELETED, T.BooleanType())])
+
+
 def write_online(df: DataFrame, fg: FeatureGroup, path: str, batch: str | int) -> None:
     """Add a batch's newest rows to the online table, as one delta folder.
 
@@ -155,14 +161,22 @@ def write_online(df: DataFrame, fg: FeatureGroup, path: str, batch: str | int) -
     changes nothing. Rows are sorted by id within files for point lookups.
     """
     newest = latest(df, fg, deleted="ignore")
-    newest = newest.drop(*[c for c in PARTITION_COLUMNS if c in newest.columns and c not in fg.names])
-    newest.sortWithinPartitions(fg.record_id).write.mode("overwrite").parquet(f"{path}/delta={batch}")
+    absent = {c: F.lit(None) for c in (WRITE_TIME, API_TIME) if c not in df.columns}
+    if IS_DELETED not in df.columns:
+        absent[IS_DELETED] = F.lit(False)
+    newest = newest.withColumns({fg.event_time: as_time(newest, fg.event_time), **absent})
+    rows = newest.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in online_schema(fg)])
+    rows.sortWithinPartitions(fg.record_id).write.mode("overwrite").parquet(f"{path}/delta={batch}")
 
 
 def read_online(spark: SparkSession, path: str, fg: FeatureGroup, features: Sequence[str] | None = None) -> DataFrame:
-    """Current records: the newest row per id over all deltas, deleted records left out."""
-    rows = spark.read.option("mergeSchema", True).parquet(path).drop("delta")
-    return drop_system(latest(rows, fg)).select(*(features or fg.names))
+    """Current records: the newest row per id over all deltas, deleted records left out.
+
+    The group gives the schema, so no file has to be opened to find it, and a
+    feature added later is null in older rows.
+    """
+    rows = spark.read.schema(online_schema(fg)).parquet(path)
+    return latest(rows, fg).select(*(features or fg.names))
 
 
 def compact_online(spark: SparkSession, path: str, fg: FeatureGroup) -> None:
@@ -172,7 +186,7 @@ def compact_online(spark: SparkSession, path: str, fg: FeatureGroup) -> None:
     gives the same records as reading either, and later deltas are not touched.
     """
     deltas = list_folders(spark, path)
-    rows = spark.read.option("mergeSchema", True).parquet(*deltas)
+    rows = spark.read.schema(online_schema(fg)).parquet(*deltas)
     write_online(rows, fg, path, f"merged-{uuid.uuid4().hex}")
     for folder in deltas:
         delete_path(spark, folder)

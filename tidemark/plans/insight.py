@@ -270,7 +270,7 @@ def lineage_edges(spark: SparkSession, d: str) -> DataFrame:
     run = O.training_run_edges(
         spark, "training/new", "model/new", ["fg/1", "fg/2"], endpoint="endpoint/new"
     )
-    both = _edges(spark, d).unionByName(run)
+    both = frame(spark, d, "lineage_edges").unionByName(run)
     return both.groupBy("src_kind", "dst_kind").agg(F.count(F.lit(1)).alias("edges"))
 
 

@@ -90,16 +90,19 @@ def read_offline(
     end: datetime | None = None,
     grain: str = "hour",
     schema: T.StructType | str | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """The history of a group: a Parquet folder, or a catalog table in another format.
 
+    After features were added, give the ``schema``, or ``merge_schema`` to have
+    the footers of all files read for it.
     ``start`` and ``end`` prune partitions only: rows of the partitions at either
     end still need an event-time filter.
     """
     if table_format.lower() != "parquet":
         df = spark.table(source)
     else:
-        reader = spark.read.option("mergeSchema", schema is None)
+        reader = spark.read.option("mergeSchema", merge_schema)
         df = (reader.schema(schema) if schema is not None else reader).parquet(source)
     if start is not None:
         df = df.where(_bound(start, grain, lower=True))
