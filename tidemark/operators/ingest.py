@@ -19,9 +19,9 @@ from tidemark.model import (
 )
 from tidemark.operators.latest import as_time, latest, time_literal
 from tidemark.operators.select import stamp
-from tidemark.session import durable
+from tidemark.session import delete_path, durable
 from tidemark.sources.files import partition_stats, write_offline
-from tidemark.sources.versions import TARGET_BYTES, delete_path, drop_data, list_folders
+from tidemark.sources.versions import TARGET_BYTES, drop_data, list_folders
 
 REASON = "failure_reason"
 TARGETS = ("offline", "online")

@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 _local_dirs: dict[str, str] = {}
+_scratch: list[str] = []
 
 
 def local_session(cores: int | str = "*", app: str = "tidemark", memory: str = "12g") -> SparkSession:
@@ -75,7 +78,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end the scratch folders made inside; frames that read them end with it."""
+    start = len(_scratch)
+    try:
+        yield
+    finally:
+        for path in _scratch[start:]:
+            delete_path(spark, path)
+        del _scratch[start:]
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)
 
 
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:

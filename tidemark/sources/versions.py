@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model import IS_DELETED, PARTITION_COLUMNS, FeatureGroup
+from tidemark.session import delete_path, file_system
 
 LOG_SCHEMA = "version long, parent long, committed_at timestamp, operation string, row_count long, expired boolean"
 RETENTION_SECONDS = 432_000  # fixed value: five days
@@ -173,26 +174,16 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _hadoop(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _hadoop(spark, path)
+    fs, target = file_system(spark, path)
     return fs.exists(target)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, target = _hadoop(spark, path)
-    fs.delete(target, True)
-
-
 def list_folders(spark: SparkSession, path: str) -> list[str]:
-    fs, target = _hadoop(spark, path)
+    fs, target = file_system(spark, path)
     return [str(s.getPath()) for s in fs.listStatus(target) if s.isDirectory()] if fs.exists(target) else []
 
 
 def _bytes(spark: SparkSession, path: str) -> int:
-    fs, target = _hadoop(spark, path)
+    fs, target = file_system(spark, path)
     return fs.getContentSummary(target).getLength()
