@@ -174,6 +174,7 @@ class Dataset:
         return replace(self, targets=(*self.targets, target))
 
     def with_event_time_range(self, start: Any = None, end: Any = None) -> Dataset:
+        """Only rows of the base and of every group within the range, ends included."""
         return replace(self, start=start, end=end)
 
     def as_of(self, written_by: Any) -> Dataset:

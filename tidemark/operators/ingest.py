@@ -67,8 +67,9 @@ def split_valid(df: DataFrame, fg: FeatureGroup) -> tuple[DataFrame, DataFrame]:
 def online_upsert(current: DataFrame, incoming: DataFrame, fg: FeatureGroup) -> DataFrame:
     """Current records after the incoming ones: an older event time never replaces a newer one.
 
-    At equal event times the incoming row wins. The current table is not
-    shuffled while the incoming rows are small enough to broadcast.
+    At equal event times the incoming row wins; a delete marker wins like any
+    other row and stays as a marker. The current table is not shuffled while the
+    incoming rows are small enough to broadcast.
     """
     columns = current.columns
     newest = latest(incoming, fg, deleted="ignore")

@@ -46,10 +46,19 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """How often each value of each column occurs; counted before the shuffle."""
-    return _long(df, columns, "string").where("value IS NOT NULL").groupBy("name", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    """How often each value of each column occurs; counted before the shuffle.
+
+    Columns of one type are counted together, and only distinct values become text.
+    """
+    by_type: dict[str, list[str]] = {}
+    for c in columns:
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    out = None
+    for dtype, names in by_type.items():
+        counts = _long(df, names, dtype).where("value IS NOT NULL").groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+        part = counts.select("name", F.col("value").cast("string").alias("value"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def profile_entropy(df: DataFrame, columns: Sequence[str]) -> DataFrame:
