@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm import decontaminate, jaccard_join, substring_dedup
 from tidemark.llm.idfiles import read_ids, write_ids
 from tidemark.llm.packing import pack
 from tidemark.llm.token_counts import counts_only
@@ -35,6 +36,16 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+
+
 @query
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -46,3 +57,8 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts_only(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "n_class")
