@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, jaccard_join, substring_dedup
+from tidemark.llm import decontaminate, hamming_search, jaccard_join, substring_dedup
 from tidemark.llm.idfiles import read_ids, write_ids
 from tidemark.llm.packing import pack
 from tidemark.llm.token_counts import counts_only
@@ -41,6 +41,11 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, folder, "documents"))
 
 
+@query
+def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return hamming_search.search(table(spark, folder, "embeddings"))
+
+
 @query
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
