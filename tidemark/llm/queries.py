@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, hamming_search, jaccard_join, substring_dedup
+from tidemark.llm import decontaminate, hamming_search, jaccard_join, language_id, quality, substring_dedup, toxicity
 from tidemark.llm.idfiles import read_ids, write_ids
 from tidemark.llm.packing import pack
 from tidemark.llm.token_counts import counts_only
@@ -41,6 +42,18 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, folder, "documents"))
 
 
+@query
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page by all its evidence, and every document by its text and source."""
+    docs, pages = table(spark, folder, "documents"), table(spark, folder, "pages")
+    model = language_id.fit_text(docs)
+    columns = ["lang", "probability", "text_lang", "declared"]
+    of_pages = language_id.identify(pages.select(F.col("page_id").alias("id"), F.col("html").alias("body"), "url"), model)
+    of_docs = language_id.identify(docs.select(F.col("doc_id").alias("id"), F.col("text").alias("body"), F.col("source").alias("url")), model, markup=False)
+    return of_pages.select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("long").alias("page_id"), *columns).unionByName(
+        of_docs.select(F.col("id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("page_id"), *columns))
+
+
 @query
 def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return hamming_search.search(table(spark, folder, "embeddings"))
@@ -59,6 +72,18 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_ids(docs.select("doc_id"), target, manifest)
 
 
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+@query
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
 @query
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts_only(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
