@@ -108,7 +108,7 @@ def join(documents: DataFrame, key: str = "doc_id", text: str = "text", words: i
     found = durable(signatures(docs, words, minhash), "signatures")
     sets = durable(
         found.where("name is not null").groupBy("name").agg(
-            F.count(F.lit(1)).alias("n"), F.min("key").alias("least"), F.min(F.struct("r1", "r2")).alias("row")), "sets")
+            F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("key").isNull().alias("none"), "key", "r1", "r2")).alias("row")), "sets")
     # which text of a set gives the bands doesn't matter; copies send theirs once per task
     banded = found.where("name is not null").select("name", F.explode("bands").alias("bucket")).groupBy("name", "bucket").agg(F.lit(1).alias("one")).select("name", "bucket")
     banded = durable(banded, "bands")
@@ -175,9 +175,9 @@ def join(documents: DataFrame, key: str = "doc_id", text: str = "text", words: i
     links = verified.groupBy(F.col("a").alias("name")).agg(F.sum("links").alias("links"))
     classes = components(verified.where("b is not null").select("a", "b")).select(F.col("node").alias("name"), "label")
     named = sets.join(classes, "name", "left").join(links, "name", "left").withColumn("label", F.coalesce("label", "name"))
-    per_class = named.groupBy("label").agg(F.min("least").alias("class_id"), F.sum("n").alias("n_class"), F.min(F.struct("least", "row")).alias("first"))
+    per_class = named.groupBy("label").agg(F.sum("n").alias("n_class"), F.min("row").alias("first"))
     by_set = named.join(per_class, "label").select(
-        "name", "class_id", "n_class", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.col("first.row").alias("class_mark"))
+        "name", F.col("first.key").alias("class_id"), "n_class", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.struct("first.r1", "first.r2").alias("class_mark"))
     mark = F.struct("r1", "r2")
     return found.join(by_set, "name", "left").select(
         F.col("key").alias(key), "r1", "r2", F.when(F.col("name").isNull(), F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
