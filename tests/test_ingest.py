@@ -83,18 +83,18 @@ def test_hard_delete_in_place_touches_only_affected_partitions(spark, tmp_path):
 def test_routing(spark, tmp_path):
     df, fg = history(spark, [(1, 1, 1.0, 1, 1, False), (1, 2, 2.0, 1, 1, False), (None, 1, 1.0, 1, 1, False)])
     off, on = str(tmp_path / "off"), str(tmp_path / "on")
-    failed = I.ingest(df.select(*fg.names), fg, ["offline", "online"], offline_path=off, online_path=on, batch=1)
+    failed = I.ingest(df.select(*fg.names), fg, ["offline", "online"], offline_path=off, online_path=on, batch=1, writer="job")
     assert failed.count() == 1
     assert S.read_offline(spark, off).count() == 2
     assert rows(I.read_online(spark, on, fg), "id", "x") == [(1, 2.0)]
-    I.ingest(df.select(*fg.names), fg, ["online"], online_path=on, batch=1)  # the same batch again
+    I.ingest(df.select(*fg.names), fg, ["online"], online_path=on, batch=1, writer="job")  # the same batch again
     late, _ = history(spark, [(1, 0, 9.0, 9, 9, False), (5, 0, 5.0, 9, 9, False)])
-    I.ingest(late.select(*fg.names), fg, ["online"], online_path=on, batch=2)
+    I.ingest(late.select(*fg.names), fg, ["online"], online_path=on, batch=2, writer="job")
     assert rows(I.read_online(spark, on, fg), "id", "x") == [(1, 2.0), (5, 5.0)]
     I.compact_online(spark, on, fg)
     assert len(list((tmp_path / "on").glob("delta=*"))) == 1
     assert rows(I.read_online(spark, on, fg), "id", "x") == [(1, 2.0), (5, 5.0)]
-    I.ingest(late.select(*fg.names), fg, ["online"], online_path=on, batch=2)  # again after the merge
+    I.ingest(late.select(*fg.names), fg, ["online"], online_path=on, batch=2, writer="job")  # again after the merge
     assert rows(I.read_online(spark, on, fg), "id", "x") == [(1, 2.0), (5, 5.0)]
     with pytest.raises(ValueError):
         I.ingest(df, fg, ["nowhere"])
@@ -168,10 +168,10 @@ def test_compaction_in_place_rewrites_crowded_partitions_once(spark, tmp_path):
 def test_feature_added_later_is_null_in_older_rows(spark, tmp_path):
     df, fg = history(spark, [(1, 1, 1.0, 1, 1, False)])
     off, on = str(tmp_path / "off"), str(tmp_path / "on")
-    I.ingest(df.select(*fg.names), fg, ["offline", "online"], offline_path=off, online_path=on, batch=0)
+    I.ingest(df.select(*fg.names), fg, ["offline", "online"], offline_path=off, online_path=on, batch=0, writer="job")
     grown = fg.add_feature("kids", df.schema["id"].dataType)
     new, _ = history(spark, [(2, 1, 2.0, 1, 1, False)])
     new = new.select(*fg.names).withColumn("kids", new.id)
-    I.ingest(new, grown, ["offline", "online"], offline_path=off, online_path=on, batch=1)
+    I.ingest(new, grown, ["offline", "online"], offline_path=off, online_path=on, batch=1, writer="job")
     assert rows(I.read_online(spark, on, grown, ["id", "kids"])) == [(1, None), (2, 2)]
     assert rows(S.read_offline(spark, off, merge_schema=True), "id", "kids") == [(1, None), (2, 2)]

@@ -8,7 +8,7 @@ from tidemark.operators.pit import get_features, hot_records, pit_join, pit_rece
 from tidemark.skew import Skew
 
 # Every record with more than a handful of rows counts as hot.
-HOT = Skew(target_rows=5, fraction=0.01, min_bytes=0)
+HOT = Skew(target_rows=5, fraction=1e-51, min_bytes=0)
 
 
 def brute(spine, data, n=1, strict=False):
@@ -73,7 +73,7 @@ def test_hot_records_are_found_and_bounded(spark):
     from tidemark.operators import pit
 
     sides = [pit._spine(frame, "ts", "id"), pit._history(pit.Request(fg, df, ("x",)), 0)]
-    hot = hot_records(sides, Skew(target_rows=60, fraction=0.01, min_bytes=0))
+    hot = hot_records(sides, Skew(target_rows=60, fraction=1e-51, min_bytes=0))
     assert [(r["__key"], 1 < len(r["bounds"]) <= 7) for r in hot.collect()] == [(1, True)]
     assert hot_records(sides, Skew(target_rows=10, fraction=0.2, min_bytes=0)).count() == 1
     assert hot_records(sides, Skew(target_rows=10_000, min_bytes=0)) is None
@@ -129,7 +129,7 @@ def test_two_groups_keep_spine_columns_and_requested_order(spark):
     }
     features = ["customers:ZipCode", "housing:*", "payments:avg_amount", "payments:avg_days_late"]
     frames = {"customers": customers, "payments": payments, "housing": housing}
-    for skew in (None, Skew(target_rows=1, fraction=0.0, min_bytes=0)):
+    for skew in (None, Skew(target_rows=1, fraction=1e-5, min_bytes=0)):
         got = get_features(spine, "my_event_time", features, groups, frames, skew=skew)
         assert got.columns == [
             "my_event_time", "Id", "HOUSE_ID", "zipcode", "square_feet", "price", "avg_amount", "avg_days_late"

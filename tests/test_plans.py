@@ -27,7 +27,7 @@ def stored(spark, tmp_path_factory):
 
 def test_record_lookup_is_pushed_below_the_ranking(spark, stored, tmp_path):
     df, fg = stored
-    I.write_online(df, fg, str(tmp_path / "on"), 0)
+    I.write_online(df, fg, str(tmp_path / "on"), 0, "job")
     found = get_record(I.read_online(spark, str(tmp_path / "on"), fg), fg, 3)
     assert re.search(r"PushedFilters: \[[^]]*EqualTo\(id,3\)", plan(found))
 

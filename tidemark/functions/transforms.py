@@ -155,6 +155,18 @@ def one_hot(
     return sanitize_names(df.select(*base, *flags))
 
 
+def one_hot_sparse(df: DataFrame, column: str, output: str) -> DataFrame:
+    """The category of any column as a sparse 0/1 vector: its size and the place of the one, counted from 0.
+
+    Places follow the alphabet; null has none. There is no limit on categories,
+    as no column is made for each.
+    """
+    labels = durable(ordinal_labels(df, column, "alpha"), "labels")
+    joined = df.join(labels, F.col(column).cast("string") == labels["label"], "left")
+    vector = F.struct(F.lit(labels.count()).cast("long").alias("size"), F.col("label_index").alias("place"))
+    return joined.select(*[c for c in df.columns if c != output], vector.alias(output))
+
+
 def bool_to_int(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
     columns = [columns] if isinstance(columns, str) else columns
     return df.withColumns({c: F.col(c).cast("int") for c in columns})

@@ -13,13 +13,15 @@ from tidemark.model import FeatureGroup
 
 CATALOG_SCHEMA = (
     "feature_group string, feature_name string, feature_type string, "
-    "description string, params map<string,string>, created_at timestamp"
+    "description string, params map<string,string>, created_at timestamp, "
+    "group_description string, tags map<string,string>"
 )
 
 
 def catalog_frame(spark: SparkSession, groups: list[FeatureGroup], created_at: datetime) -> DataFrame:
     rows = [
-        (g.name, d["feature_name"], d["feature_type"], None, {}, created_at) for g in groups for d in g.definitions()
+        (g.name, d["feature_name"], d["feature_type"], None, {}, created_at, g.description, dict(g.tags))
+        for g in groups for d in g.definitions()
     ]
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
@@ -38,6 +40,22 @@ def describe_feature(
     return catalog
 
 
+def tag_group(catalog: DataFrame, group: str, tags: Mapping[str, str], description: str | None = None) -> DataFrame:
+    """Add or overwrite a group's tags, and its description if one is given."""
+    here = F.col("feature_group") == group
+    added = F.create_map(*[F.lit(x) for pair in tags.items() for x in pair]).cast("map<string,string>")
+    old = F.map_filter(F.coalesce("tags", F.create_map().cast("map<string,string>")), lambda k, _: ~k.isin(list(tags)))
+    out = catalog.withColumn("tags", F.when(here, F.map_concat(old, added)).otherwise(F.col("tags")))
+    if description is not None:
+        out = out.withColumn("group_description", F.when(here, F.lit(description)).otherwise(F.col("group_description")))
+    return out
+
+
+def group_tags(catalog: DataFrame) -> DataFrame:
+    """(feature_group, tag, value) of every group."""
+    return catalog.select("feature_group", F.explode("tags").alias("tag", "value")).distinct()
+
+
 def search(
     catalog: DataFrame,
     text: str | None = None,

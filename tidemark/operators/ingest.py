@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +21,13 @@ from tidemark.model import (
 )
 from tidemark.operators.latest import as_time, latest, time_literal
 from tidemark.operators.select import stamp
-from tidemark.session import delete_path, durable
+from tidemark.session import delete_path, durable, file_system
 from tidemark.sources.files import partition_stats, write_offline
 from tidemark.sources.versions import TARGET_BYTES, drop_data, list_folders
 
 REASON = "failure_reason"
 TARGETS = ("offline", "online")
-MAX_BROADCAST_PARTITIONS = 10_000
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name of a null
 
 
 def checked(df: DataFrame, fg: FeatureGroup) -> DataFrame:
@@ -68,28 +70,41 @@ def online_upsert(current: DataFrame, incoming: DataFrame, fg: FeatureGroup) ->
     """Current records after the incoming ones: an older event time never replaces a newer one.
 
     At equal event times the incoming row wins; a delete marker wins like any
-    other row and stays as a marker. The current table is not shuffled while the
-    incoming rows are small enough to broadcast.
+    other row and stays as a marker. Times are compared as instants. One join of
+    the current table with the newest incoming row of each record.
     """
     columns = current.columns
-    newest = latest(incoming, fg, deleted="ignore")
-    renamed = newest.select(*[F.col(c).alias(f"__new_{c}") for c in columns])
-    new_key, new_time = F.col(f"__new_{fg.record_id}"), F.col(f"__new_{fg.event_time}")
-    joined = current.join(renamed, F.col(fg.record_id) == new_key, "left")
-    wins = new_key.isNotNull() & (new_time >= F.col(fg.event_time))
-    updated = joined.select(*[F.when(wins, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) for c in columns])
-    known = current.select(fg.record_id).join(newest.select(fg.record_id), fg.record_id, "left_semi")
-    added = newest.join(known.distinct(), fg.record_id, "left_anti").select(*columns)
-    return updated.unionByName(added)
+    newest = latest(incoming, fg, deleted="ignore").withColumn("__came", as_time(incoming, fg.event_time))
+    renamed = newest.select("__came", *[F.col(c).alias(f"__new_{c}") for c in columns])
+    held = current.withColumns({"__was": as_time(current, fg.event_time), "__held": F.lit(True)})
+    joined = held.join(renamed, F.col(fg.record_id) == F.col(f"__new_{fg.record_id}"), "full_outer")
+    known = F.coalesce(F.col("__held"), F.lit(False))
+    later = F.col("__was").isNull() | (F.col("__came") >= F.col("__was"))
+    wins = ~known | (F.col(f"__new_{fg.record_id}").isNotNull() & F.coalesce(later, F.lit(False)))
+    return joined.select(*[F.when(wins, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) for c in columns])
 
 
 def patch(online: DataFrame, changes: DataFrame, fg: FeatureGroup) -> DataFrame:
-    """Change some features of some records; a null change keeps the old value."""
-    renamed = changes.select(*[F.col(c).alias(f"__new_{c}") for c in changes.columns])
-    joined = online.join(renamed, F.col(fg.record_id) == F.col(f"__new_{fg.record_id}"), "left")
+    """Change some features of some records; a null change keeps the old value.
+
+    The newest change of a record counts, and as in `online_upsert` only if it is
+    not older than the record. Changes without an event time always apply; of
+    several for one record the one with the largest values does.
+    """
+    timed = fg.event_time in changes.columns
+    if timed:
+        newest = latest(changes, fg, deleted="ignore")
+    else:
+        others = [c for c in changes.columns if c != fg.record_id]
+        newest = changes.groupBy(fg.record_id).agg(F.max(F.struct(*others)).alias("__last")).select(fg.record_id, "__last.*")
+    renamed = newest.select(*[F.col(c).alias(f"__new_{c}") for c in changes.columns], *([as_time(newest, fg.event_time).alias("__came")] if timed else []))
+    held = online.withColumn("__was", as_time(online, fg.event_time))
+    joined = held.join(renamed, F.col(fg.record_id) == F.col(f"__new_{fg.record_id}"), "left")
+    older = F.coalesce(F.col("__came") < F.col("__was"), F.lit(False)) if timed else F.lit(False)
     return joined.select(
         *[
-            F.coalesce(F.col(f"__new_{c}"), F.col(c)).alias(c) if c in changes.columns else F.col(c)
+            F.when(older, F.col(c)).otherwise(F.coalesce(F.col(f"__new_{c}"), F.col(c))).alias(c)
+            if c in changes.columns else F.col(c)
             for c in online.columns
         ]
     )
@@ -138,11 +153,14 @@ def hard_delete_online(
 def expire_ttl(
     online: DataFrame, history: DataFrame, fg: FeatureGroup, ttl: timedelta, now: datetime, written: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(records younger than the time to live, history with a marker per expired record)."""
+    """(records younger than the time to live, history with a marker per expired record).
+
+    A record without an event time has no age and is kept.
+    """
     oldest = now - ttl
     moment = as_time(online, fg.event_time)
     limit = time_literal(online, fg.event_time, oldest)
-    kept = online.where(moment > limit)
+    kept = online.where(moment.isNull() | (moment > limit))
     expired = online.where(moment <= limit).select(fg.record_id)
     markers = delete_markers(expired, fg, history, time_literal(history, fg.event_time, now), written)
     return kept, history.unionByName(markers)
@@ -155,11 +173,12 @@ def online_schema(fg: FeatureGroup) -> T.StructType:
     return T.StructType([*fields, *times, T.StructField(IS_DELETED, T.BooleanType())])
 
 
-def write_online(df: DataFrame, fg: FeatureGroup, path: str, batch: str | int) -> None:
+def write_online(df: DataFrame, fg: FeatureGroup, path: str, batch: str | int, writer: str) -> None:
     """Add a batch's newest rows to the online table, as one delta folder.
 
-    Writing the same batch again replaces its folder, so a repeated batch
-    changes nothing. Rows are sorted by id within files for point lookups.
+    A folder belongs to one batch of one writer: writing that batch again
+    replaces it, so a repeated batch changes nothing, and no other writer can
+    touch it. Rows are sorted by id within files for point lookups.
     """
     newest = latest(df, fg, deleted="ignore")
     absent = {c: F.lit(None) for c in (WRITE_TIME, API_TIME) if c not in df.columns}
@@ -167,7 +186,13 @@ def write_online(df: DataFrame, fg: FeatureGroup, path: str, batch: str | int) -
         absent[IS_DELETED] = F.lit(False)
     newest = newest.withColumns({fg.event_time: as_time(newest, fg.event_time), **absent})
     rows = newest.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in online_schema(fg)])
-    rows.sortWithinPartitions(fg.record_id).write.mode("overwrite").parquet(f"{path}/delta={batch}")
+    rows.sortWithinPartitions(fg.record_id).write.mode("overwrite").parquet(f"{path}/{delta_folder(writer, batch)}")
+
+
+def delta_folder(writer: str, batch: str | int) -> str:
+    if not re.fullmatch(r"[\w-]+", writer):
+        raise ValueError(f"a writer is named by letters, digits, _ and -, not {writer!r}")
+    return f"delta={writer}.{batch}"
 
 
 def read_online(spark: SparkSession, path: str, fg: FeatureGroup, features: Sequence[str] | None = None) -> DataFrame:
@@ -185,12 +210,47 @@ def compact_online(spark: SparkSession, path: str, fg: FeatureGroup) -> None:
 
     The merged delta is written before the old ones are removed. Reading both
     gives the same records as reading either, and later deltas are not touched.
+    A delta whose batch is written anew meanwhile (other files than were read) stays.
     """
-    deltas = list_folders(spark, path)
+    deltas = {folder: _files(spark, folder) for folder in list_folders(spark, path)}
+    if not deltas:
+        return
     rows = spark.read.schema(online_schema(fg)).parquet(*deltas)
-    write_online(rows, fg, path, f"merged-{uuid.uuid4().hex}")
-    for folder in deltas:
-        delete_path(spark, folder)
+    write_online(rows, fg, path, uuid.uuid4().hex, "merged")
+    for folder, files in deltas.items():
+        if _files(spark, folder) == files:
+            delete_path(spark, folder)
+
+
+def _files(spark: SparkSession, folder: str) -> set[tuple[str, int]]:
+    fs, target = file_system(spark, folder)
+    return {(str(s.getPath().getName()), s.getModificationTime()) for s in fs.listStatus(target)} if fs.exists(target) else set()
+
+
+def erase_online(spark: SparkSession, path: str, fg: FeatureGroup, ids: DataFrame) -> int:
+    """Remove every row of some ids from the stored online table, old deltas included.
+
+    Only deltas that hold such a row are written anew. Returns how many were.
+    """
+    wanted = durable(ids.select(F.col(ids.columns[0]).alias(fg.record_id)).distinct(), "erased")
+    schema = T.StructType([*online_schema(fg), T.StructField("delta", T.StringType())])
+    rows = spark.read.schema(schema).parquet(path)
+    touched = durable(rows.join(wanted, fg.record_id, "left_semi").select("delta").distinct(), "touched")
+    return rewrite_partitions(
+        spark, path, ["delta"], touched, lambda held: held.join(wanted, fg.record_id, "left_anti").select(*held.columns), schema)
+
+
+def expire_online(spark: SparkSession, path: str, fg: FeatureGroup, ttl: timedelta, now: datetime) -> DataFrame:
+    """Remove records older than the time to live from the stored online table; returns their ids.
+
+    The returned frame is fixed before anything is removed, so it can be used to
+    write their markers to the history.
+    """
+    current = read_online(spark, path, fg)
+    limit = time_literal(current, fg.event_time, now - ttl)
+    expired = durable(current.where(as_time(current, fg.event_time) <= limit).select(fg.record_id), "expired")
+    erase_online(spark, path, fg, expired)
+    return expired
 
 
 def ingest(
@@ -200,17 +260,22 @@ def ingest(
     *,
     offline_path: str | None = None,
     online_path: str | None = None,
-    batch: str | int = 0,
+    batch: str | int | None = None,
+    writer: str | None = None,
     grain: str = "hour",
     written: Column | None = None,
 ) -> DataFrame:
     """Validate a frame and write it to the chosen stores; returns the rejected rows.
 
-    A write to the online table is replicated to the history by naming both targets.
+    A write to the online table is replicated to the history by naming both
+    targets. It needs the writer's name and its number of the batch: the same
+    pair replaces what it wrote before, any other pair adds to it.
     """
     unknown = [t for t in targets if t not in TARGETS]
     if unknown or not targets:
         raise ValueError(f"targets must be among {TARGETS}, not {list(targets)}")
+    if "online" in targets and (batch is None or writer is None):
+        raise ValueError("a write to the online table needs a batch and a writer")
     valid, failed = split_valid(df, fg)
     rows = stamp(valid, written, written)
     if len(targets) > 1:
@@ -218,7 +283,7 @@ def ingest(
     if "offline" in targets:
         write_offline(rows, fg, offline_path, stamped=True, grain=grain)
     if "online" in targets:
-        write_online(rows, fg, online_path, batch)
+        write_online(rows, fg, online_path, batch, writer)
     return failed
 
 
@@ -229,6 +294,7 @@ def hard_delete_offline(spark: SparkSession, path: str, fg: FeatureGroup, keys:
     that is still needed, and the next run finishes the work. Returns the number
     of partition rewrites.
     """
+    check_layout(spark, path, keys)
     history = spark.read.parquet(path)
     marked = durable(history.where(F.col(IS_DELETED)).select(fg.record_id).distinct(), "marked")
     live = ~F.coalesce(F.col(IS_DELETED), F.lit(False))
@@ -254,20 +320,65 @@ def compact_offline(spark: SparkSession, path: str, keys: Sequence[str], target_
     File sizes follow spark.sql.adaptive.advisoryPartitionSizeInBytes. Returns
     the number of partitions rewritten; a second run finds none.
     """
+    check_layout(spark, path, keys)
     stats = partition_stats(spark, path)
     crowded = stats.where(F.col("file_count") > F.ceil(F.col("total_size") / target_bytes))
     types = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
-    values = [F.regexp_extract("partition", f"(?:^|/){k}=([^/]+)", 1).cast(types[k]).alias(k) for k in keys]
+    values = []
+    for k in keys:
+        value = F.regexp_extract("partition", f"(?:^|/){k}=([^/]+)", 1)
+        values.append(F.when(value != DEFAULT_PARTITION, F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))).cast(types[k]).alias(k))
     touched = durable(crowded.select(*values), "touched")
     return rewrite_partitions(spark, path, keys, touched, lambda rows: rows)
 
 
+def compact_stream(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+    """Merge the batch folders of a streamed history into one, partitioned by the keys.
+
+    The merged folder is written before the old ones go, in the shared folder
+    first; a batch written anew meanwhile stays. Readers should not run
+    between, as they would see rows twice.
+    """
+    batches = {folder: _tree(spark, folder) for folder in list_folders(spark, path) if "/batch=" in folder}
+    if len(batches) < 2:
+        return
+    rows = spark.read.option("basePath", path).parquet(*batches).drop("batch")
+    staged = durable(rows, "merged")
+    staged.hint("rebalance", *keys).write.partitionBy(*keys).parquet(f"{path}/batch=merged.{uuid.uuid4().hex}")
+    for folder, files in batches.items():
+        if _tree(spark, folder) == files:
+            delete_path(spark, folder)
+
+
+def _tree(spark: SparkSession, folder: str) -> set[tuple[str, int]]:
+    """Files below a folder with their times."""
+    fs, target = file_system(spark, folder)
+    found, files = fs.listFiles(target, True), set()
+    while found.hasNext():
+        status = found.next()
+        files.add((str(status.getPath()), status.getModificationTime()))
+    return files
+
+
+def check_layout(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+    """Refuse keys other than those the folders below the path are named by, before anything is written."""
+    names, folder = [], path
+    while found := [m for f in list_folders(spark, folder) if (m := re.search(r"/(([^/=]+)=[^/]*)$", f))]:
+        if len({m.group(2) for m in found}) > 1:
+            raise ValueError(f"{folder} is partitioned by several columns at once")
+        names.append(found[0].group(2))
+        folder = f"{folder.rstrip('/')}/{found[0].group(1)}"
+    if names != list(keys):
+        raise ValueError(f"{path} is partitioned by {names}, not {list(keys)}")
+
+
 def rewrite_partitions(
     spark: SparkSession,
     path: str,
     keys: Sequence[str],
     touched: DataFrame,
     change: Callable[[DataFrame], DataFrame],
+    schema: T.StructType | None = None,
 ) -> int:
     """Replace the content of some partitions by a change of it.
 
@@ -278,15 +389,33 @@ def rewrite_partitions(
     count = touched.count()
     if count == 0:
         return 0
-    history = spark.read.parquet(path)
-    side = F.broadcast(touched) if count < MAX_BROADCAST_PARTITIONS else touched
-    inside = history.join(side, [history[k].eqNullSafe(side[k]) for k in keys], "left_semi")
+    history = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    inside = history.join(touched, [history[k].eqNullSafe(touched[k]) for k in keys], "left_semi")
     staged = durable(change(inside), "rewritten")
     writer = staged.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).parquet(path)
     # Dynamic overwrite leaves alone a partition that no row remains in.
     left = staged.select(*keys).distinct()
-    emptied = touched.join(left, [touched[k].eqNullSafe(left[k]) for k in keys], "left_anti")
-    for row in emptied.toLocalIterator():
-        drop_data(spark, "/".join([path, *[f"{k}={row[k]}" for k in keys]]), confirm=True)
+    emptied = touched.join(left, [touched[k].eqNullSafe(left[k]) for k in keys], "left_anti").distinct()
+    for row in emptied.toLocalIterator():  # one folder each
+        folders = [path]
+        for k in keys:
+            folders.append(_partition_folder(spark, folders[-1], k, row[k]))
+        drop_data(spark, folders.pop(), confirm=True)
+        while len(folders) > 1 and not list_folders(spark, folders[-1]):
+            drop_data(spark, folders.pop(), confirm=True)
     return count
+
+
+def _partition_folder(spark: SparkSession, folder: str, key: str, value: Any) -> str:
+    """The folder of a partition value, by the name it has in the listing."""
+    for found in list_folders(spark, folder):
+        name, _, text = found.rsplit("/", 1)[1].partition("=")
+        plain = None if text == DEFAULT_PARTITION else unquote(text)
+        if name == key and (plain is None if value is None else plain is not None and _same(plain, value)):
+            return found
+    raise FileNotFoundError(f"{folder} has no partition {key}={value}")
+
+
+def _same(text: str, value: Any) -> bool:
+    return int(text) == value if isinstance(value, int) and re.fullmatch(r"-?\d+", text) else text == str(value)

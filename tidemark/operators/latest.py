@@ -43,7 +43,8 @@ def time_literal(df: DataFrame, name: str, value: Any) -> Column:
     literal = value if isinstance(value, Column) else F.lit(value)
     if isinstance(value, str):
         # Text bounds are upper-cased first: '2020-01-01t00:00:00z' is accepted.
-        literal = F.lit(value.upper())
+        # An offset in the text counts, so it becomes an instant before the column's type.
+        literal = F.lit(value.upper()).cast("timestamp")
     if isinstance(dtype, (T.StringType, T.NumericType)):
         return literal.cast("timestamp")
     return literal.cast(dtype)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +51,8 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EDGE_SCHEMA).parquet(path).distinct()
 
 
-def reach(edges: DataFrame, start: str, direction: str, max_depth: int) -> DataFrame:
-    """Nodes within ``max_depth`` steps of a node, with their kind and smallest depth.
+def reach(edges: DataFrame, start: str, direction: str, max_depth: int | None = None) -> DataFrame:
+    """Nodes within ``max_depth`` steps of a node, by default at any distance, with their kind and smallest depth.
 
     One join and distinct per step, only over newly found nodes, so cycles end.
     Each step is written to the shared folder: the next starts from files.
@@ -69,7 +70,7 @@ def reach(edges: DataFrame, start: str, direction: str, max_depth: int) -> DataF
     first = hop.where((F.col("at") == start) & (F.col("node") != start)).select("node", "kind").distinct()
     found = durable(first.withColumn("depth", F.lit(1)), "reach")
     frontier = found
-    for depth in range(2, max_depth + 1):
+    for depth in count(2) if max_depth is None else range(2, max_depth + 1):
         new = (
             hop.join(frontier.select(F.col("node").alias("at")), "at", "left_semi")
             .where(F.col("node") != start)
@@ -84,23 +85,23 @@ def reach(edges: DataFrame, start: str, direction: str, max_depth: int) -> DataF
     return found
 
 
-def groups_of_model(edges: DataFrame, model: str, max_depth: int = 2) -> DataFrame:
+def groups_of_model(edges: DataFrame, model: str, max_depth: int | None = None) -> DataFrame:
     return _of_kind(reach(edges, model, "up", max_depth), "feature_group")
 
 
-def models_of_group(edges: DataFrame, group: str, max_depth: int = 2) -> DataFrame:
+def models_of_group(edges: DataFrame, group: str, max_depth: int | None = None) -> DataFrame:
     return _of_kind(reach(edges, group, "down", max_depth), "model")
 
 
-def groups_of_source(edges: DataFrame, source: str, max_depth: int = 3) -> DataFrame:
+def groups_of_source(edges: DataFrame, source: str, max_depth: int | None = None) -> DataFrame:
     return _of_kind(reach(edges, source, "down", max_depth), "feature_group")
 
 
-def sources_of_group(edges: DataFrame, group: str, max_depth: int = 2) -> DataFrame:
+def sources_of_group(edges: DataFrame, group: str, max_depth: int | None = None) -> DataFrame:
     return _of_kind(reach(edges, group, "up", max_depth), "source")
 
 
-def connected(edges: DataFrame, endpoint: str, max_depth: int = 10) -> DataFrame:
+def connected(edges: DataFrame, endpoint: str, max_depth: int | None = None) -> DataFrame:
     """Everything upstream of an endpoint and everything downstream of it."""
     up = reach(edges, endpoint, "up", max_depth)
     down = reach(edges, endpoint, "down", max_depth)

@@ -14,7 +14,7 @@ from tidemark.functions.scalar import prefixed_id
 from tidemark.functions.transforms import row_positions, standard_scale
 from tidemark.model import FeatureGroup
 
-CORRELATED_COLUMNS = 20
+PAIRS = 400  # pairs of columns that one aggregation correlates
 TOP = 50
 TOP_ROWS = 100_000  # a top-n of up to this many rows is merged by one task
 
@@ -23,6 +23,18 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
+def _number(column: str) -> Column:
+    """The column as a double; NaN counts as missing."""
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _finite(column: str) -> Column:
+    """The same without infinities, which have no place in means, bins and scores."""
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+
+
 def _long(df: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
     """(name, value) pairs of several columns."""
     typed = df.select(*[F.col(c).cast(as_type).alias(c) for c in columns])
@@ -30,16 +42,20 @@ def _long(df: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, missing, minimum, maximum, mean and deviation of each numeric column, in one pass."""
+    """Count, missing, minimum, maximum, mean and deviation of each numeric column, in one pass.
+
+    NaN counts as missing; mean and deviation are those of the finite values.
+    """
     columns = list(columns or numeric_columns(df))
-    value = {c: F.col(c).cast("double") for c in columns}
+    value = {c: _number(c) for c in columns}
+    finite = {c: _finite(c) for c in columns}
     stats = {
         "value_count": lambda c: F.count(value[c]),
         "missing_count": lambda c: F.count(F.lit(1)) - F.count(value[c]),
         "minimum": lambda c: F.min(value[c]),
         "maximum": lambda c: F.max(value[c]),
-        "mean": lambda c: F.avg(value[c]),
-        "standard_deviation": lambda c: F.stddev_samp(value[c]),
+        "mean": lambda c: F.avg(finite[c]),
+        "standard_deviation": lambda c: F.stddev_samp(finite[c]),
     }
     rows = [F.struct(F.lit(c).alias("name"), *[f(c).alias(s) for s, f in stats.items()]) for c in columns]
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
@@ -95,9 +111,9 @@ class Spread:
 
 
 def spreads(df: DataFrame, columns: Sequence[str]) -> dict[str, Spread]:
-    """Range, mean and population deviation of the columns that hold values, in one pass."""
+    """Range, mean and population deviation of the columns that hold finite values, of those values, in one pass."""
     measures = (F.min, F.max, F.avg, F.stddev_pop)
-    row = df.agg(*[m(F.col(c).cast("double")) for c in columns for m in measures]).first()
+    row = df.agg(*[m(_finite(c)) for c in columns for m in measures]).first()
     found = {c: row[4 * i : 4 * i + 4] for i, c in enumerate(columns)}
     return {c: Spread(*values) for c, values in found.items() if values[0] is not None}
 
@@ -105,11 +121,11 @@ def spreads(df: DataFrame, columns: Sequence[str]) -> dict[str, Spread]:
 def profile_histogram(
     df: DataFrame, columns: Sequence[str], bins: int = 10, spread: dict[str, Spread] | None = None
 ) -> DataFrame:
-    """Row counts in bins of equal width; the highest bin includes the maximum."""
+    """Counts of finite values in bins of equal width; the highest bin includes the maximum."""
     number = {}
     for c, s in (spread or spreads(df, columns)).items():
         width = (s.high - s.low) / bins or 1.0
-        step = F.floor((F.col(c).cast("double") - F.lit(s.low)) / F.lit(width))
+        step = F.floor((_finite(c) - F.lit(s.low)) / F.lit(width))
         number[c] = F.least(step, F.lit(bins - 1).cast("long"))
     return _counted(df, number, "bin")
 
@@ -124,25 +140,34 @@ def profile_zscore(df: DataFrame, columns: Sequence[str], spread: dict[str, Spre
 
 
 def _scores(spread: dict[str, Spread]) -> dict[str, Column]:
-    return {c: (F.col(c).cast("double") - F.lit(s.mean)) / F.lit(s.deviation or 1.0) for c, s in spread.items()}
+    return {c: (_finite(c) - F.lit(s.mean)) / F.lit(s.deviation or 1.0) for c, s in spread.items()}
 
 
 def _counted(df: DataFrame, number: dict[str, Column], output: str) -> DataFrame:
     # least and greatest skip nulls, so missing values are kept out by hand.
-    bins = [F.when(F.col(c).isNotNull(), n).alias(c) for c, n in number.items()]
+    bins = [F.when(_finite(c).isNotNull(), n).alias(c) for c, n in number.items()]
     long = df.select(*bins).unpivot([], list(number), "name", output)
     return long.where(F.col(output).isNotNull()).groupBy("name", output).agg(F.count(F.lit(1)).alias("n"))
 
 
 def profile_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Correlation of each pair of columns, by default of the first 20 numeric ones, in one pass."""
-    columns = list(columns or numeric_columns(df)[:CORRELATED_COLUMNS])
-    value = {c: F.col(c).cast("double") for c in columns}
-    rows = [
-        F.struct(F.lit(a).alias("name"), F.lit(b).alias("other"), F.corr(value[a], value[b]).alias("correlation"))
-        for a, b in combinations(columns, 2)
-    ]
-    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    """Correlation of each pair of columns, by default of all numeric ones, over rows where both are finite.
+
+    One aggregation takes up to 400 pairs; more pairs take more of them.
+    """
+    columns = list(columns or numeric_columns(df))
+    pairs = list(combinations(columns, 2))
+    out = None
+    for i in range(0, max(1, len(pairs)), PAIRS):
+        rows = [
+            F.struct(F.lit(a).alias("name"), F.lit(b).alias("other"), F.corr(_finite(a), _finite(b)).alias("correlation"))
+            for a, b in pairs[i : i + PAIRS]
+        ]
+        if not rows:
+            return df.sparkSession.createDataFrame([], "name string, other string, correlation double")
+        part = df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, top: int = TOP, bins: int = 10) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.model import API_TIME, IS_DELETED, WRITE_TIME, FeatureGroup, feature_names
-from tidemark.operators.latest import by_ids
+from tidemark.operators.latest import as_time, by_ids
 
 
 def select_features(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
@@ -59,11 +60,22 @@ def get_record(current: DataFrame, fg: FeatureGroup, record_id: Any, names: Sequ
 
 
 def query(frames: Mapping[str, DataFrame], sql: str) -> DataFrame:
-    """Run SQL that names feature groups; each name is a view, so overlapping names are safe."""
+    """Run SQL that names feature groups; the views last only while the query is analysed.
+
+    Two groups whose names give one view, and a view or table of the session
+    that already has the name, are refused rather than hidden.
+    """
     spark = next(iter(frames.values())).sparkSession
-    for name, df in frames.items():
-        df.createOrReplaceTempView(view_name(name))
-    return spark.sql(sql)
+    names = [view_name(name) for name in frames]
+    if clash := {n for n in names if names.count(n) > 1 or spark.catalog.tableExists(n)}:
+        raise ValueError(f"these names are taken: {sorted(clash)}")
+    try:
+        for name, df in zip(names, frames.values(), strict=True):
+            df.createTempView(name)
+        return spark.sql(sql)
+    finally:
+        for name in names:
+            spark.catalog.dropTempView(name)
 
 
 def view_name(group: str) -> str:
@@ -71,10 +83,13 @@ def view_name(group: str) -> str:
 
 
 def sql_transform(df: DataFrame, group: str, query_fn: Callable[[str], str]) -> DataFrame:
-    """Apply a user's SQL to the frame, seen as a view named after the group."""
-    name = view_name(group)
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.sql(query_fn(name))
+    """Apply a user's SQL to the frame, seen as a view that only this call knows; the function gets its name."""
+    name = f"{view_name(group)}_{uuid.uuid4().hex}"
+    df.createTempView(name)
+    try:
+        return df.sparkSession.sql(query_fn(name))
+    finally:
+        df.sparkSession.catalog.dropTempView(name)
 
 
 def record_count(df: DataFrame) -> DataFrame:
@@ -85,8 +100,8 @@ def minmax_timestamps(df: DataFrame, fg: FeatureGroup) -> DataFrame:
     return df.agg(
         F.min(WRITE_TIME).alias("min_write_time"),
         F.max(WRITE_TIME).alias("max_write_time"),
-        F.min(fg.event_time).alias("min_event_time"),
-        F.max(fg.event_time).alias("max_event_time"),
+        F.min(as_time(df, fg.event_time)).alias("min_event_time"),
+        F.max(as_time(df, fg.event_time)).alias("max_event_time"),
     )
 
 
@@ -112,9 +127,18 @@ def recent_writes(df: DataFrame, fg: FeatureGroup, n: int = 1000) -> DataFrame:
     return df.orderBy(F.col(WRITE_TIME).desc_nulls_last(), F.col(fg.record_id).asc()).limit(n)
 
 
-def bernoulli_sample(df: DataFrame, percent: float, n: int, seed: int = 0) -> DataFrame:
-    """Each row with the given probability, then at most n rows; may return fewer than n."""
-    return df.sample(percent / 100.0, seed).limit(n)
+def bernoulli_sample(df: DataFrame, fg: FeatureGroup, percent: float, n: int, seed: int = 0) -> DataFrame:
+    """Each record with the given probability, then at most n rows, those of least hash.
+
+    Whether a record is in depends on its id and the seed alone, not on how the
+    frame is partitioned.
+    """
+    digest = F.md5(F.concat_ws(":", F.col(fg.record_id).cast("string"), F.lit(str(seed))))
+    limit = f"{min((1 << 32) - 1, int(percent / 100.0 * (1 << 32))):08x}"
+    if percent >= 100:
+        limit = "g"  # after every hexadecimal digit
+    chosen = df.withColumn("__digest", digest).where(F.substring("__digest", 1, 8) < limit)
+    return chosen.orderBy("__digest", *[F.col(c).desc_nulls_last() for c in df.columns]).limit(n).drop("__digest")
 
 
 def write_time_cutoff(df: DataFrame) -> DataFrame:

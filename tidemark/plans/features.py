@@ -250,3 +250,12 @@ def prepare_customers(spark: SparkSession, d: str) -> DataFrame:
 def prepare_products(spark: SparkSession, d: str) -> DataFrame:
     rows = frame(spark, d, "products").select("product_id", "event_time", "product_name", "product_category")
     return T.prepare_products(rows)
+
+
+@query("""
+    select o_orderkey, (select count(distinct o_custkey) from orders) as size, dense_rank() over (order by cast(o_custkey as varchar)) - 1 as place
+    from orders""")
+def one_hot_many(spark: SparkSession, d: str) -> DataFrame:
+    """A category for every customer, as sparse vectors."""
+    rows = frame(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return T.one_hot_sparse(rows, "o_custkey", "vector").select("o_orderkey", "vector.size", "vector.place")

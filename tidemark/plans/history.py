@@ -208,9 +208,23 @@ def recent_writes_topk(spark: SparkSession, d: str) -> DataFrame:
     return S.recent_writes(*with_group(spark, d, "order_facts")).select("order_id", "write_time", "purchase_amount")
 
 
-@query()
+@query("""
+    select order_id, purchase_amount from {order_facts}
+    where substr(md5(concat(order_id, ':7')), 1, 8) < '0ccccccc'
+    order by md5(concat(order_id, ':7')) limit 500""")
 def bernoulli_sample(spark: SparkSession, d: str) -> DataFrame:
-    return S.bernoulli_sample(frame(spark, d, "order_facts"), percent=5.0, n=500, seed=7)
+    sample = S.bernoulli_sample(*with_group(spark, d, "order_facts"), percent=5.0, n=500, seed=7)
+    return sample.select("order_id", "purchase_amount")
+
+
+@query("""
+    select user_id, max(event_time) as event_time from {user_activity}
+    where event_time <= timestamp '2024-01-15 00:30:00' group by user_id""")
+def as_of_offset(spark: SparkSession, d: str) -> DataFrame:
+    """A bound with an offset is an instant: 02:30 at +02:00 is half past midnight."""
+    history, fg = with_group(spark, d, "user_activity")
+    found = L.as_of(history, fg, "2024-01-15T02:30:00+02:00", deleted="ignore")
+    return found.select("user_id", "event_time")
 
 
 @query("select date_trunc('second', max(write_time)) as cutoff from {user_activity}")

@@ -87,6 +87,44 @@ def profile_correlation(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(found, "correlation", places=6)
 
 
+PART_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("\n    union all\n    ".join(
+    f"select '{a}' as name, '{b}' as other, round(corr({a}, {b}), 3) as correlation from lineitem"
+    for i, a in enumerate(PART_NUMBERS) for b in PART_NUMBERS[i + 1 :]))
+def correlation_all(spark: SparkSession, d: str) -> DataFrame:
+    """All numeric columns, without being named."""
+    return _rounded(M.profile_correlation(frame(spark, d, "lineitem").select(*PART_NUMBERS)), "correlation")
+
+
+
+@query("""
+    with t as (select case when event_id % 11 = 0 then null else value end as v,
+                      event_id % 11 <> 0 and event_id % 13 = 0 and value is not null as far from events)
+    select 'value' as name, count(v) as value_count, count(*) - count(v) as missing_count,
+           round(avg(case when not far then v end), 3) as mean,
+           round(stddev_samp(case when not far then v end), 3) as standard_deviation
+    from t""")
+def profile_nan(spark: SparkSession, d: str) -> DataFrame:
+    """NaN counts as missing, and infinities stay out of the moments."""
+    odd = F.when(F.col("event_id") % 11 == 0, float("nan")).when(F.col("value").isNotNull() & (F.col("event_id") % 13 == 0), float("inf"))
+    rows = frame(spark, d, "events").select(odd.otherwise(F.col("value")).alias("value"))
+    found = M.profile_numeric(rows, ["value"]).drop("minimum", "maximum")
+    return _rounded(found, "mean", "standard_deviation")
+
+
+@query("""
+    with n as (select distinct l_extendedprice as value from lineitem where l_extendedprice is not null)
+    select 'low' as side, value from (select value from n order by value limit 50) a
+    union all select 'high', value from (select value from n order by value desc limit 50) b""")
+def profile_extremes(spark: SparkSession, d: str) -> DataFrame:
+    row = M.profile(frame(spark, d, "lineitem").select("l_extendedprice"), ["l_extendedprice"])
+    sides = {"low": "minimumValues", "high": "maximumValues"}
+    low, high = (row.select(F.lit(n).alias("side"), F.explode(c).alias("value")) for n, c in sides.items())
+    return low.unionByName(high)
+
+
 def _reports(spark: SparkSession, d: str) -> str:
     """Reports of three runs, each over the orders known by then."""
     path = scratch_path(spark, "reports")
@@ -194,13 +232,18 @@ def split_70_20_10(spark: SparkSession, d: str) -> DataFrame:
     return N.split(frame(spark, d, "order_facts").select("order_id"), "order_id")
 
 
-@query()
+@query("""
+    select order_id, true as scored from (
+        select order_id, row_number() over (order by md5(concat_ws('-', order_id, 123))) - 1 as rn, count(*) over () as n
+        from {order_facts}) t
+    where rn >= floor(0.9 * n)""")
 def train_score(spark: SparkSession, d: str) -> DataFrame:
     rows = _training(spark, d).select("order_id", "is_reordered", *MODEL_FEATURES)
     rows = durable(N.split(rows, "order_id"), "training")
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
-    model = N.train_classifier(train, "is_reordered", MODEL_FEATURES, rounds=10)
-    return N.score(model, test.select("order_id", "is_reordered", *MODEL_FEATURES), MODEL_FEATURES)
+    model = N.train_classifier(train, "is_reordered", MODEL_FEATURES)
+    scored = N.score(model, test.select("order_id", "is_reordered", *MODEL_FEATURES), MODEL_FEATURES)
+    return scored.select("order_id", F.col("prediction_score").between(0, 1).alias("scored"))
 
 
 @query("""
@@ -276,22 +319,22 @@ def lineage_edges(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_up("model/7", 2, "feature_group"))
 def lineage_fg_of_model(spark: SparkSession, d: str) -> DataFrame:
-    return O.groups_of_model(_edges(spark, d), "model/7")
+    return O.groups_of_model(_edges(spark, d), "model/7", 2)
 
 
 @query(_down("fg/7", 2, "model"))
 def lineage_models_of_fg(spark: SparkSession, d: str) -> DataFrame:
-    return O.models_of_group(_edges(spark, d), "fg/7")
+    return O.models_of_group(_edges(spark, d), "fg/7", 2)
 
 
 @query(_down("source/7", 3, "feature_group"))
 def lineage_fg_of_source(spark: SparkSession, d: str) -> DataFrame:
-    return O.groups_of_source(_edges(spark, d), "source/7")
+    return O.groups_of_source(_edges(spark, d), "source/7", 3)
 
 
 @query(_up("fg/7", 2, "source"))
 def lineage_sources_of_fg(spark: SparkSession, d: str) -> DataFrame:
-    return O.sources_of_group(_edges(spark, d), "fg/7")
+    return O.sources_of_group(_edges(spark, d), "fg/7", 2)
 
 
 @query(REACH.format(far="src", near="dst", start="endpoint/7", limit=10, where=""))
@@ -299,6 +342,17 @@ def lineage_endpoint(spark: SparkSession, d: str) -> DataFrame:
     return O.connected(_edges(spark, d), "endpoint/7")
 
 
+@query("""
+    with recursive r(node, kind) as (
+        select dst, dst_kind from {lineage_edges} where src = 'source/7'
+        union
+        select e.dst, e.dst_kind from r join {lineage_edges} e on e.src = r.node)
+    select distinct node, kind from r""")
+def lineage_unbounded(spark: SparkSession, d: str) -> DataFrame:
+    """Everything downstream of a source, however far."""
+    return O.reach(_edges(spark, d), "source/7", "down").select("node", "kind")
+
+
 @query("""
     with recursive r(node, depth) as (
         select src, 1 from {lineage_edges} where dst = 'endpoint/7'
@@ -357,3 +411,29 @@ def feature_search(spark: SparkSession, d: str) -> DataFrame:
     where lower(feature_group) like '%#1%' group by feature_group""")
 def catalog_list(spark: SparkSession, d: str) -> DataFrame:
     return C.list_groups(_catalog(spark, d), "brand#1")
+
+
+@query("""
+    select feature_name, case when p_size % 2 = 0 then 'checked' else description end as description,
+           case when p_size % 2 = 0 then 'data' else team end as team
+    from (select *, cast(extract(day from created_at - timestamp '2024-01-01 00:00:00') as int) as p_size
+          from {feature_catalog} where feature_group = 'Brand#11') t""")
+def catalog_describe(spark: SparkSession, d: str) -> DataFrame:
+    """A description and a parameter set on some features and read back with the rest of the group."""
+    catalog = _catalog(spark, d).where("feature_group = 'Brand#11'")
+    even = catalog.where(F.dayofyear("created_at") % 2 == 1).withColumn("feature_group", F.lit("described"))
+    odd = catalog.where(F.dayofyear("created_at") % 2 == 0)
+    names = F.col("feature_name")
+    one = even.withColumn("name", names).withColumn("feature_name", F.lit("feature"))
+    one = C.describe_feature(one, "described", "feature", "checked", {"team": "data"}).withColumn("feature_name", F.col("name")).drop("name")
+    return odd.unionByName(one).select("feature_name", "description", F.try_element_at("params", F.lit("team")).alias("team"))
+
+
+@query("""
+    select distinct feature_group, 'owner' as tag, case when feature_group = 'Brand#11' then 'new' else team end as value
+    from {feature_catalog} where feature_group in ('Brand#11', 'Brand#12')
+    union all select 'Brand#11', 'stage', 'live'""")
+def catalog_tags(spark: SparkSession, d: str) -> DataFrame:
+    rows = frame(spark, d, "feature_catalog").where("feature_group in ('Brand#11', 'Brand#12')")
+    catalog = rows.withColumn("tags", F.create_map(F.lit("owner"), "team")).withColumn("group_description", F.lit(None).cast("string"))
+    return C.group_tags(C.tag_group(catalog, "Brand#11", {"owner": "new", "stage": "live"}, "parts of brand 11"))

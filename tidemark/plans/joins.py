@@ -81,7 +81,7 @@ def pit_join(spark: SparkSession, d: str) -> DataFrame:
     from {{purchases}} e {PURCHASES_PIT}""")
 def pit_left_preserve(spark: SparkSession, d: str) -> DataFrame:
     history, fg = with_group(spark, d, "user_activity")
-    found = P.pit_join(frame(spark, d, "purchases"), "ts", fg, history, strategy="join_rank")
+    found = P.pit_join(frame(spark, d, "purchases"), "ts", fg, history)
     return found.agg(
         F.count(F.lit(1)).alias("spine_rows"),
         F.countDistinct("event_id").alias("spine_ids"),

@@ -1,4 +1,4 @@
-"""Sources, sinks, ingestion, deletes, streaming and table versions."""
+"""Sources, sinks, ingestion, deletes, streaming and maintenance."""
 
 from __future__ import annotations
 
@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from tidemark.model import FeatureGroup
 from tidemark.operators import ingest as I
-from tidemark.operators.latest import drop_system, latest, materialized
+from tidemark.operators.latest import as_time, drop_system, latest, materialized
 from tidemark.plans.fixtures import frame, with_group
 from tidemark.plans.registry import query
-from tidemark.session import scratch_path
+from tidemark.session import durable, scratch_path
 from tidemark.sources import files as S
-from tidemark.sources.versions import VersionedTable
 from tidemark.sources.versions import hard_delete as _hard_delete
 from tidemark.streaming.ingest import file_stream, ingest_stream, read_ingested
 
@@ -90,9 +89,16 @@ def scan_literal(spark: SparkSession, d: str) -> DataFrame:
     return joined.groupBy("segment", "priority").agg(F.count(F.lit(1)).alias("customers"))
 
 
-@query()
+@query("select 20 as found, true as in_history, true as placed")
 def sample_file(spark: SparkSession, d: str) -> DataFrame:
-    return S.sample_file(frame(spark, d, "orders"), 20)
+    """Rows of one file of a partitioned history: all are rows of it, with their partition."""
+    path, fg = _in_small_files(spark, d)
+    history = spark.read.parquet(path)
+    some = durable(S.sample_file(history, 20), "sample")
+    known = some.join(frame(spark, d, "customer_history").select(*fg.names[:2]).distinct(), fg.names[:2], "left_semi")
+    placed = F.bool_and(F.col("year") == F.year("event_time"))
+    return some.agg(F.count(F.lit(1)).cast("int").alias("found"), placed.alias("placed")).crossJoin(
+        known.agg((F.count(F.lit(1)) == 20).alias("in_history"))).select("found", "in_history", "placed")
 
 
 @query("""
@@ -137,12 +143,16 @@ def partition_by_month(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", F.col("year_month").cast("string"))
 
 
-@query()
+@query("""
+    select distinct concat('year=', year(event_time), '/month=', month(event_time)) as partition, true as has_files,
+           true as has_bytes
+    from {customer_history}""")
 def partition_stats(spark: SparkSession, d: str) -> DataFrame:
     history, fg = with_group(spark, d, "customer_history")
     path = scratch_path(spark, "stats")
     S.write_offline(history, fg, path, stamped=True, grain="month")
-    return S.partition_stats(spark, path)
+    return S.partition_stats(spark, path).select(
+        "partition", (F.col("file_count") > 0).alias("has_files"), (F.col("total_size") > 0).alias("has_bytes"))
 
 
 @query("""
@@ -173,7 +183,7 @@ def ingest_routing(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "routing")
     failed = I.ingest(
         history.select(*fg.names), fg, ["offline", "online"], offline_path=f"{root}/offline",
-        online_path=f"{root}/online", grain="month", written=F.lit(WRITTEN),
+        online_path=f"{root}/online", batch=1, writer="routing", grain="month", written=F.lit(WRITTEN),
     )
     parts = {
         "offline": S.read_offline(spark, f"{root}/offline"),
@@ -335,79 +345,171 @@ def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-def _table(spark: SparkSession, d: str) -> tuple[VersionedTable, FeatureGroup]:
-    """A table with two versions: the history before 1998, then all of it."""
+def _in_small_files(spark: SparkSession, d: str) -> tuple[str, FeatureGroup]:
+    """The history, appended in three parts and partitioned by year."""
     history, fg = with_group(spark, d, "customer_history")
-    table = VersionedTable(spark, scratch_path(spark, "versions"))
-    early = history.where(F.col("event_time") < F.lit("1998-01-01").cast("timestamp_ntz"))
-    table.commit(early, "append", datetime(2024, 1, 1))
-    table.commit(history, "append", datetime(2024, 1, 2))
-    return table, fg
+    path = scratch_path(spark, "parts")
+    for i in range(3):
+        part = history.where(F.pmod(F.col("o_custkey"), F.lit(3)) == i)
+        S.write_offline(part, fg, path, stamped=True, grain="year")
+    return path, fg
 
 
 @query(f"select {HISTORY_COLUMNS} from {{customer_history}}")
 def compact_preserves(spark: SparkSession, d: str) -> DataFrame:
-    table, fg = _table(spark, d)
-    version = table.compact(at=datetime(2024, 1, 3))
-    return table.read(version).select(*fg.names, "is_deleted")
+    path, fg = _in_small_files(spark, d)
+    I.compact_offline(spark, path, ["year"])
+    return spark.read.parquet(path).select(*fg.names, "is_deleted")
+
+
+@query(f"""
+    select {HISTORY_COLUMNS} from {{customer_history}}
+    where o_custkey not in (select o_custkey from {{customer_history}} where is_deleted)""")
+def erase_records(spark: SparkSession, d: str) -> DataFrame:
+    path, fg = _in_small_files(spark, d)
+    I.hard_delete_offline(spark, path, fg, ["year"])
+    I.compact_offline(spark, path, ["year"])
+    return spark.read.parquet(path).select(*fg.names, "is_deleted")
 
 
 @query("""
-    select cast(0 as bigint) as version, cast(null as bigint) as parent, timestamp '2024-01-01 00:00:00' as committed_at,
-           'append' as operation, count(*) as row_count
-    from {customer_history} where event_time < timestamp '1998-01-01 00:00:00'
-    union all
-    select 1, 0, timestamp '2024-01-02 00:00:00', 'append', count(*) from {customer_history}""")
-def snapshot_log(spark: SparkSession, d: str) -> DataFrame:
-    table, _ = _table(spark, d)
-    return table.snapshots()
+    select year(event_time) as year, true as fewer_files, true as as_large from {customer_history} group by 1""")
+def compaction_stats(spark: SparkSession, d: str) -> DataFrame:
+    path, _ = _in_small_files(spark, d)
+    before = durable(S.partition_stats(spark, path), "before")
+    I.compact_offline(spark, path, ["year"])
+    after = S.partition_stats(spark, path).select("partition", F.col("file_count").alias("files_after"), F.col("total_size").alias("size_after"))
+    return before.join(after, "partition").select(
+        F.replace("partition", F.lit("year=")).cast("long").alias("year"), (F.col("files_after") < F.col("file_count")).alias("fewer_files"),
+        (F.col("size_after") > 0).alias("as_large"))
+
+
+@query("""
+    select event_id, user_id, ts, event_type, value from events
+    where user_id not in (select user_id from events where event_type = 'error' and event_id % 10 = 0)""")
+def erase_null_partition(spark: SparkSession, d: str) -> DataFrame:
+    """Some rows of the erased records have no event time, so they lie in the null partition."""
+    events = frame(spark, d, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    marked = (F.col("event_type") == "error") & (F.col("event_id") % 10 == 0)
+    users = events.where(marked).select("user_id").distinct()
+    timeless = events.join(users, "user_id", "left_semi").select(*events.columns).withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    fg = FeatureGroup.from_frame("events", events, "user_id", "ts")
+    path = scratch_path(spark, "erase-null")
+    rows = events.withColumn("is_deleted", marked).unionByName(timeless.withColumn("is_deleted", F.lit(False)))
+    for i in range(2):
+        S.write_offline(rows.where(F.col("event_id") % 2 == i), fg, path, stamped=True, grain="month")
+    I.hard_delete_offline(spark, path, fg, ["year", "month"])
+    I.compact_offline(spark, path, ["year", "month"])
+    return spark.read.parquet(path).select(*events.columns)
+
+
+def _two_writers(spark: SparkSession, d: str) -> tuple[str, FeatureGroup]:
+    """Clicks by one writer and all other events by another, under the same batch numbers."""
+    events = frame(spark, d, "events").select(*EVENT_COLUMNS)
+    fg = FeatureGroup.from_frame("events", events, "user_id", "ts")
+    path = scratch_path(spark, "online")
+    click = F.col("event_type") == "click"
+    for batch in (0, 1):
+        part = events.where(F.pmod("event_id", F.lit(2)) == batch)
+        for writer, rows in (("clicks", part.where(click)), ("others", part.where(~click))):
+            I.ingest(rows, fg, ["online"], online_path=path, batch=batch, writer=writer, written=F.lit(WRITTEN))
+    return path, fg
+
+
+@query("select user_id, max(ts) as ts from events group by user_id")
+def online_two_writers(spark: SparkSession, d: str) -> DataFrame:
+    path, fg = _two_writers(spark, d)
+    I.compact_online(spark, path, fg)
+    return I.read_online(spark, path, fg, ["user_id", "ts"])
 
 
 @query("""
-    select cast(0 as bigint) as version, 'append' as operation, count(*) as row_count
-    from {customer_history} where event_time < timestamp '1998-01-01 00:00:00'""")
-def previous_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    table, _ = _table(spark, d)
-    return table.previous_snapshot().select("version", "operation", "row_count")
+    select user_id, max(ts) as ts from events
+    where user_id not in (select user_id from events where event_type = 'error') group by user_id""")
+def erase_online_stored(spark: SparkSession, d: str) -> DataFrame:
+    path, fg = _two_writers(spark, d)
+    I.erase_online(spark, path, fg, frame(spark, d, "events").where("event_type = 'error'").select("user_id"))
+    stored = spark.read.schema(I.online_schema(fg)).parquet(path)
+    return stored.groupBy("user_id").agg(F.max("ts").alias("ts"))
 
 
-@query(f"select {HISTORY_COLUMNS} from {{customer_history}} where event_time < timestamp '1998-01-01 00:00:00'")
-def version_as_of(spark: SparkSession, d: str) -> DataFrame:
-    table, fg = _table(spark, d)
-    return table.read(0).select(*fg.names, "is_deleted")
+@query("""
+    with newest as (select user_id, max(ts) as ts from events group by user_id)
+    select 'kept' as state, user_id from newest where ts > timestamp '2024-01-29 00:00:00'
+    union all
+    select 'expired', user_id from newest where ts <= timestamp '2024-01-29 00:00:00'""")
+def ttl_online_stored(spark: SparkSession, d: str) -> DataFrame:
+    path, fg = _two_writers(spark, d)
+    expired = I.expire_online(spark, path, fg, timedelta(days=2), datetime(2024, 1, 31))
+    kept = I.read_online(spark, path, fg, ["user_id"])
+    return kept.select(F.lit("kept").alias("state"), "user_id").unionByName(expired.select(F.lit("expired").alias("state"), "user_id"))
 
 
-@query("select cast(1 as bigint) as version, count(*) as row_count from {customer_history}")
-def expire_versions(spark: SparkSession, d: str) -> DataFrame:
-    table, _ = _table(spark, d)
-    table.expire(60, now=datetime(2024, 1, 3))
-    return table.snapshots().select("version", "row_count")
+def _two_streams(spark: SparkSession, d: str) -> tuple[str, FeatureGroup]:
+    root = scratch_path(spark, "streams")
+    events = frame(spark, d, "events").select(*EVENT_COLUMNS)
+    fg = FeatureGroup.from_frame("events", events, "user_id", "ts")
+    click = F.col("event_type") == "click"
+    for name, rows in (("clicks", events.where(click)), ("others", events.where(~click))):
+        S.write_csv(rows.repartitionByRange(2, "ts"), f"{root}/{name}", header=True)
+        ingest_stream(
+            file_stream(spark, f"{root}/{name}", EVENTS_CSV, files_per_batch=1), fg, f"{root}/checkpoint-{name}",
+            offline_path=f"{root}/offline", online_path=f"{root}/online", written=F.lit(WRITTEN))
+    return root, fg
 
 
-@query("select 'version=7' as folder, count(*) as row_count from {customer_history}")
-def orphan_files(spark: SparkSession, d: str) -> DataFrame:
-    table, _ = _table(spark, d)
-    # A write that never reached the log leaves its folder behind.
-    frame(spark, d, "customer_history").write.parquet(table.folder(7))
+@query("""
+    select 'history' as store, user_id, count(*) as n, max(ts) as ts from events group by user_id
+    union all
+    select 'online', user_id, 1, max(ts) from events group by user_id""")
+def stream_two_sources(spark: SparkSession, d: str) -> DataFrame:
+    root, fg = _two_streams(spark, d)
+    parts = {"history": read_ingested(spark, f"{root}/offline"), "online": I.read_online(spark, f"{root}/online", fg)}
     found = [
-        spark.read.parquet(folder).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(folder.rsplit("/", 1)[1]).alias("folder"), "row_count"
-        )
-        for folder in table.orphans()
+        df.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("ts")).select(F.lit(name).alias("store"), "user_id", "n", "ts")
+        for name, df in parts.items()
     ]
-    out = found[0]
-    for one in found[1:]:
-        out = out.unionByName(one)
-    return out
+    return found[0].unionByName(found[1])
 
 
-@query(f"""
-    select {HISTORY_COLUMNS} from {{customer_history}}
-    where o_custkey not in (select o_custkey from {{customer_history}} where is_deleted)""")
-def erase_records(spark: SparkSession, d: str) -> DataFrame:
-    table, fg = _table(spark, d)
-    table.erase(fg, retention_seconds=60, now=datetime(2024, 1, 3))
-    return table.read().select(*fg.names, "is_deleted")
+@query("select event_id, ts, user_id, event_type, value, true as fewer_files from events")
+def stream_compact(spark: SparkSession, d: str) -> DataFrame:
+    root, fg = _two_streams(spark, d)
+    before = S.partition_stats(spark, f"{root}/offline").agg(F.sum("file_count")).first()[0]
+    I.compact_stream(spark, f"{root}/offline", ["year", "month", "day"])
+    after = S.partition_stats(spark, f"{root}/offline").agg(F.sum("file_count")).first()[0]
+    return read_ingested(spark, f"{root}/offline", EVENT_COLUMNS).withColumn("fewer_files", F.lit(after < before))
+
+
+@query("""
+    select user_id, max(ts) as moment from events where event_type in ('view', 'click') group by user_id""")
+def upsert_text_times(spark: SparkSession, d: str) -> DataFrame:
+    """Event times as ISO text of mixed precision and offsets, which order wrongly as text."""
+    events = frame(spark, d, "events").select("user_id", "ts", "event_type", "value", "event_id")
+    short = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    shifted = F.date_format(F.col("ts").cast("timestamp") + F.expr("interval 2 hours"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+02:00'")
+    text = events.withColumn("ts", F.when(F.col("event_id") % 2 == 0, short).otherwise(shifted)).drop("event_id")
+    fg = FeatureGroup.from_frame("events", text, "user_id", "ts")
+    current = latest(text.where("event_type = 'view'"), fg, deleted="ignore")
+    merged = I.online_upsert(current, text.where("event_type = 'click'"), fg)
+    return merged.select("user_id", as_time(merged, "ts").alias("moment"))
+
+
+@query("""
+    select user_id, max(ts) as ts, max(value) as value from (
+        select user_id, ts, max(value) over (partition by user_id, ts) as value,
+               max(ts) over (partition by user_id) as newest from events where event_type in ('view', 'click')) t
+    where ts = newest group by user_id""")
+def patch_newest(spark: SparkSession, d: str) -> DataFrame:
+    """Several changes a record, some older than it: only the newest may change it."""
+    events = frame(spark, d, "events").select("user_id", "ts", "value", "event_type")
+    fg = FeatureGroup.from_frame("events", events.drop("event_type"), "user_id", "ts")
+    both = events.where("event_type in ('view', 'click')")
+    users = both.select("user_id").distinct()
+    old = F.lit(datetime(2000, 1, 1)).cast("timestamp_ntz")
+    held = users.select("user_id", old.alias("ts"), F.lit(-1.0).alias("value"))
+    newest = I.patch(held, both.drop("event_type"), fg)
+    return I.patch(newest, held.withColumn("value", F.lit(-2.0)), fg)
 
 
 @query(f"""

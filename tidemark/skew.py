@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.session import durable, estimated_bytes
 
 # Slices per hot record come in these sizes; the search for a row's slice goes
-# over every STEP-th bound first, so it looks at 128 bounds at most.
-TIERS = (8, 64, 512, 4096)
+# over every STEP-th bound first. A record has at most 1 / fraction thresholds of rows,
+# so the last size suffices for any record.
+TIERS = (8, 64, 512, 4096, 32_768, 131_072)
 STEP = 64
 
 
@@ -29,6 +30,12 @@ class Skew:
     fraction: float = 1e-5
     min_bytes: int = 256 << 20
 
+    def __post_init__(self) -> None:
+        if not 1 / TIERS[-1] <= self.fraction <= 1:
+            raise ValueError(f"fraction must lie between 1 / {TIERS[-1]} and 1, as it bounds the slices")
+        if self.target_rows < 1:
+            raise ValueError("target_rows must be positive")
+
     def applies(self, *frames: DataFrame) -> bool:
         return sum(estimated_bytes(f) for f in frames) >= self.min_bytes
 

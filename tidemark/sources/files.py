@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 from typing import Any
@@ -145,11 +146,14 @@ def spread(df: DataFrame, factor: int = 3) -> DataFrame:
 
 
 def sample_file(df: DataFrame, n: int = 10) -> DataFrame:
-    """The first rows of one of the files a frame is read from."""
-    files = df.inputFiles()
-    if not files:
+    """The first rows of one of the files a frame is read from, with its partition columns."""
+    first = df.select(F.input_file_name().alias("file")).where("file <> ''").limit(1).collect()
+    if not first:
         return df.limit(0)
-    return df.sparkSession.read.schema(df.schema).parquet(files[0]).limit(n)
+    file = first[0]["file"]
+    # the table's folder ends before the first folder named by a partition value
+    base = re.split(r"/[^/=]+=", file)[0] if "=" in file else file.rsplit("/", 1)[0]
+    return df.sparkSession.read.schema(df.schema).option("basePath", base).parquet(file).limit(n)
 
 
 def partition_stats(spark: SparkSession, path: str) -> DataFrame:

@@ -1,146 +1,21 @@
-"""Version folders of a table with a small log: snapshots, time travel, expiry, compaction.
+"""Maintenance of stored tables: erasure, content checks, a catalog's own procedures.
 
-Every change writes a new ``version=N`` folder and then its log entry, so a
-reader sees a whole version or none, and nothing that is being read is ever
-overwritten. Where a table-format catalog is configured, its own procedures do
-this work instead (see ``call_procedure``).
+Tables with versions belong in a table-format catalog, whose procedures
+``call_procedure`` runs; partition folders are compacted and erased in
+``operators.ingest``.
 """
 
 from __future__ import annotations
 
-import math
-import re
-from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
-
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.model import IS_DELETED, PARTITION_COLUMNS, FeatureGroup
+from tidemark.model import IS_DELETED, FeatureGroup
 from tidemark.session import delete_path, file_system
 
-LOG_SCHEMA = "version long, parent long, committed_at timestamp, operation string, row_count long, expired boolean"
-RETENTION_SECONDS = 432_000  # fixed value: five days
 TARGET_BYTES = 128 << 20
 
 
-@dataclass(frozen=True)
-class VersionedTable:
-    spark: SparkSession
-    path: str
-
-    def folder(self, version: int) -> str:
-        return f"{self.path}/version={version}"
-
-    def log(self) -> DataFrame:
-        """Every version ever committed; expiry is the newest fact about a version."""
-        if not _exists(self.spark, f"{self.path}/_log"):
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-        entries = self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/_log")
-        facts = [F.max(c).alias(c) for c in ("parent", "committed_at", "operation", "row_count", "expired")]
-        return entries.groupBy("version").agg(*facts)
-
-    def snapshots(self) -> DataFrame:
-        """Committed versions that can still be read."""
-        return self.log().where(~F.col("expired")).drop("expired")
-
-    def _readable(self) -> list[Row]:
-        """The snapshots, oldest first: one row per version."""
-        return sorted(self.snapshots().collect(), key=lambda r: r.version)
-
-    def current_version(self) -> int | None:
-        known = self._readable()
-        return known[-1].version if known else None
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The table as of a version, by default the current one."""
-        known = [r.version for r in self._readable()]
-        wanted = (known[-1] if known else None) if version is None else version
-        if wanted not in known:
-            raise ValueError(f"{self.path} has no version {wanted}")
-        return self.spark.read.parquet(self.folder(wanted))
-
-    def commit(
-        self,
-        df: DataFrame,
-        operation: str,
-        at: datetime | None = None,
-        partition_by: tuple[str, ...] = (),
-        files: int | None = None,
-    ) -> int:
-        """Write a new version; a folder left by a failed attempt is overwritten."""
-        known = self.log().select("version", "expired").collect()
-        version = max((r.version for r in known), default=-1) + 1
-        parent = max((r.version for r in known if not r.expired), default=None)
-        if files is not None:
-            df = df.repartition(files)
-        elif partition_by:
-            df = df.hint("rebalance", *partition_by)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.folder(version))
-        rows = self.spark.read.parquet(self.folder(version)).count()
-        self._append([(version, parent, at or _now(), operation, rows, False)])
-        return version
-
-    def expire(self, retention_seconds: int = RETENTION_SECONDS, now: datetime | None = None) -> list[int]:
-        """Drop versions older than the retention time, always keeping the current one."""
-        limit = (now or _now()) - timedelta(seconds=retention_seconds)
-        rows = [r for r in self._readable()[:-1] if r.committed_at < limit]
-        # The log entry comes first: a version is unreadable before its files go.
-        if rows:
-            self._append([(r.version, r.parent, r.committed_at, r.operation, r.row_count, True) for r in rows])
-        for row in rows:
-            delete_path(self.spark, self.folder(row.version))
-        return [r.version for r in rows]
-
-    def orphans(self) -> list[str]:
-        """Version folders without a readable log entry, left by failed or expired writes."""
-        known = {r.version for r in self._readable()}
-        return [
-            folder
-            for folder in list_folders(self.spark, self.path)
-            if (m := re.search(r"/version=(\d+)$", folder)) and int(m.group(1)) not in known
-        ]
-
-    def remove_orphans(self) -> list[str]:
-        found = self.orphans()
-        for folder in found:
-            delete_path(self.spark, folder)
-        return found
-
-    def compact(self, target_bytes: int = TARGET_BYTES, at: datetime | None = None) -> int:
-        """Rewrite the current version into files near the target size, content unchanged."""
-        version = self.current_version()
-        df = self.read(version)
-        size = _bytes(self.spark, self.folder(version))
-        keys = tuple(c for c in df.columns if c in PARTITION_COLUMNS)
-        files = None if keys else max(1, math.ceil(size / target_bytes))
-        new = self.commit(df, "compact", at, keys, files)
-        if content_hash(self.spark.read.parquet(self.folder(new))).first() != content_hash(df).first():
-            raise RuntimeError(f"compaction of {self.path} changed its content")
-        return new
-
-    def previous_snapshot(self) -> DataFrame:
-        """The parent of the newest version, if it is still readable."""
-        snapshots = self.snapshots()
-        newest = snapshots.orderBy(F.col("committed_at").desc(), F.col("version").desc()).limit(1)
-        return snapshots.join(newest.select(F.col("parent").alias("version")), "version", "left_semi")
-
-    def hard_delete(self, fg: FeatureGroup, at: datetime | None = None) -> int:
-        """Rewrite without every record that has a delete marker."""
-        return self.commit(hard_delete(self.read(), fg), "delete", at)
-
-    def erase(self, fg: FeatureGroup, retention_seconds: int = RETENTION_SECONDS, now: datetime | None = None) -> int:
-        """Hard delete, compact, expire: afterwards no version older than the retention holds the record."""
-        self.hard_delete(fg, now)
-        version = self.compact(at=now)
-        self.expire(retention_seconds, now)
-        return version
-
-    def _append(self, rows: list[tuple]) -> None:
-        entries = self.spark.createDataFrame(rows, LOG_SCHEMA)
-        entries.coalesce(1).write.mode("append").json(f"{self.path}/_log")
-
-
 def hard_delete(history: DataFrame, fg: FeatureGroup) -> DataFrame:
     """All rows of records without a delete marker, whenever the marker was written."""
     marked = history.where(F.col(IS_DELETED)).select(fg.record_id).distinct()
@@ -170,20 +45,6 @@ def drop_data(spark: SparkSession, path: str, confirm: bool = False) -> None:
     delete_path(spark, path)
 
 
-def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, target = file_system(spark, path)
-    return fs.exists(target)
-
-
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     fs, target = file_system(spark, path)
     return [str(s.getPath()) for s in fs.listStatus(target) if s.isDirectory()] if fs.exists(target) else []
-
-
-def _bytes(spark: SparkSession, path: str) -> int:
-    fs, target = file_system(spark, path)
-    return fs.getContentSummary(target).getLength()

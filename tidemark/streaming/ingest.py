@@ -1,8 +1,9 @@
 """Incremental ingestion: each new file is ingested once, then current values are updated.
 
 A run drains what has arrived and stops, so a scheduler can start it as often as
-wanted. The checkpoint remembers files; each micro-batch writes to folders of its
-own number with overwrite, so a batch repeated after a failure changes nothing.
+wanted. The checkpoint remembers files and names the query; each micro-batch writes to
+folders named by the query and its number, with overwrite, so a batch repeated after a failure
+changes nothing, and streams with other checkpoints never touch each other's rows.
 Late rows always reach the history; event-time order keeps them from replacing
 newer current values, so no watermark is used and nothing is dropped as late.
 """
@@ -49,6 +50,7 @@ def ingest_stream(
     """Drain a stream into the history, the online table or both; rejected rows go to ``failed_path``."""
 
     def write(batch: DataFrame, number: int) -> None:
+        writer = "stream-" + batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         batch = batch.persist()  # used by up to three writes of this batch
         try:
             rows = transform(batch) if transform else batch
@@ -57,11 +59,11 @@ def ingest_stream(
             if offline_path:
                 values = partition_values(as_time(stamped, fg.event_time), grain)
                 placed = stamped.withColumns(values).hint("rebalance", *values)
-                placed.write.mode("overwrite").partitionBy(*values).parquet(f"{offline_path}/batch={number}")
+                placed.write.mode("overwrite").partitionBy(*values).parquet(f"{offline_path}/batch={writer}.{number}")
             if online_path:
-                write_online(stamped, fg, online_path, number)
+                write_online(stamped, fg, online_path, number, writer)
             if failed_path:
-                failed.write.mode("overwrite").json(f"{failed_path}/batch={number}")
+                failed.write.mode("overwrite").json(f"{failed_path}/batch={writer}.{number}")
         finally:
             batch.unpersist()
 
