@@ -21,6 +21,7 @@ HEADLINE = [
     "builder_pit_n_recent", "star_join", "latest_star_join", "latest_featureset", "prepare_orders",
     "prepare_customers", "ordinal_freq", "minmax_scale", "profile_numeric", "profile_entropy", "profile_topk",
     "hard_delete_anti", "online_upsert", "materialize_online", "failed_records", "split_70_20_10", "compact_preserves",
+    "compact_partitions",
 ]
 RUNS = 3
 

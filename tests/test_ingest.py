@@ -175,3 +175,62 @@ def test_feature_added_later_is_null_in_older_rows(spark, tmp_path):
     I.ingest(new, grown, ["offline", "online"], offline_path=off, online_path=on, batch=1, writer="job")
     assert rows(I.read_online(spark, on, grown, ["id", "kids"])) == [(1, None), (2, 2)]
     assert rows(S.read_offline(spark, off, merge_schema=True), "id", "kids") == [(1, None), (2, 2)]
+
+
+def test_writers_keep_to_their_own_batches(spark, tmp_path):
+    df, fg = history(spark, [(1, 1, 1.0, 1, 1, False), (2, 1, 2.0, 1, 1, False)])
+    on = str(tmp_path / "on")
+    for writer, part in (("a", df.where("id = 1")), ("b", df.where("id = 2"))):
+        I.ingest(part.select(*fg.names), fg, ["online"], online_path=on, batch=0, writer=writer)
+    assert rows(I.read_online(spark, on, fg), "id") == [(1,), (2,)]
+    for wrong in ({"batch": 0}, {"writer": "a"}, {"batch": 0, "writer": "a/b"}):
+        with pytest.raises(ValueError):
+            I.ingest(df.select(*fg.names), fg, ["online"], online_path=on, **wrong)
+    assert I.erase_online(spark, on, fg, spark.createDataFrame([(1,)], "id long")) == 1
+    assert rows(spark.read.schema(I.online_schema(fg)).parquet(on), "id") == [(2,)]
+
+
+def test_expiry_of_the_stored_table(spark, tmp_path):
+    df, fg = history(spark, [(1, 1, 1.0, 1, 1, False), (2, 50, 2.0, 1, 1, False)])
+    on = str(tmp_path / "on")
+    I.write_online(df, fg, on, 0, "a")
+    assert rows(I.expire_online(spark, on, fg, timedelta(hours=10), at(55))) == [(1,)]
+    assert rows(I.read_online(spark, on, fg), "id") == [(2,)]
+
+
+def test_erasure_in_the_null_partition_and_wrong_layouts(spark, tmp_path):
+    df, fg = history(spark, [(1, 1, 1.0, 1, 1, False), (1, None, 1.0, 1, 1, False), (1, 5, None, 2, 2, True), (2, None, 2.0, 1, 1, False), (3, None, 2.0, 1, 1, False)])
+    path = str(tmp_path / "h")
+    for part in (df.where("id <> 3"), df.where("id = 3")):
+        S.write_offline(part, fg, path, stamped=True, grain="day")
+    before = sorted(p.relative_to(path) for p in (tmp_path / "h").rglob("*"))
+    for wrong in (["year"], ["day"], ["year", "month", "day", "hour"]):
+        with pytest.raises(ValueError):
+            I.hard_delete_offline(spark, path, fg, wrong)
+    assert sorted(p.relative_to(path) for p in (tmp_path / "h").rglob("*")) == before
+    I.hard_delete_offline(spark, path, fg, ["year", "month", "day"])
+    I.compact_offline(spark, path, ["year", "month", "day"])
+    assert rows(spark.read.parquet(path), "id") == [(2,), (3,)]
+    assert {r.file_count for r in S.partition_stats(spark, path).collect()} == {1}
+
+
+def test_patch_takes_the_newest_change_and_no_older_one(spark):
+    df, fg = history(spark, [(1, 5, 1.0, 1, 1, False), (2, 5, 2.0, 1, 1, False)])
+    online = df.select("id", "event_time", "x")
+    changes = spark.createDataFrame([(1, at(6), 10.0), (1, at(7), None), (2, at(1), 20.0)], "id long, event_time timestamp, x double")
+    assert rows(I.patch(online, changes, fg), "id", "x") == [(1, 1.0), (2, 2.0)]
+    assert rows(I.patch(online, changes.drop("event_time").where("x > 10"), fg), "id", "x") == [(1, 1.0), (2, 20.0)]
+
+
+def test_upsert_compares_text_as_instants(spark):
+    shape = "id long, event_time string, x double"
+    current = spark.createDataFrame([(1, "2024-01-01T00:00:00.500Z", 1.0), (2, "2024-01-01T01:00:00+02:00", 1.0)], shape)
+    incoming = spark.createDataFrame([(1, "2024-01-01T00:00:00Z", 2.0), (2, "2024-01-01T00:30:00Z", 2.0), (3, "2024-01-01T00:00:00Z", 2.0)], shape)
+    fg = FeatureGroup.from_frame("g", current, "id", "event_time")
+    assert rows(I.online_upsert(current, incoming, fg), "id", "x") == [(1, 1.0), (2, 2.0), (3, 2.0)]
+
+
+def test_a_record_without_event_time_does_not_expire(spark):
+    df, fg = history(spark, [(1, None, 1.0, 1, 1, False), (2, 1, 1.0, 1, 1, False)])
+    kept, marked = I.expire_ttl(df, df, fg, timedelta(hours=1), at(50))
+    assert rows(kept, "id") == [(1,)] and marked.count() == 3

@@ -324,6 +324,7 @@ def compact_offline(spark: SparkSession, path: str, keys: Sequence[str], target_
     stats = partition_stats(spark, path)
     crowded = stats.where(F.col("file_count") > F.ceil(F.col("total_size") / target_bytes))
     types = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+    types = {k: T.StringType() if isinstance(t, T.NullType) else t for k, t in types.items()}  # only nulls so far
     values = []
     for k in keys:
         value = F.regexp_extract("partition", f"(?:^|/){k}=([^/]+)", 1)
