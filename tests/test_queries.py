@@ -9,6 +9,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import __spark_entry__ as entry
+from tidemark import plans
 from tools.check import TABLES, digest
 
 FOLDER = "/root/testdata/sf0.001"
@@ -22,7 +23,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(plans.QUERIES))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
     got = [tuple(r) for r in df.collect()]
