@@ -235,7 +235,8 @@ def split_70_20_10(spark: SparkSession, d: str) -> DataFrame:
 @query("""
     select order_id, true as scored from (
         select order_id, row_number() over (order by md5(concat_ws('-', order_id, 123))) - 1 as rn, count(*) over () as n
-        from {order_facts}) t
+        from {order_facts} o join {customers} c on o.customer_id = c.customer_id
+        join {products} p on o.product_id = p.product_id) t
     where rn >= floor(0.9 * n)""")
 def train_score(spark: SparkSession, d: str) -> DataFrame:
     rows = _training(spark, d).select("order_id", "is_reordered", *MODEL_FEATURES)
