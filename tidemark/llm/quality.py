@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from tidemark.llm.batches import pieces, raw
 from tidemark.llm.logistic import Logistic, logit, sigmoid
 
-LABELLED = 16_384
-POOL = 16_384
+LABELLED = 8192
+POOL = 8192
 ROUNDS = 4
 GIVE = 400
 SURE = 0.98
@@ -148,19 +148,18 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            a, b = _features(batch)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("y"), pa.array(a.tolist(), pa.list_(pa.float64())), pa.array(b.tolist(), pa.list_(pa.float64()))], names=["key", "y", "a", "b"])
+            found = pa.array([text_features(t) for t in raw(batch.column("text"))], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("key", "y", "lang", "source", "n_chars")], found], names=["key", "y", "lang", "source", "n_chars", "a"])
 
-    schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string("y int, a array<double>, b array<double>").fields])
+    schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string("y int, lang string, source string, n_chars long, a array<double>").fields])
     sample = docs.join(F.broadcast(wanted), "key").mapInArrow(measure, schema)  # at most `labelled` + `pool` keys
-    rows = sample.orderBy(F.xxhash64("key", F.lit(1)), "key", "a").limit(labelled + pool).collect()
-    known, free = [r for r in rows if r["y"] is not None], [r for r in rows if r["y"] is None]
-    width = len(metadata_features(None, None, None))
-
-    def matrix(some: list, name: str, columns: int) -> np.ndarray:
-        return np.array([r[name] for r in some], np.float64).reshape(-1, columns)
-
-    return co_train(matrix(known, "a", TEXT_FEATURES), matrix(known, "b", width), np.array([r["y"] for r in known], np.float64), matrix(free, "a", TEXT_FEATURES), matrix(free, "b", width))
+    rows = sample.orderBy(F.xxhash64("key", F.lit(1)), "key", "a").limit(labelled + pool).select("y", "lang", "source", "n_chars", "a").toArrow()
+    text_view = rows.column("a").combine_chunks().flatten().to_numpy().reshape(-1, TEXT_FEATURES)
+    metadata_view = np.array([metadata_features(*r) for r in zip(*[rows.column(c).to_pylist() for c in ("lang", "source", "n_chars")], strict=True)], np.float64)
+    metadata_view = metadata_view.reshape(len(text_view), len(metadata_features(None, None, None)))
+    y = np.array([-1 if v is None else v for v in rows.column("y").to_pylist()], np.float64)
+    known = y >= 0
+    return co_train(text_view[known], metadata_view[known], y[known], text_view[~known], metadata_view[~known])
 
 
 def score(documents: DataFrame, model: CoTrained, key: str = "doc_id", text: str = "text", keep: float = KEEP) -> DataFrame:
