@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,19 +103,23 @@ class BlockMaxIndex:
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k nearest as (cosine, example), best first, equal ones by number of the example; without cosines of 0."""
         bounds = weights @ self.most[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or (len(best) >= k and bounds[b] < -best[k - 1][0] - 1e-12):
-                break
-            scores = np.zeros(self.block)
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                a, z = self.offsets[t * self.blocks + b], self.offsets[t * self.blocks + b + 1]
-                scores[self.rows[a:z] - b * self.block] += w * self.weights[a:z]
-            some = np.flatnonzero(scores > 0)
-            best += [(-round(float(scores[i]), 12), int(self.order[b * self.block + i])) for i in some]
-            best.sort()
-            del best[k:]
-        return [(-s, i) for s, i in best]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        scores, found = np.zeros(0), np.zeros(0, np.int64)
+        at, step = 0, 4
+        while at < len(order) and not (len(scores) >= k and bounds[order[at]] < scores[k - 1] - 1e-12):
+            blocks = order[at : at + step]
+            cells = (terms[:, None] * self.blocks + blocks[None, :]).ravel()
+            first = self.offsets[cells]
+            n = self.offsets[cells + 1] - first
+            postings = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+            rows, which = np.unique(self.rows[postings], return_inverse=True)
+            exact = np.bincount(which, np.repeat(np.repeat(weights, len(blocks)), n) * self.weights[postings])
+            scores, found = np.concatenate([scores, np.round(exact, 12)]), np.concatenate([found, self.order[rows]])
+            best = np.lexsort((found, -scores))[:k]
+            scores, found = scores[best], found[best]
+            at, step = at + step, 2 * step
+        return list(zip(scores.tolist(), found.tolist(), strict=True))
 
 
 @dataclass
@@ -130,6 +134,8 @@ class Model:
     known: dict = field(default_factory=dict)
 
     def votes(self, near: list[tuple[float, int]]) -> float:
+        if not near:
+            return self.without_terms
         w = np.array([1 / (1.05 - min(1.0, s)) for s, _ in near])
         y = np.array([self.labels[i] for _, i in near])
         return float((w @ y + self.without_terms) / (w.sum() + 1))
@@ -182,11 +188,23 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     found = [(np.array(r["terms"], np.int64), np.array(r["weights"])) for r in used]
     model = Model(vocabulary, BlockMaxIndex(found, max(1, len(vocabulary.number))), np.array([r["y"] for r in used], np.float64), [r["key"] for r in used], without, None, k)
     if used:
-        own = [model.votes([x for x in model.index.search(*v, k + 1) if x[1] != i][:k]) if len(used) > 1 else without for i, v in enumerate(found)]
-        model.calibration = Logistic.fit(logit(np.array(own)[:, None]), model.labels)
+        own = np.array(_votes_of_others(docs.sparkSession, model, found))
+        model.calibration = Logistic.fit(logit(own[:, None]), model.labels)
     return model
 
 
+def _votes_of_others(spark: SparkSession, model: Model, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[float]:
+    """For each example the votes of its nearest others."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("id").to_pylist()
+            votes = [model.votes([x for x in model.index.search(*vectors[i], model.k + 1) if x[1] != i][: model.k]) for i in ids]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(votes, pa.float64())], names=["id", "vote"])
+
+    rows = spark.range(0, len(vectors), numPartitions=max(1, min(64, len(vectors) // 100))).mapInArrow(run, "id long, vote double").collect()  # at most `examples`
+    return [r["vote"] for r in sorted(rows, key=lambda r: r["id"])]
+
+
 def _choose_terms(sample: DataFrame) -> dict[bytes, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
