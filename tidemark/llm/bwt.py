@@ -53,9 +53,9 @@ def short_boundaries(text: np.ndarray, sa: np.ndarray, length: int) -> np.ndarra
             owner = np.repeat(np.arange(len(some)), w)
             keep = bwt[at] != 0
             # rows before which one symbol stands go to neighbouring rows, in the same order
-            packed = np.sort(owner[keep] << 21 | lf[at[keep]])
+            packed = np.sort(owner[keep] << 23 | lf[at[keep]])
             if len(packed):
-                to = packed & (1 << 21) - 1
+                to = packed & (1 << 23) - 1
                 new = np.empty(len(packed), bool)
                 new[0] = True
                 new[1:] = (packed[1:] != packed[:-1] + 1) | (first[to[1:]] != first[to[:-1]])

@@ -14,8 +14,10 @@ shard, whose Burrows-Wheeler transform then tells which windows repeat
    two: windows that start in the left half of the range share a longer gram, and
    so do those of the right half. Halves that are still hot are cut again, at last to
    single windows, which have one neighbourhood each. Nothing is dropped.
-4. *Shards.* Tasks read the neighbourhoods sorted, joined where they overlap in a
-   document, in shards of at most `SHARD_BYTES`, all of an anchor in one shard.
+4. *Shards.* Tasks read the neighbourhoods in the order of the first document that
+   has them, so that neighbouring anchors come together and their overlapping bytes join to one text,
+   in shards of about `SHARD_BYTES`, all of an anchor in one shard. Anchors
+   with many neighbourhoods are dealt out one by one.
 5. Marks go back to every occurrence and merge to spans per document.
 
 Hashes only decide what meets; whether windows are equal is decided by the transform
@@ -41,8 +43,12 @@ from tidemark.llm.bwt import repeated_starts
 from tidemark.session import durable
 
 LENGTH = 400
-CAP = 300
-SHARD_BYTES = 900_000
+#: Neighbourhoods of one anchor that are examined together at most: about 3 MB with two occurrences each.
+CAP = 2500
+SHARD_BYTES = 450_000
+#: Anchors with more neighbourhoods go to shards of their own.
+_TOGETHER = 64
+_STRETCH = 4096
 _SEGMENT = 1 << 18
 _PRIME = 0x9E3779B97F4A7C15
 _RANDOM = np.random.default_rng(20240229)
@@ -170,7 +176,7 @@ def _counted(occurrences: DataFrame) -> tuple[DataFrame, DataFrame]:
     repeated = durable(occurrences.join(again, "key"), "repeated")
     place = F.struct("r1", "r2", "lo")
     near = repeated.groupBy("key", "near", "width").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("one"), F.max(place).alias("two"))
-    kinds = near.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
+    kinds = near.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.min("one").alias("head"))
     return repeated, durable(near.join(kinds, "key"), "near")
 
 
@@ -199,10 +205,9 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, cap: int = CAP) -> DataF
 
 def _examined(docs: DataFrame, near: DataFrame, length: int) -> DataFrame:
     """For each neighbourhood the starts of its windows that repeat, relative to its range."""
-    alone = F.col("kinds") == 1
-    shard = F.when(alone, F.xxhash64("one.r1", "two.r1")).otherwise(F.col("key"))
-    order = F.when(alone, F.col("one.lo")).otherwise(F.lit(0))
-    placed = near.where((F.col("kinds") > 1) | (F.col("n") > 1)).select("key", "near", "width", "n", shard.alias("shard"), order.alias("at"), "one", "two")
+    together = F.col("kinds") <= _TOGETHER
+    shard = F.when(together, F.xxhash64("head.r1", F.floor(F.col("head.lo") / _STRETCH))).otherwise(F.col("key"))
+    placed = near.where((F.col("kinds") > 1) | (F.col("n") > 1)).select("key", "near", "width", "n", shard.alias("shard"), F.col("head.lo").alias("at"), "one", "two")
     slots = placed.select(
         "key", "near", "width", "n", "shard", "at", (F.col("one") == F.col("two")).alias("single"),
         F.explode(F.when(F.col("one") == F.col("two"), F.array("one")).otherwise(F.array("one", "two"))).alias("place"))
@@ -226,18 +231,16 @@ def _examined(docs: DataFrame, near: DataFrame, length: int) -> DataFrame:
 
     def examine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
-        group: list[dict] = []
+        ends: dict[tuple[int, int], int] = {}
         size = 0
         for row in _rows(batches):
-            if group and group[-1]["key"] != row["key"]:
-                held += group
-                group = []
-                if size >= SHARD_BYTES // 2:
-                    yield _marks(held, length)
-                    held, size = [], 0
-            size += _new_bytes(held, group, row)
-            group.append(row)
-        held += group
+            if held and size >= SHARD_BYTES and held[-1]["key"] != row["key"]:
+                yield _marks(held, length)
+                held, ends, size = [], {}, 0
+            held.append(row)
+            place, end = (row["r1"], row["r2"]), row["first"] + len(row["piece"])
+            size += max(0, end - max(row["first"], ends.get(place, 0)))  # bytes beyond what its document has here
+            ends[place] = max(end, ends.get(place, 0))
         if held:
             yield _marks(held, length)
 
@@ -252,14 +255,6 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield from batch.slice(i, 512).to_pylist()
 
 
-def _new_bytes(held: list[dict], group: list[dict], row: dict) -> int:
-    """Bytes of a piece beyond the piece of its document just before it."""
-    for other in reversed([*held[-4:], *group[-4:]]):
-        if (other["r1"], other["r2"]) == (row["r1"], row["r2"]):
-            return max(0, row["first"] + len(row["piece"]) - max(row["first"], other["first"] + len(other["piece"])))
-    return len(row["piece"])
-
-
 def _marks(rows: list[dict], length: int) -> pa.RecordBatch:
     """Join the pieces of each document where they overlap, and look the shard's repeats up for each row."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i]["r1"], rows[i]["r2"], rows[i]["first"]))

@@ -1,11 +1,12 @@
-"""Suffix sorting of one bounded shard by prefix doubling on packed integers."""
+"""Suffix sorting of one bounded shard by prefix doubling."""
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Symbols of a shard at most: a rank, a second rank and a slot then fit one 64-bit sort key.
-MAX_SYMBOLS = 1 << 20
+#: Symbols of a shard at most.
+MAX_SYMBOLS = 1 << 22
+#: Up to so many, a rank, a second rank and a slot fit one 64-bit sort key.
 _SLOT = 20
 
 
@@ -26,15 +27,14 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     for k in range(h):
         key <<= bits
         key[: max(0, n - k)] |= text[k:].astype(np.int64) + 1
-    packed = np.sort((key << _SLOT) | np.arange(n))
-    sa = packed & (MAX_SYMBOLS - 1)
-    packed >>= _SLOT
+    order, key = _sorted(key)
+    sa = order
     rank = np.empty(n, np.int64)
     slots = np.arange(n)
     while True:
-        new = np.empty(len(packed), bool)
+        new = np.empty(len(key), bool)
         new[0] = True
-        np.not_equal(packed[1:], packed[:-1], out=new[1:])
+        np.not_equal(key[1:], key[:-1], out=new[1:])
         rank[sa[slots]] = np.maximum.accumulate(np.where(new, slots, 0))
         alone = new.copy()
         alone[:-1] &= new[1:]
@@ -44,7 +44,16 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
         at = sa[slots]
         ahead = at + h
         second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        packed = np.sort((((rank[at] << (_SLOT + 1)) | second) << _SLOT) | np.arange(len(at)))
-        sa[slots] = at[packed & (MAX_SYMBOLS - 1)]
-        packed >>= _SLOT
+        order, key = _sorted(rank[at] * (n + 1) + second)
+        sa[slots] = at[order]
         h *= 2
+
+
+def _sorted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the keys and the keys in order; a packed sort is several times faster than an indirect one."""
+    n = len(key)
+    if n <= 1 << _SLOT and key.max() < 1 << (63 - _SLOT):
+        packed = np.sort((key << _SLOT) | np.arange(n))
+        return packed & ((1 << _SLOT) - 1), packed >> _SLOT
+    order = np.argsort(key, kind="stable")
+    return order, key[order]
