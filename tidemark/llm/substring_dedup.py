@@ -16,8 +16,7 @@ shard, whose Burrows-Wheeler transform then tells which windows repeat
    single windows, which have one neighbourhood each. Nothing is dropped.
 4. *Shards.* Tasks read the neighbourhoods in the order of the first document that
    has them, so that neighbouring anchors come together and their overlapping bytes join to one text,
-   in shards of about `SHARD_BYTES`, all of an anchor in one shard. Anchors
-   with many neighbourhoods are dealt out one by one.
+   in shards of about `SHARD_BYTES`, all of an anchor in one shard.
 5. Marks go back to every occurrence and merge to spans per document.
 
 Hashes only decide what meets; whether windows are equal is decided by the transform
@@ -45,9 +44,8 @@ from tidemark.session import durable
 LENGTH = 400
 #: Neighbourhoods of one anchor that are examined together at most: about 3 MB with two occurrences each.
 CAP = 2500
-SHARD_BYTES = 450_000
-#: Anchors with more neighbourhoods go to shards of their own.
-_TOGETHER = 64
+SHARD_BYTES = 950_000
+#: Bytes of a document whose anchors come together; times `CAP`, the most that one task can't share.
 _STRETCH = 4096
 _SEGMENT = 1 << 18
 _PRIME = 0x9E3779B97F4A7C15
@@ -205,8 +203,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, cap: int = CAP) -> DataF
 
 def _examined(docs: DataFrame, near: DataFrame, length: int) -> DataFrame:
     """For each neighbourhood the starts of its windows that repeat, relative to its range."""
-    together = F.col("kinds") <= _TOGETHER
-    shard = F.when(together, F.xxhash64("head.r1", F.floor(F.col("head.lo") / _STRETCH))).otherwise(F.col("key"))
+    shard = F.xxhash64("head.r1", F.floor(F.col("head.lo") / _STRETCH))
     placed = near.where((F.col("kinds") > 1) | (F.col("n") > 1)).select("key", "near", "width", "n", shard.alias("shard"), F.col("head.lo").alias("at"), "one", "two")
     slots = placed.select(
         "key", "near", "width", "n", "shard", "at", (F.col("one") == F.col("two")).alias("single"),
