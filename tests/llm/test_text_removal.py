@@ -9,6 +9,7 @@ import pytest
 from tests.llm import brute
 from tidemark.llm import decontaminate as D
 from tidemark.llm import jaccard_join as J
+from tidemark.llm import substring_dedup as S
 from tidemark.llm.bwt import repeated_starts
 from tidemark.llm.fmindex import FMIndex
 from tidemark.llm.graph import components
@@ -77,6 +78,37 @@ def test_repeats_in_texts(spark):
     assert remove_repeats(frame(spark, [])).collect() == []
 
 
+def test_anchors_do_not_depend_on_segments(monkeypatch):
+    data = np.random.default_rng(1).integers(0, 3, 5000).astype(np.uint8)
+
+    def found(segment):
+        monkeypatch.setattr(S, "_SEGMENT", segment)
+        return [tuple(x) for key, near, lo, _ in S.find_anchors(data, 20) for x in zip(key.tolist(), near.tolist(), lo.tolist())]
+
+    assert found(64) == found(7) == found(1) == found(1 << 18)
+
+
+def noise(rng, n):
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+
+def test_nothing_is_cut_where_segments_meet(spark):
+    rng = random.Random(11)
+    big = noise(rng, 620_000)
+    docs = [(0, big), (1, noise(rng, 50) + big[300_000:300_150] + noise(rng, 50))]
+    got = {r[0]: [tuple(r)[1:]] for r in remove_repeats(frame(spark, docs), length=100).collect()}
+    assert got == brute.repeats(docs, 100)
+
+
+def test_nothing_is_cut_where_halves_meet(spark):
+    rng, docs = random.Random(11), []
+    for i in range(60):
+        shared = noise(rng, 19)
+        docs += [(100 * i + j, noise(rng, 40) + shared + noise(rng, 40)) for j in range(8)]
+    got = {r[0]: [tuple(r)[1:]] for r in remove_repeats(frame(spark, docs), length=20, cap=3).collect()}
+    assert got == brute.repeats(docs, 20)
+
+
 def test_fm_index():
     rng = np.random.default_rng(0)
     for _ in range(30):

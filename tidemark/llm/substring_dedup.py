@@ -101,6 +101,7 @@ def find_anchors(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np
     """Keys, neighbourhoods' hashes and first window starts (relative to the text, before clipping), and the starts' range."""
     gram = max(1, length // 2)
     width = length - gram
+    last = -1
     for a, b, c, d in _segments(data, length):
         part = data[c:d]
         hashes = Hashes(part)
@@ -112,6 +113,10 @@ def find_anchors(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np
         least = window_minimum(packed, width + 1)
         chosen = least[np.concatenate([[True], least[1:] != least[:-1]])]
         where = np.unique((low - (chosen & low)).astype(np.int64))
+        where = where[where + a > last]  # windows on both sides of a cut mostly have the same anchor
+        if not len(where):
+            continue
+        last = int(where[-1]) + a
         anchor = where + (a - c)
         yield grams[where].view(np.int64), _near(hashes, anchor - width, width, length, len(data), c), anchor - width + c, width
 
@@ -141,6 +146,15 @@ def _occurrences(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, OCCURRENCE)
 
 
+def halved(los: np.ndarray, widths: np.ndarray, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of the ranges that hold starts in [0, last], each once, as ranges of different anchors can have one in common."""
+    mid = widths // 2
+    lo, width = np.concatenate([los, los + mid + 1]), np.concatenate([mid, widths - mid - 1])
+    valid = (np.maximum(lo, 0) <= np.minimum(lo + width, last)) & (width >= 0)
+    lo, width = np.unique(np.stack([lo[valid], width[valid]]), axis=1)
+    return lo, width
+
+
 def _halves(docs: DataFrame, hot: DataFrame, length: int) -> DataFrame:
     """Occurrences of the two longer grams that each hot one is cut into."""
 
@@ -150,19 +164,12 @@ def _halves(docs: DataFrame, hot: DataFrame, length: int) -> DataFrame:
             for r1, r2, text, ranges in zip(batch.column("r1").to_pylist(), batch.column("r2").to_pylist(), raw(batch.column("text")), batch.column("ranges").to_pylist(), strict=True):
                 data = np.frombuffer(text, np.uint8)
                 size = len(data)
-                los = np.array([x["lo"] for x in ranges], np.int64)
-                widths = np.array([x["width"] for x in ranges], np.int64)
-                mid = widths // 2
-                out: list[tuple] = []
+                lo, width = halved(np.array([x["lo"] for x in ranges], np.int64), np.array([x["width"] for x in ranges], np.int64), size - length)
                 hashes = Hashes(data)
-                for lo, width in ((los, mid), (los + mid + 1, widths - mid - 1)):
-                    valid = (np.maximum(lo, 0) <= np.minimum(lo + width, size - length)) & (width >= 0)
-                    lo, width = lo[valid], width[valid]
-                    key = hashes.of(lo + width, lo + length).view(np.int64)
-                    first, last = np.maximum(lo, 0), np.minimum(lo + width + length, size)
-                    near = (hashes.of(first, last) ^ ((first - lo).astype(np.uint64) * np.uint64(_PRIME))).view(np.int64)
-                    out.append((key, near, np.full(len(key), r1), np.full(len(key), r2), lo, width))
-                yield table(schema, {name: np.concatenate(c) for name, c in zip(schema.names, zip(*out, strict=True), strict=True)})
+                key = hashes.of(lo + width, lo + length).view(np.int64)
+                first, last = np.maximum(lo, 0), np.minimum(lo + width + length, size)
+                near = (hashes.of(first, last) ^ ((first - lo).astype(np.uint64) * np.uint64(_PRIME))).view(np.int64)
+                yield table(schema, dict(zip(schema.names, (key, near, np.full(len(key), r1), np.full(len(key), r2), lo, width), strict=True)))
 
     by_doc = hot.groupBy("r1", "r2").agg(F.collect_set(F.struct("lo", "width")).alias("ranges"))
     return docs.join(by_doc, ["r1", "r2"]).select("r1", "r2", "text", "ranges").mapInArrow(run, OCCURRENCE)
