@@ -101,6 +101,15 @@ def test_toxicity_on_held_out_documents(spark):
     assert found.score.between(0, 1).all() and ((found.score >= 0.5) == (found.predicted == 1)).all()
 
 
+def test_toxicity_on_held_out_documents_of_a_small_table(spark):
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    model = X.fit(docs, labels)
+    found = X.score(docs, model).join(labels, "doc_id").where("held_out and toxic = 1").toPandas()
+    assert found.evidence.map(len).min() > 0 and found.predicted.mean() > 0.6
+    words = {w for r in docs.join(labels.where(~X.held_out("doc_id")), "doc_id").select("text").collect() for w in X.split_words((r["text"] or "").encode())}
+    assert words <= set(model.vocabulary.number)
+
+
 def odd_documents(spark):
     rows = [(1, "fine words here"), (2, None), (3, ""), (None, "x"), (1, "fine words here"), (5, "w " * 50_000)]
     return spark.createDataFrame([(k, t, 9, "s", 0.1, "en", None, None) for k, t in rows], "doc_id long, text string, key int, row string, score double, lang string, source string, n_chars long")

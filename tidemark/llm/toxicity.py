@@ -2,27 +2,30 @@
 
 * *Examples.* At most `EXAMPLES` labelled documents, those of least hash; rows
   whose crc32(doc_id) mod 5 is 0 are never among them.
-* *Terms.* Words and the first five letters of longer ones. Those whose
-  presence among the examples goes with the label (chi-square of at least `CHI`, in
-  `MIN_DOCS` examples or more) make the vocabulary. Their document frequencies come from all documents.
+* *Terms.* All words of the examples and the first five letters of longer ones. A term
+  weighs its inverse document frequency, from all documents, times the smoothed log odds
+  of the label where it occurs (`_leaning`), so that words which go with a label decide
+  which texts are near. No term is left out, however rare it is or however small the table.
 * *Index.* Postings of the examples by term, in blocks of `BLOCK` examples with
-  each term's greatest weight in the block. A block's bound is the query's
+  each term's greatest weight in the block, kept only where there is one. A block's bound is the query's
   weights times these; blocks are opened by falling bound until no other can
   reach the k-th best, so the k nearest are exact.
 * *Score.* Votes of the k nearest, weighted by closeness, are calibrated by a
   logistic fit on the examples themselves, each without its own vote. Texts that share no
-  term with the vocabulary get the smoothed share of toxic ones among such examples.
+  word with any example get the smoothed share of toxic ones among such examples.
 
 Documents are read twice (frequencies, scores) and not shuffled; what goes to
-the tasks is bounded by the example and vocabulary sizes. Null text is empty.
+the tasks is bounded by the examples and their words. Null text is empty.
 Repeated labels of a document count once, as toxic if any is. Null labels don't count. Without
 labels all scores are the same low prior.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +38,8 @@ from tidemark.llm.decontaminate import split_words
 from tidemark.llm.logistic import Logistic, logit
 
 EXAMPLES = 16_384
-VOCABULARY = 2048
-CHI = 40.0
-MIN_DOCS = 8
+#: Examples without any lean that a term's odds are smoothed by.
+SMOOTHING = 4.0
 NEAREST = 25
 BLOCK = 64
 PREFIX = 5
@@ -57,16 +59,16 @@ class Vocabulary:
     plain: set[bytes] = field(default_factory=set)
 
     def counts(self, text: bytes) -> dict[int, int]:
-        words = split_words(text)
         out: dict[int, int] = {}
-        for word in set(words).difference(self.plain):
+        for word, times in Counter(split_words(text)).items():
+            if word in self.plain:
+                continue
             found = [self.number[t] for t in terms_of(word) if t in self.number]
             if not found:
                 if len(self.plain) > _MEMORY:
                     self.plain.clear()
                 self.plain.add(word)
                 continue
-            times = words.count(word)
             for t in found:
                 out[t] = out.get(t, 0) + times
         return out
@@ -75,47 +77,64 @@ class Vocabulary:
         """Terms in order and their weights, of unit length."""
         counts = self.counts(text)
         terms = np.array(sorted(counts), np.int64)
-        weights = np.array([1 + np.log(counts[t]) for t in terms.tolist()]) * self.idf[terms]
-        return terms, weights / np.sqrt(weights @ weights) if len(terms) else weights
+        weights = (1 + np.log(np.array([counts[t] for t in terms.tolist()], np.float64))) * self.idf[terms]
+        size = np.sqrt(weights @ weights)
+        return (terms, weights / size) if size else (terms[:0], weights[:0])
 
     def __getstate__(self) -> dict:
         return {"number": self.number, "idf": self.idf, "plain": set()}
 
 
+def _mark(terms: np.ndarray, weights: np.ndarray) -> bytes:
+    return hashlib.blake2b(terms.astype(np.int32).tobytes() + weights.tobytes(), digest_size=16).digest()
+
+
+def _runs(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ... of each run, n of them."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - first, n)
+
+
 class BlockMaxIndex:
-    """Exact cosine search over unit vectors with few terms each."""
+    """Exact cosine search over unit vectors of positive weights."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK) -> None:
         # examples led by one term stand together, so bounds are tight
         lead = [int(t[np.argmax(w)]) for t, w in vectors]
         self.order = np.array(sorted(range(len(vectors)), key=lambda i: (lead[i], len(vectors[i][0]), i)), np.int64)
         self.block, self.blocks = block, -(-len(vectors) // block)
-        rows = np.concatenate([np.full(len(vectors[i][0]), at) for at, i in enumerate(self.order)]) if vectors else np.zeros(0, np.int64)
-        term = np.concatenate([vectors[i][0] for i in self.order]) if vectors else np.zeros(0, np.int64)
+        rows = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(vectors[i][0]) for i in self.order])
+        term = np.concatenate([vectors[i][0] for i in self.order]).astype(np.int32) if vectors else np.zeros(0, np.int32)
         weight = np.concatenate([vectors[i][1] for i in self.order]) if vectors else np.zeros(0)
-        by_term = np.lexsort((rows, term))
+        by_term = np.argsort(term, kind="stable")  # rows stay in order
         self.rows, term, self.weights = rows[by_term], term[by_term], weight[by_term]
-        cell = term * self.blocks + self.rows // block
-        self.offsets = np.searchsorted(cell, np.arange(terms * self.blocks + 1))
-        self.most = np.zeros((terms, max(1, self.blocks)))
-        np.maximum.at(self.most.reshape(-1), cell, self.weights)
+        # cells: the postings of one term in one block, with their greatest weight
+        blocks = self.rows // block
+        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(term)), bool), (term[1:] != term[:-1]) | (blocks[1:] != blocks[:-1])]))
+        self.starts = np.concatenate([first, [len(term)]])
+        self.cell_block = blocks[first].astype(np.int32)
+        self.most = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
+        self.cells = np.searchsorted(term[first], np.arange(terms + 1))
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k nearest as (cosine, example), best first, equal ones by number of the example; without cosines of 0."""
-        bounds = weights @ self.most[terms]
+        cells = _runs(self.cells[terms], self.cells[terms + 1] - self.cells[terms])
+        of = np.repeat(weights, self.cells[terms + 1] - self.cells[terms])
+        bounds = np.bincount(self.cell_block[cells], of * self.most[cells], self.blocks)
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
+        wanted = self.cell_block[cells]
         scores, found = np.zeros(0), np.zeros(0, np.int64)
         at, step = 0, 4
-        while at < len(order) and not (len(scores) >= k and bounds[order[at]] < scores[k - 1] - 1e-12):
-            blocks = order[at : at + step]
-            cells = (terms[:, None] * self.blocks + blocks[None, :]).ravel()
-            first = self.offsets[cells]
-            n = self.offsets[cells + 1] - first
-            postings = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-            rows, which = np.unique(self.rows[postings], return_inverse=True)
-            exact = np.bincount(which, np.repeat(np.repeat(weights, len(blocks)), n) * self.weights[postings])
-            scores, found = np.concatenate([scores, np.round(exact, 12)]), np.concatenate([found, self.order[rows]])
+        while at < len(order) and not (len(scores) >= k and bounds[order[at]] < scores[k - 1] - 1e-11):
+            opened = np.zeros(self.blocks, bool)
+            opened[order[at : at + step]] = True
+            some = opened[wanted]
+            first = self.starts[cells[some]]
+            n = self.starts[cells[some] + 1] - first
+            postings = _runs(first, n)
+            sums = np.bincount(self.rows[postings], np.repeat(of[some], n) * self.weights[postings], len(self.order))
+            rows = np.flatnonzero(sums)
+            scores, found = np.concatenate([scores, np.round(sums[rows], 12)]), np.concatenate([found, self.order[rows]])
             best = np.lexsort((found, -scores))[:k]
             scores, found = scores[best], found[best]
             at, step = at + step, 2 * step
@@ -145,7 +164,7 @@ class Model:
         terms, weights = self.vocabulary.vector(text)
         if not len(terms) or not len(self.labels):
             return self.without_terms, []
-        mark = (terms.tobytes(), weights.tobytes())
+        mark = _mark(terms, weights)
         if mark not in self.known:
             near = self.index.search(terms, weights, self.k)
             raw_vote = self.votes(near)
@@ -169,26 +188,30 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     marked = labels.where(~held_out(key) & F.col(f"`{key}`").isNotNull() & F.col(f"`{label}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("key")).agg(F.max((F.col(f"`{label}`") > 0).cast("int")).alias("y"))
     chosen = marked.orderBy(F.xxhash64("key"), "key").limit(examples)
     sample = docs.join(F.broadcast(chosen), "key")  # at most `examples` rows of numbers
-    vocabulary = Vocabulary(_choose_terms(sample))
+    number, leaning = _leaning(sample)
+    vocabulary = Vocabulary(number)
     n, frequency = _document_frequencies(docs, vocabulary)
-    vocabulary.idf = np.log((n + 1) / (frequency + 1)) + 1
-    number = vocabulary
+    vocabulary.idf = (np.log((n + 1) / (frequency + 1)) + 1) * leaning
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            found = [number.vector(t) for t in raw(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("y"), pa.array([t for t, _ in found], pa.list_(pa.int64())), pa.array([w for _, w in found], pa.list_(pa.float64()))], names=["key", "y", "terms", "weights"])
-
-    schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string("y int, terms array<long>, weights array<double>").fields])
-    rows = sorted(sample.select("key", "y", "text").mapInArrow(vectors, schema).collect(), key=lambda r: (str(r["key"]), r["terms"], r["weights"]))
-    plain = [r["y"] for r in rows if not r["terms"]]
-    used = [r for r in rows if r["terms"]]
-    share = sum(r["y"] for r in rows) / len(rows) if rows else 0.1
+            found = [vocabulary.vector(t) for t in raw(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("y"), pa.array([t for t, _ in found], pa.list_(pa.int32())), pa.array([w for _, w in found], pa.list_(pa.float64()))], names=["key", "y", "terms", "weights"])
+
+    schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string("y int, terms array<int>, weights array<double>").fields])
+    rows = sample.select("key", "y", "text").mapInArrow(vectors, schema).toArrow()
+    keys, y = rows.column("key").to_pylist(), rows.column("y").to_pylist()
+    numbers, weights = ([x.values.to_numpy() for x in rows.column(c)] for c in ("terms", "weights"))
+    order = sorted(range(len(keys)), key=lambda i: (str(keys[i]), _mark(numbers[i], weights[i])))
+    plain = [y[i] for i in order if not len(numbers[i])]
+    used = [i for i in order if len(numbers[i])]
+    share = sum(y) / len(y) if y else 0.1
     without = (sum(plain) + share) / (len(plain) + 1)
-    found = [(np.array(r["terms"], np.int64), np.array(r["weights"])) for r in used]
-    model = Model(vocabulary, BlockMaxIndex(found, max(1, len(vocabulary.number))), np.array([r["y"] for r in used], np.float64), [r["key"] for r in used], without, None, k)
+    found = [(numbers[i], weights[i]) for i in used]
+    model = Model(vocabulary, BlockMaxIndex(found, max(1, len(vocabulary.number))), np.array([y[i] for i in used], np.float64), [keys[i] for i in used], without, None, k)
     if used:
-        own = np.array(_votes_of_others(docs.sparkSession, model, found))
+        del rows, numbers, weights
+        own = np.array(_votes_of_others(docs.sparkSession, replace(model, vocabulary=Vocabulary({})), found))  # only the index goes to the tasks
         model.calibration = Logistic.fit(logit(own[:, None]), model.labels)
     return model
 
@@ -205,7 +228,8 @@ def _votes_of_others(spark: SparkSession, model: Model, vectors: list[tuple[np.n
     return [r["vote"] for r in sorted(rows, key=lambda r: r["id"])]
 
 
-def _choose_terms(sample: DataFrame) -> dict[bytes, int]:
+def _leaning(sample: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
+    """Numbers of all terms of the examples, and how far each term's smoothed odds of the label are from those of all."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             found: dict[bytes, list[int]] = {}
@@ -217,14 +241,14 @@ def _choose_terms(sample: DataFrame) -> dict[bytes, int]:
     totals = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     clean, toxic = totals.get(0, 0), totals.get(1, 0)
     if not clean or not toxic:
-        return {}
-    counted = sample.select("y", "text").mapInArrow(count, "term binary, clean long, toxic long").groupBy("term").agg(F.sum("clean").cast("double").alias("b"), F.sum("toxic").cast("double").alias("a"))
-    n = float(clean + toxic)
-    cross = F.col("a") * (clean - F.col("b")) - F.col("b") * (toxic - F.col("a"))
-    seen = F.col("a") + F.col("b")
-    chi = n * cross * cross / (seen * (n - seen) * clean * toxic)
-    best = counted.where(seen.between(MIN_DOCS, n - 1)).withColumn("chi", chi).where(F.col("chi") >= CHI).orderBy(F.desc("chi"), "term").limit(VOCABULARY)
-    return {bytes(r["term"]): i for i, r in enumerate(best.select("term").collect())}
+        return {}, np.zeros(0)
+    counted = sample.select("y", "text").mapInArrow(count, "term binary, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
+    a, b = (counted.column(c).to_numpy().astype(np.float64) for c in ("toxic", "clean"))
+    share = toxic / (clean + toxic)
+    odds = np.log((a + SMOOTHING * share) / (b + SMOOTHING * (1 - share)) / (share / (1 - share)))
+    terms = counted.column("term").to_pylist()
+    order = sorted(range(len(terms)), key=terms.__getitem__)
+    return {terms[i]: at for at, i in enumerate(order)}, np.abs(odds[order])
 
 
 def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.ndarray]:
@@ -240,8 +264,8 @@ def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int,
         yield table(pa.schema([("term", pa.int64()), ("n", pa.int64())]), {"term": some, "n": total[some]})
 
     out = np.zeros(len(vocabulary.number) + 1, np.int64)
-    for r in docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        out[r["term"]] = r["n"]
+    found = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out[found.column("term").to_numpy()] = found.column("n").to_numpy()
     return int(out[-1]), out[:-1]
 
 
