@@ -191,6 +191,17 @@ def test_evidence_decides_where_text_is_silent(spark):
     assert {r["lang"] for r in L.identify(rows, L.fit_text(docs.limit(0))).collect()} == {None}
 
 
+def test_every_language_counts_and_rare_ones_are_sampled(spark):
+    rng = random.Random(6)
+    names = [a + b for a in "abcdefgh" for b in "klmnopqrs"]
+    words = {l: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(8)] for l in names}
+    rows = [(l, " ".join(words[l])) for l in names for _ in range(1 if l == "ak" else 2)] + [("bk", " ".join(words["bk"]))] * 400
+    docs = spark.createDataFrame([(i, t, l) for i, (l, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = L.fit_text(docs, sample=40)
+    assert model.languages == sorted(names)
+    assert {l for l in names if model.languages[int(model.likelihoods(" ".join(words[l]).encode()).argmax())] == l} == set(names)
+
+
 def test_address_parts():
     assert L.address_parts("https://m.shop.example.co.de:8080/fr/25#top") == ("m.shop.example.co.de", "co.de", "de", "fr")
     assert L.address_parts("http://en.example.org/") == ("en.example.org", "example.org", "org", "en")

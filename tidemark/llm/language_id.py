@@ -3,8 +3,10 @@
 log P(l | page) = t * log P(text | l) + log P(declared | l) + log P(address | l) + log P(l | host)
 
 * *Text*: letter trigrams, hashed, with smoothed frequencies per language from a
-  bounded sample of labelled documents; `t` tempers their sum, as trigrams aren't
-  independent, and is chosen on the other half of the sample.
+  sample of labelled documents, drawn per language: all documents of a language that has
+  up to `SAMPLE`, about `SAMPLE` of one that has more. Every language in the table counts. `t`
+  tempers their sum, as trigrams aren't independent; it is chosen with frequencies from
+  one half of the sample on the other half, then both halves are counted.
 * *Declared*: the language that the markup names (html lang, xml:lang or
   content-language), and *address*: a language code in the path or in front of the
   host. How far to trust either comes from grouped counts over all pages of what is
@@ -36,7 +38,6 @@ from tidemark.llm.batches import pieces, raw, texts
 from tidemark.session import durable
 
 SAMPLE = 8192
-LANGUAGES = 64
 SMOOTHING = 5.0
 _SLOTS = 1 << 13
 _TEMPERS = (1.0, 0.3, 0.1, 0.03, 0.01)
@@ -89,43 +90,47 @@ class TextModel:
 
 def fit_text(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> TextModel:
     docs = documents.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"), F.lower(F.col(f"`{lang}`").cast("string")).alias("lang")).where("lang is not null and key is not null")
-    names = [r["lang"] for r in docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    names = sorted(names)
+    sizes = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().collect()}
+    names = sorted(sizes)
     if not names:
         return TextModel([], np.zeros((0, _SLOTS)))
-    chosen = docs.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(sample)
-    rows = docs.join(F.broadcast(chosen), "key")  # at most `sample` keys
-    first = F.pmod(F.xxhash64("key", F.lit(3)), F.lit(2)) == 0
+    number = {name: i for i, name in enumerate(names)}
+    shares = docs.sparkSession.createDataFrame([(name, min(1.0, sample / n)) for name, n in sizes.items()], "lang string, share double")
+    drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
+    half = F.pmod(F.xxhash64("key", F.lit(3)), F.lit(2)).cast("int").alias("half")
+    rows = docs.join(F.broadcast(shares), "lang").where(drawn).select("lang", half, "text")  # one row a language is broadcast
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(names), _SLOTS))
+        total: dict[tuple[int, int], np.ndarray] = {}
         for batch in pieces(batches, "text"):
-            for name, data in zip(batch.column("lang").to_pylist(), raw(batch.column("text")), strict=True):
-                if name in names:
-                    total[names.index(name)] += trigrams(data)
-        lang_at, slot = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(lang_at, pa.int32()), pa.array(slot, pa.int32()), pa.array(total[lang_at, slot], pa.float64())], names=["lang", "slot", "n"])
-
-    counts = np.full((len(names), _SLOTS), 0.1)
-    for r in rows.where(first).select("lang", "text").mapInArrow(count, "lang int, slot int, n double").groupBy("lang", "slot").agg(F.sum("n").alias("n")).collect():
-        counts[r["lang"], r["slot"]] += r["n"]
-    model = TextModel(names, np.log(counts / counts.sum(1, keepdims=True)))
+            for name, at, data in zip(batch.column("lang").to_pylist(), batch.column("half").to_pylist(), raw(batch.column("text")), strict=True):
+                place = at, number[name]
+                total[place] = total[place] + trigrams(data) if place in total else trigrams(data)
+        for (at, lang_at), n in total.items():
+            slot = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), at), pa.int32()), pa.array(np.full(len(slot), lang_at), pa.int32()), pa.array(slot, pa.int32()), pa.array(n[slot], pa.float64())], names=["half", "lang", "slot", "n"])
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            x = [model.likelihoods(d).tolist() for d in raw(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(x, pa.list_(pa.float64()))], names=["lang", "x"])
+    found = rows.mapInArrow(count, "half int, lang int, slot int, n double").groupBy("half", "lang", "slot").agg(F.sum("n").alias("n")).toArrow()
+    halves = np.zeros((2, len(names), _SLOTS))
+    halves[tuple(found.column(c).to_numpy() for c in ("half", "lang", "slot"))] = found.column("n").to_numpy()
 
-    tried = rows.where(~first).select("lang", "text").mapInArrow(measure, "lang string, x array<double>").collect()
-    tried = [r for r in tried if r["lang"] in names]
-    if tried:
-        x, at = np.array([r["x"] for r in tried]), np.array([names.index(r["lang"]) for r in tried])
+    def fitted(n: np.ndarray) -> TextModel:
+        return TextModel(names, np.log((n + 0.1) / (n + 0.1).sum(1, keepdims=True)))
 
-        def loss(t: float) -> float:
-            z = t * x
-            return float((np.log(np.exp(z).sum(1)) - z[np.arange(len(z)), at]).mean())
+    first = fitted(halves[0])
 
-        model.temper = min(_TEMPERS, key=loss)
+    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(_TEMPERS))
+        for batch in pieces(batches, "text"):
+            for name, data in zip(batch.column("lang").to_pylist(), raw(batch.column("text")), strict=True):
+                z = np.outer(_TEMPERS, first.likelihoods(data))
+                total += np.log(np.exp(z).sum(1)) - z[:, number[name]]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(_TEMPERS)), pa.int32()), pa.array(total, pa.float64())], names=["temper", "loss"])
+
+    model = fitted(halves.sum(0))
+    tried = {r["temper"]: r["loss"] for r in rows.where("half = 1").select("lang", "text").mapInArrow(losses, "temper int, loss double").groupBy("temper").agg(F.sum("loss").alias("loss")).collect()}
+    if any(tried.values()):
+        model.temper = _TEMPERS[min(sorted(tried), key=tried.__getitem__)]
     return model
 
 
