@@ -160,6 +160,22 @@ def test_views_teach_each_other():
     assert ((joint > 0.5) == (y == 1)).mean() > 0.95
 
 
+def test_all_unlabelled_documents_take_part(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(["good", "words", "here", "!!%", "#*"][: 3 + 2 * (rng.random() < 0.5)]) for _ in range(12)), "en", rng.choice("ab"), i % 90) for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int("!" not in t and "#" not in t)) for i, t, *_ in rows[:300]], "doc_id long, quality int")
+    model = Q.fit(docs, labels)
+    order = [r[0] for r in docs.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").select("doc_id").collect()]
+    text = np.array([Q.text_features(rows[i][1].encode()) for i in order])
+    metadata = np.array([Q.metadata_features(*rows[i][2:]) for i in order])
+    known = np.array(order) < 300
+    y = np.array([float("!" not in rows[i][1] and "#" not in rows[i][1]) for i in order])[known]
+    wanted = Q.co_train(text[known], metadata[known], y, text[~known], metadata[~known])
+    for view in ("text", "metadata", "joint"):
+        assert np.allclose(getattr(model, view).weights, getattr(wanted, view).weights, atol=1e-6)
+
+
 def test_logistic_of_one_class():
     assert abs(Logistic.fit(np.zeros((4, 2)), np.ones(4))(np.zeros((1, 2)))[0] - 0.9) < 1e-6
 

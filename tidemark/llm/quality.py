@@ -2,7 +2,7 @@
 
 * *Views.* The text view measures the whole text (`text_features`); the metadata
   view sees the language and source (hashed) and the stated length, never the text.
-* *Rounds.* Each view is fitted on the labelled sample; on a pool of unlabelled
+* *Rounds.* Each view is fitted on the labelled sample; of all unlabelled
   documents each gives the documents it is most sure of, up to `GIVE` of each class and
   beyond `SURE` after calibration, as labels to the other view, and both are fitted again.
 * *Calibration.* A fifth of the labelled sample is kept apart: on it each view is
@@ -10,7 +10,8 @@
   nothing about quality weighs next to nothing.
 * *Scoring.* All documents are scored in one pass; nothing is shuffled.
 
-Only the fitting uses samples, of at most `LABELLED` and `POOL` rows of numbers.
+Labelled examples are a sample of at most `LABELLED` rows of numbers. The unlabelled documents' features
+are written once and scored in tasks in every round; only the rows given as labels come to the driver.
 Null text is empty; null metadata is a value of its own. Repeated labels of a document
 count once, as bad if any is. Without labels of both classes every score is the smoothed share of
 good ones (a half without any).
@@ -19,7 +20,7 @@ good ones (a half without any).
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,9 +31,9 @@ from pyspark.sql import types as T
 
 from tidemark.llm.batches import pieces, raw
 from tidemark.llm.logistic import Logistic, logit, sigmoid
+from tidemark.session import durable
 
-LABELLED = 8192
-POOL = 8192
+LABELLED = 16_384
 ROUNDS = 4
 GIVE = 400
 SURE = 0.98
@@ -96,32 +97,47 @@ class CoTrained:
         return self.joint(np.stack([a, b], 1)), sigmoid(a), sigmoid(b)
 
 
+#: Of the unlabelled rows not taken, those that a view is most sure of: (view, model, scale, label, taken) to numbers, text and metadata rows.
+Pick = Callable[[int, Logistic, Logistic, float, set[int]], tuple[list[int], np.ndarray, np.ndarray]]
+
+
+def _surest(p: np.ndarray, label: float, free: np.ndarray, give: int, sure: float) -> np.ndarray:
+    trust = p if label else 1 - p
+    best = np.argsort(-trust, kind="stable")
+    return best[(trust[best] >= sure) & free[best]][:give]
+
+
 def co_train(text: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_metadata: np.ndarray, rounds: int = ROUNDS, give: int = GIVE, sure: float = SURE) -> CoTrained:
     """Rows must come in random order: every fifth labelled one calibrates."""
+    def pick(view: int, model: Logistic, scale: Logistic, label: float, taken: set[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        p = scale(model.margin((pool_text, pool_metadata)[view])[:, None])
+        best = _surest(p, label, np.array([r not in taken for r in range(len(p))], bool), give, sure)
+        return best.tolist(), pool_text[best], pool_metadata[best]
+
+    return _exchange(text, metadata, y, pick, rounds)
+
+
+def _exchange(text: np.ndarray, metadata: np.ndarray, y: np.ndarray, pick: Pick, rounds: int = ROUNDS) -> CoTrained:
     apart = np.arange(len(y)) % 5 == 0
     if not len(y) or y.min() == y.max() or len(set(y[apart])) < 2 or len(set(y[~apart])) < 2:
         none = Logistic.fit(np.zeros((0, 1)), np.zeros(0))
         return CoTrained(none, none, none, none, none, float((y.sum() + 1) / (len(y) + 2)))
-    views = [(text, pool_text), (metadata, pool_metadata)]
-    learned = [(x[~apart], y[~apart]) for x, _ in views]
-    given: list[dict[int, float]] = [{}, {}]  # pseudo-labels that each view has got
-    models = scales = None
+    views = [text, metadata]
+    learned = [[(x[~apart], y[~apart])] for x in views]
+    taken: list[set[int]] = [set(), set()]  # rows whose pseudo-labels each view has got
     for turn in range(rounds + 1):
-        models = []
-        for (x, z), (_, pool), got in zip(learned, views, given, strict=True):
-            rows = np.array(sorted(got), np.int64)
-            models.append(Logistic.fit(np.concatenate([x, pool[rows]]), np.concatenate([z, [got[i] for i in rows.tolist()]])))
-        scales = [Logistic.fit(m.margin(x[apart])[:, None], y[apart]) for m, (x, _) in zip(models, views, strict=True)]
-        if turn == rounds or not len(pool_text):
+        models = [Logistic.fit(np.concatenate([x for x, _ in parts]), np.concatenate([z for _, z in parts])) for parts in learned]
+        scales = [Logistic.fit(m.margin(x[apart])[:, None], y[apart]) for m, x in zip(models, views, strict=True)]
+        if turn == rounds:
+            break
+        before = len(taken[0]) + len(taken[1])
+        for i in (0, 1):
+            for label, (rows, *found) in [(label, pick(i, models[i], scales[i], label, taken[1 - i])) for label in (1.0, 0.0)]:
+                taken[1 - i].update(rows)
+                learned[1 - i].append((found[1 - i], np.full(len(rows), label)))
+        if len(taken[0]) + len(taken[1]) == before:
             break
-        for i, (_, pool) in enumerate(views):
-            p = scales[i](models[i].margin(pool)[:, None])
-            free = np.array([r not in given[1 - i] for r in range(len(p))])
-            for label, trust in ((1.0, p), (0.0, 1 - p)):
-                best = np.argsort(-trust, kind="stable")
-                best = best[(trust[best] >= sure) & free[best]][:give]
-                given[1 - i].update((int(r), label) for r in best)
-    both = np.stack([s.margin(m.margin(x[apart])[:, None]) for m, s, (x, _) in zip(models, scales, views, strict=True)], 1)
+    both = np.stack([s.margin(m.margin(x[apart])[:, None]) for m, s, x in zip(models, scales, views, strict=True)], 1)
     return CoTrained(*models, *scales, Logistic.fit(both, y[apart]))
 
 
@@ -138,28 +154,49 @@ def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return text, metadata.reshape(len(text), -1)
 
 
-def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", labelled: int = LABELLED, pool: int = POOL) -> CoTrained:
-    """Fit on a bounded sample: the labelled and the unlabelled documents of least hash."""
-    docs = _frame(documents, key, text)
+def _matrices(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Both views of rows with measured texts (column a)."""
+    values = [x.flatten().to_numpy() for x in (rows.column("a").chunks if isinstance(rows, pa.Table) else [rows.column("a")])]
+    text = np.concatenate([np.zeros(0), *values]).reshape(-1, TEXT_FEATURES)
+    metadata = np.array([metadata_features(*r) for r in zip(*[rows.column(c).to_pylist() for c in ("lang", "source", "n_chars")], strict=True)], np.float64)
+    return text, metadata.reshape(len(text), 2 * _SLOTS + 3)
+
+
+def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", labelled: int = LABELLED, give: int = GIVE, sure: float = SURE) -> CoTrained:
+    """Fit on the labelled documents of least hash, at most `labelled`, and all unlabelled ones."""
+    docs = _frame(documents, key, text).where("key is not null")
     marked = labels.where(F.col(f"`{key}`").isNotNull() & F.col(f"`{label}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("key")).agg(F.min((F.col(f"`{label}`") > 0).cast("int")).alias("y"))
     chosen = marked.orderBy(F.xxhash64("key"), "key").limit(labelled)
-    rest = docs.select("key").where("key is not null").join(marked.select("key"), "key", "left_anti").orderBy(F.xxhash64("key"), "key").limit(pool)
-    wanted = chosen.union(rest.select("key", F.lit(None).cast("int"))).groupBy("key").agg(F.max("y").alias("y"))
+    kind = docs.schema["key"].dataType
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             found = pa.array([text_features(t) for t in raw(batch.column("text"))], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("key", "y", "lang", "source", "n_chars")], found], names=["key", "y", "lang", "source", "n_chars", "a"])
-
-    schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string("y int, lang string, source string, n_chars long, a array<double>").fields])
-    sample = docs.join(F.broadcast(wanted), "key").mapInArrow(measure, schema)  # at most `labelled` + `pool` keys
-    rows = sample.orderBy(F.xxhash64("key", F.lit(1)), "key", "a").limit(labelled + pool).select("y", "lang", "source", "n_chars", "a").toArrow()
-    text_view = rows.column("a").combine_chunks().flatten().to_numpy().reshape(-1, TEXT_FEATURES)
-    metadata_view = np.array([metadata_features(*r) for r in zip(*[rows.column(c).to_pylist() for c in ("lang", "source", "n_chars")], strict=True)], np.float64)
-    metadata_view = metadata_view.reshape(len(text_view), len(metadata_features(None, None, None)))
-    y = np.array([-1 if v is None else v for v in rows.column("y").to_pylist()], np.float64)
-    known = y >= 0
-    return co_train(text_view[known], metadata_view[known], y[known], text_view[~known], metadata_view[~known])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("key", "lang", "source", "n_chars")], found], names=["key", "lang", "source", "n_chars", "a"])
+
+    measured = durable(docs.mapInArrow(measure, T.StructType([T.StructField("key", kind), *T._parse_datatype_string("lang string, source string, n_chars long, a array<double>").fields])), "features")
+    rows = measured.join(F.broadcast(chosen), "key").orderBy(F.xxhash64("key", F.lit(1)), "key", "a").limit(labelled).select("y", "lang", "source", "n_chars", "a").toArrow()
+    pool = durable(measured.join(marked.select("key"), "key", "left_anti").withColumn("id", F.monotonically_increasing_id()), "unlabelled")
+
+    names = pool.columns
+
+    def pick(view: int, model: Logistic, scale: Logistic, label: float, taken: set[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        def surest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                p = scale(model.margin(_matrices(batch)[view])[:, None])
+                free = np.array([i not in taken for i in batch.column("id").to_pylist()], bool)
+                # no cut inside the batch: which of equals are taken is decided over all rows
+                best = _surest(p, label, free, len(p), sure)
+                trust = pa.array((p if label else 1 - p)[best], pa.float64())
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).take(pa.array(best)) for c in names], trust], names=[*names, "trust"])
+
+        schema = T.StructType([*pool.schema.fields, T.StructField("trust", T.DoubleType())])
+        best = pool.mapInArrow(surest, schema).orderBy(F.desc("trust"), F.xxhash64("key", F.lit(1)), "key", "a", "id").limit(give).toArrow()
+        return best.column("id").to_pylist(), *_matrices(best)
+
+    return _exchange(*_matrices(rows), rows.column("y").to_numpy().astype(np.float64), pick)
 
 
 def score(documents: DataFrame, model: CoTrained, key: str = "doc_id", text: str = "text", keep: float = KEEP) -> DataFrame:
