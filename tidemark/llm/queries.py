@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, hamming_search, jaccard_join, language_id, quality, substring_dedup, toxicity
+from tidemark.llm import decontaminate, hamming_search, jaccard_join, language_id, quality, source_audit, substring_dedup, toxicity
 from tidemark.llm.idfiles import read_ids, write_ids
 from tidemark.llm.packing import pack
 from tidemark.llm.token_counts import counts_only
@@ -92,3 +92,37 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.join(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "n_class")
+
+
+@query
+def op13_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.audit(table(spark, folder, "documents"))
+
+
+ORACLES["op13_source_audit"] = r"""
+with d as (
+    select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents),
+w as (select id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+kept as (select lang, term from w group by lang, term having count(distinct id) >= 30),
+g as (select distinct lang, source from d),
+v as (select lang, count(*) as v from kept group by lang),
+n as (select lang, source, term, count(*) as n from w semi join kept using (lang, term) group by all),
+c as (select g.lang, g.source, kept.term, coalesce(n.n, 0) as n
+      from g join kept using (lang) left join n on n.lang = g.lang and n.source = g.source and n.term = kept.term),
+total as (select lang, source, sum(n)::hugeint as total from c group by all),
+p as (select lang, source, term, n, 1 + (1000000000::hugeint * (n + 5)) // (total + 5 * v) as p from c join total using (lang, source) join v using (lang)),
+q as (select lang, term, 1 + (1000000000::hugeint * (sum(n)::hugeint + 5)) // (any_value(lt) + 5 * any_value(v)) as q
+      from c join v using (lang) join (select lang, sum(total)::hugeint as lt from total group by lang) using (lang) group by lang, term),
+pairs as (select a.lang, a.source, b.source as item, coalesce(f.value, 0) as value
+          from g a join g b on a.lang = b.lang and a.source <> b.source
+          left join (select x.lang, x.source, y.source as item, sum(abs(x.p - y.p)) as value
+                     from p x join p y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by all) f
+            on f.lang = a.lang and f.source = a.source and f.item = b.source),
+terms as (select p.lang, p.source, p.term as item, p.p - q.q as value from p join q using (lang, term) where p.n > 0 and p.p > q.q)
+select lang, source, part, item, value::bigint as value, rank::int as rank from (
+    select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item) as rank from pairs
+    union all
+    select * from (select lang, source, 'term' as part, item, value, row_number() over (partition by lang, source order by value desc, item) as rank from terms) t where rank <= 50) r
+"""
