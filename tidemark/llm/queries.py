@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, hamming_search, jaccard_join, language_id, quality, source_audit, substring_dedup, toxicity
+from tidemark.llm import collocations, decontaminate, hamming_search, jaccard_join, language_id, quality, source_audit, substring_dedup, toxicity
 from tidemark.llm.idfiles import read_ids, write_ids
 from tidemark.llm.packing import pack
 from tidemark.llm.token_counts import counts_only
@@ -94,6 +94,41 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.join(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "n_class")
 
 
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+with p as (
+    select coalesce(lang, 'und') as lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents),
+w as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from p),
+f as (
+    select lang, k, phrase, count(*) as f
+    from (select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+          from w, (select unnest([1, 2, 3, 4]) as k)) g
+    group by all),
+n as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from f where k > 1 and f >= 30),
+cuts as (
+    select c.lang, c.phrase, c.a, c.cut, fl.f as l, fr.f as r, (2000000::hugeint * c.a) // (fl.f + fr.f) as score
+    from (select *, unnest(range(1, k)) as cut from c) c
+    join f fl on fl.lang = c.lang and fl.k = c.cut and fl.phrase = array_to_string(c.w[1:c.cut], ' ')
+    join f fr on fr.lang = c.lang and fr.k = c.k - c.cut and fr.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+inside as (
+    select distinct s.lang, s.phrase
+    from (select lang, k, a, w, unnest(range(2, k)) as size from c) d
+    join c s on s.lang = d.lang and s.k = d.size and 100 * d.a >= 80 * s.a
+     and (s.w = d.w[1:d.size] or s.w = d.w[2:d.size + 1] or (d.size = 2 and s.w = d.w[3:4])))
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score::bigint as score
+from best anti join inside using (lang, phrase) join n using (lang)
+qualify row_number() over (partition by lang order by score desc, a desc, phrase) <= 2000
+"""
+
+
 @query
 def op13_source_audit(spark: SparkSession, folder: str) -> DataFrame:
     return source_audit.audit(table(spark, folder, "documents"))
