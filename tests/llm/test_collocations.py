@@ -72,7 +72,7 @@ def test_long_texts_are_counted_in_parts(limit):
         found = Counter()
         for b in C.partial_edges(iter([batch]), limit):
             for r in b.to_pylist():
-                found[r["phrase"], r["words"]] += r["f"]
+                found[" ".join(filter(None, (r["node"], r["after"]))), r["words"]] += r["f"]
         return found
 
     wanted = Counter()

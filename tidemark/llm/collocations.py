@@ -10,9 +10,10 @@ of a shorter piece). Nothing shorter is counted; it follows from the flow:
 * a node occurs as often as edges leave it, plus as often as it ends a piece;
 * two words as often as nodes start with them, plus piece ends; one word likewise.
 
-Each step is a grouped sum with partial sums before its shuffle, over the rows of
-the step before, so a hot word or passage is one row of a task by then; what is
-complete and frequent is carried along, and nothing is computed twice. Only
+Edges are shuffled once, by their first node, with one row for each in a chunk of
+8 MB: a hot passage or pair of words is few rows, or is spread by the words beside
+it. Each further step is a grouped sum, with partial sums before its shuffle, over
+the rows of the step before; what is complete and frequent is carried along. Only
 phrases of at least `least` occurrences go on, with all their parts, which occur
 no less often. Among them, unary paths are compacted: where an edge is all that
 enters a node and the next all that leaves it, both become one path with one
@@ -83,8 +84,8 @@ def _parts(data: bytes, limit: int) -> Iterator[tuple[bytes, bool]]:
     yield data[at:], False
 
 
-def _grams(data: bytes, goes_on: bool) -> Iterator[tuple[pa.Array, int, np.ndarray]]:
-    """Distinct edges and piece ends of lower-cased pieces, as (phrases, words in each, counts)."""
+def _grams(data: bytes, goes_on: bool) -> Iterator[tuple[pa.Array, pa.Array | None, int, np.ndarray]]:
+    """Distinct edges, as (node, word after it, 4, counts), and piece ends, as (phrase, None, words in it, counts)."""
     import pyarrow.compute as pc
 
     signs = np.frombuffer(data.translate(_TABLE), np.uint8)
@@ -119,7 +120,7 @@ def _grams(data: bytes, goes_on: bool) -> Iterator[tuple[pa.Array, int, np.ndarr
     if len(whole):
         keys, n = counted(pair[whole] * step + pair[whole + 2])
         first, second = couples[keys // step], couples[keys % step]
-        yield phrases([first // size, first % size, second // size, second % size]), 4, n
+        yield phrases([first // size, first % size, second // size]), phrases([second % size]), 4, n
     last = np.flatnonzero(np.concatenate([piece[1:] != piece[:-1], [not goes_on]]))
     count = np.minimum(3, np.diff(last, prepend=-1))
     for k in (1, 2, 3):
@@ -128,25 +129,26 @@ def _grams(data: bytes, goes_on: bool) -> Iterator[tuple[pa.Array, int, np.ndarr
             continue
         if k == 1:
             keys, n = counted(words[at])
-            yield phrases([keys]), 1, n
+            yield phrases([keys]), None, 1, n
         elif k == 2:
             keys, n = counted(pair[at - 1])
-            yield phrases([couples[keys] // size, couples[keys] % size]), 2, n
+            yield phrases([couples[keys] // size, couples[keys] % size]), None, 2, n
         else:
             keys, n = counted(pair[at - 2] * size + words[at])
             first = couples[keys // size]
-            yield phrases([first // size, first % size, keys % size]), 3, n
+            yield phrases([first // size, first % size, keys % size]), None, 3, n
 
 
 def partial_edges(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Per chunk of a task's texts: lang, phrase, words in it, occurrences; edges and piece ends only."""
+    """Per chunk of a task's texts: lang, node (or end of a piece), word after it, words in all, occurrences."""
     held: dict[str, list[bytes]] = {}
     size = 0
 
     def counts(lang: str, data: bytes, goes_on: bool) -> Iterator[pa.RecordBatch]:
-        for phrase, k, n in _grams(data, goes_on):
-            columns = [pa.repeat(lang, len(n)), phrase.cast(pa.large_string()).cast(pa.string()), pa.repeat(pa.scalar(k, pa.int32()), len(n)), pa.array(n, pa.int64())]
-            yield from pa.table(columns, names=["lang", "phrase", "words", "f"]).to_batches(max_chunksize=1 << 16)
+        for node, after, k, n in _grams(data, goes_on):
+            after = pa.nulls(len(n), pa.string()) if after is None else after.cast(pa.large_string()).cast(pa.string())
+            columns = [pa.repeat(lang, len(n)), node.cast(pa.large_string()).cast(pa.string()), after, pa.repeat(pa.scalar(k, pa.int32()), len(n)), pa.array(n, pa.int64())]
+            yield from pa.table(columns, names=["lang", "node", "after", "words", "f"]).to_batches(max_chunksize=1 << 16)
 
     def flush() -> Iterator[pa.RecordBatch]:
         for lang, texts in held.items():
@@ -178,9 +180,9 @@ def _last(k: int, phrase: str = "phrase") -> Column:
 def frequent(documents: DataFrame, least: int = LEAST, text: str = "text", lang: str = "lang") -> DataFrame:
     """lang, words, phrase, f: all phrases of one to four words that occur often enough, and per language the count of all words (words = 0)."""
     frame = documents.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"))
-    found = frame.mapInArrow(partial_edges, "lang string, phrase string, words int, f long")
+    found = frame.mapInArrow(partial_edges, "lang string, node string, after string, words int, f long")
     row = lambda k, phrase: F.struct(F.lit(k).alias("words"), phrase.alias("phrase"), F.col("f").alias("f"))
-    whole, itself = F.col("phrase"), F.struct("words", "phrase", "f")
+    itself = F.struct("words", "phrase", "f")
 
     def summed(rows: DataFrame) -> DataFrame:
         return rows.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
@@ -192,9 +194,12 @@ def frequent(documents: DataFrame, least: int = LEAST, text: str = "text", lang:
         """Rows of k words, now complete, flow to their first k - 1 and stay if frequent."""
         return F.array(row(k - 1, _first(k - 1) if k > 1 else F.lit("")), F.when(F.col("f") >= least, itself))
 
-    rows = summed(found)
-    ends = F.array(*[F.when(F.col("words") >= k, row(k, _last(k) if k < 3 else whole)) for k in (1, 2, 3)])  # a piece's end counts once in each length
-    rows = flow(rows, F.when(F.col("words") == 4, step(4)).otherwise(ends))
+    # edges meet at their node, where both are counted; shorter phrases flow on from there
+    edges = found.repartition("lang", "node").groupBy("lang", "node", "after", "words").agg(F.sum("f").alias("f"))
+    edge = F.when(F.col("f") >= least, row(4, F.concat_ws(" ", "node", "after")))
+    ends = F.array(*[F.when(F.col("words") >= k, row(k, _last(k, "node") if k < 3 else F.col("node"))) for k in (1, 2, 3)])  # a piece's end counts once in each length
+    made = F.filter(F.when(F.col("words") == 4, F.array(row(3, F.col("node")), edge)).otherwise(ends), lambda x: x.isNotNull())
+    rows = edges.select("lang", "node", F.explode(made).alias("r")).select("lang", "node", "r.*").groupBy("lang", "node", "words", "phrase").agg(F.sum("f").alias("f"))
     for k in (3, 2, 1):  # sums of fewer words are still growing, those of more are complete
         rows = flow(rows, F.when(F.col("words") == k, step(k)).otherwise(F.array(itself)))
     return rows
