@@ -10,10 +10,11 @@ of a shorter piece). Nothing shorter is counted; it follows from the flow:
 * a node occurs as often as edges leave it, plus as often as it ends a piece;
 * two words as often as nodes start with them, plus piece ends; one word likewise.
 
-Edges are shuffled once, by their first node, with one row for each in a chunk of
-8 MB: a hot passage or pair of words is few rows, or is spread by the words beside
-it. Each further step is a grouped sum, with partial sums before its shuffle, over
-the rows of the step before; what is complete and frequent is carried along. Only
+Edges and piece ends are shuffled once, with one row for each in a chunk of 8 MB,
+by their first two words, and sorted; a task then sums the flow over nodes, pairs and
+words in one pass over sorted rows, holding one open run of each. Pairs that a
+bounded sample shows to be hot are dealt by three words: their parts, like those of single
+words, are added by a grouped sum. The sample steers nothing but the dealing. Only
 phrases of at least `least` occurrences go on, with all their parts, which occur
 no less often. Among them, unary paths are compacted: where an edge is all that
 enters a node and the next all that leaves it, both become one path with one
@@ -38,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import pieces, raw
@@ -49,6 +50,8 @@ TOP = 2000
 COVERED = 80
 ROUNDS = 5
 CHUNK_BYTES = 8 << 20
+SAMPLE_DOCS = 20_000
+HOT = 512
 SCORE = 2_000_000
 
 # What ends a piece, and what parts words.
@@ -84,8 +87,8 @@ def _parts(data: bytes, limit: int) -> Iterator[tuple[bytes, bool]]:
     yield data[at:], False
 
 
-def _grams(data: bytes, goes_on: bool) -> Iterator[tuple[pa.Array, pa.Array | None, int, np.ndarray]]:
-    """Distinct edges, as (node, word after it, 4, counts), and piece ends, as (phrase, None, words in it, counts)."""
+def _grams(data: bytes, goes_on: bool, mark: bytes) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Distinct edges and piece ends of lower-cased pieces, as (`mark` and words, each followed by a space; counts)."""
     import pyarrow.compute as pc
 
     signs = np.frombuffer(data.translate(_TABLE), np.uint8)
@@ -105,12 +108,11 @@ def _grams(data: bytes, goes_on: bool) -> Iterator[tuple[pa.Array, pa.Array | No
     two = pa.array(words[:-1] * size + words[1:]).dictionary_encode()
     couples, pair = two.dictionary.to_numpy(), two.indices.to_numpy().astype(np.int64)
     step = max(1, len(couples))
+    nothing = pa.scalar(b"", pa.large_binary())
+    heads = pc.binary_join_element_wise(pa.scalar(mark, pa.large_binary()), names, nothing)
 
-    def phrases(columns: list[np.ndarray]) -> pa.Array:
-        out = names.take(pa.array(columns[0]))
-        for c in columns[1:]:
-            out = pc.binary_join_element_wise(out, names.take(pa.array(c)), pa.scalar(b" ", pa.large_binary()))
-        return out
+    def phrases(first: np.ndarray, *others: np.ndarray) -> pa.Array:
+        return pc.binary_join_element_wise(heads.take(pa.array(first)), *[names.take(pa.array(c)) for c in others], nothing, pa.scalar(b" ", pa.large_binary()))
 
     def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found = pc.value_counts(pa.array(keys))
@@ -120,35 +122,35 @@ def _grams(data: bytes, goes_on: bool) -> Iterator[tuple[pa.Array, pa.Array | No
     if len(whole):
         keys, n = counted(pair[whole] * step + pair[whole + 2])
         first, second = couples[keys // step], couples[keys % step]
-        yield phrases([first // size, first % size, second // size]), phrases([second % size]), 4, n
+        yield phrases(first // size, first % size, second // size, second % size), n
     last = np.flatnonzero(np.concatenate([piece[1:] != piece[:-1], [not goes_on]]))
     count = np.minimum(3, np.diff(last, prepend=-1))
-    for k in (1, 2, 3):
-        at = last[count == k]
-        if not len(at):
-            continue
-        if k == 1:
-            keys, n = counted(words[at])
-            yield phrases([keys]), None, 1, n
-        elif k == 2:
-            keys, n = counted(pair[at - 1])
-            yield phrases([couples[keys] // size, couples[keys] % size]), None, 2, n
-        else:
-            keys, n = counted(pair[at - 2] * size + words[at])
-            first = couples[keys // size]
-            yield phrases([first // size, first % size, keys % size]), None, 3, n
+    if len(last):  # a piece's end counts once in each length
+        keys, n = counted(words[last])
+        yield phrases(keys), n
+    if len(at := last[count >= 2]):
+        keys, n = counted(pair[at - 1])
+        yield phrases(couples[keys] // size, couples[keys] % size), n
+    if len(at := last[count == 3]):
+        keys, n = counted(pair[at - 2] * size + words[at])
+        first = couples[keys // size]
+        yield phrases(first // size, first % size, keys % size), n
+
+
+def _mark(lang: str) -> bytes:
+    """What stands before the words of a language; it holds no space and ends with the only tab."""
+    return lang.replace("%", "%25").replace("\t", "%09").replace(" ", "%20").encode() + b"\t"
 
 
 def partial_edges(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Per chunk of a task's texts: lang, node (or end of a piece), word after it, words in all, occurrences."""
+    """Per chunk of a task's texts: language and words in one string, occurrences; edges and ends of pieces."""
     held: dict[str, list[bytes]] = {}
     size = 0
 
     def counts(lang: str, data: bytes, goes_on: bool) -> Iterator[pa.RecordBatch]:
-        for node, after, k, n in _grams(data, goes_on):
-            after = pa.nulls(len(n), pa.string()) if after is None else after.cast(pa.large_string()).cast(pa.string())
-            columns = [pa.repeat(lang, len(n)), node.cast(pa.large_string()).cast(pa.string()), after, pa.repeat(pa.scalar(k, pa.int32()), len(n)), pa.array(n, pa.int64())]
-            yield from pa.table(columns, names=["lang", "node", "after", "words", "f"]).to_batches(max_chunksize=1 << 16)
+        for phrase, n in _grams(data, goes_on, _mark(lang)):
+            columns = [phrase.cast(pa.large_string()).cast(pa.string()), pa.array(n, pa.int64())]
+            yield from pa.table(columns, names=["gram", "f"]).to_batches(max_chunksize=1 << 16)
 
     def flush() -> Iterator[pa.RecordBatch]:
         for lang, texts in held.items():
@@ -169,6 +171,84 @@ def partial_edges(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -
     yield from flush()
 
 
+class _Runs:
+    """Sums over runs of equal first `k` words in sorted rows, across batches."""
+
+    def __init__(self, k: int) -> None:
+        self.k = k
+        self.open: tuple[bytes, int] | None = None
+
+    def add(self, grams: pa.Array, f: np.ndarray) -> Iterator[tuple[bytes, int] | tuple[pa.Array, np.ndarray]]:
+        """The runs that ended, the one carried from the batch before first."""
+        import pyarrow.compute as pc
+
+        starts = np.concatenate([[0], np.flatnonzero(pc.not_equal(grams[1:], grams[:-1]).to_numpy(zero_copy_only=False)) + 1])
+        sums = np.add.reduceat(f, starts)
+        first = grams[0].as_py()
+        if self.open is not None:
+            if self.open[0] == first:
+                sums[0] += self.open[1]
+            else:
+                yield pa.array([self.open[0]], pa.binary()), np.array([self.open[1]])
+        self.open = (grams[int(starts[-1])].as_py(), int(sums[-1]))
+        if len(starts) > 1:
+            yield grams.take(pa.array(starts[:-1])), sums[:-1]
+
+    def close(self) -> Iterator[tuple[pa.Array, np.ndarray]]:
+        if self.open is not None:
+            yield pa.array([self.open[0]], pa.binary()), np.array([self.open[1]])
+
+
+def _prefixes(grams: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, pa.Array]]]:
+    """For k = 1 to 4, the rows of at least k words and their first k words."""
+    n = len(grams)
+    _, offsets, values = grams.buffers()
+    at = np.frombuffer(offsets, np.int32)[grams.offset : grams.offset + n + 1].astype(np.int64)
+    data = np.frombuffer(values, np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    spaces = np.flatnonzero(data == 32)
+    first = np.searchsorted(spaces, at)
+    count = np.diff(first)
+    out = []
+    for k in range(1, 5):
+        rows = np.flatnonzero(count >= k)
+        ends = spaces[first[:-1][rows] + k - 1] + 1
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[at[:-1][rows]] += 1
+        inside[ends] -= 1  # each end is another place
+        kept = data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
+        lengths = np.concatenate([[0], np.cumsum(ends - at[:-1][rows])]).astype(np.int32)
+        out.append((rows, pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(lengths), pa.py_buffer(kept)])))
+    return out
+
+
+def flows(batches: Iterator[pa.RecordBatch], least: int, hot: set[bytes]) -> Iterator[pa.RecordBatch]:
+    """Sums of sorted edges and piece ends: of all one-word prefixes and hot pairs (a part each), and of the frequent longer ones."""
+    levels = {k: _Runs(k) for k in range(1, 5)}
+
+    def out(k: int, grams: pa.Array, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
+        keep = sums >= least if k > 1 else np.ones(len(sums), bool)
+        if k == 2 and hot:
+            keep |= pc.is_in(grams, pa.array(sorted(hot), pa.binary())).to_numpy(zero_copy_only=False)
+        if keep.any():
+            grams = grams.filter(pa.array(keep)).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([grams, pa.array([k] * len(grams), pa.int32()), pa.array(sums[keep], pa.int64())], names=["gram", "words", "f"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        f = batch.column("f").to_numpy()
+        for (k, runs), (rows, grams) in zip(levels.items(), _prefixes(batch.column("gram")), strict=True):
+            if len(rows):
+                for found in runs.add(grams, f[rows]):
+                    yield from out(k, *found)
+    for k, runs in levels.items():
+        for found in runs.close():
+            yield from out(k, *found)
+
+
 def _first(k: int, phrase: str = "phrase") -> Column:
     return F.substring_index(phrase, " ", k)
 
@@ -177,32 +257,31 @@ def _last(k: int, phrase: str = "phrase") -> Column:
     return F.substring_index(phrase, " ", -k)
 
 
+def _hot_pairs(frame: DataFrame, docs: int = SAMPLE_DOCS) -> list[str]:
+    """Pairs of words that begin more than 1 / HOT of the edges of a sample; at most HOT of them. They only steer the shuffle."""
+    rows = frame.count()
+    sample = frame if rows <= docs else frame.sample(docs / rows, seed=11)
+    pairs = sample.mapInArrow(partial_edges, "gram string, f long").groupBy(_first(2, "gram").alias("pair")).count()
+    total = Observation()
+    largest = pairs.observe(total, F.sum("count").alias("rows")).orderBy(F.desc("count"), "pair").limit(HOT).collect()
+    return [r["pair"] + " " for r in largest if r["count"] * HOT > total.get["rows"]]
+
+
 def frequent(documents: DataFrame, least: int = LEAST, text: str = "text", lang: str = "lang") -> DataFrame:
     """lang, words, phrase, f: all phrases of one to four words that occur often enough, and per language the count of all words (words = 0)."""
     frame = documents.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"))
-    found = frame.mapInArrow(partial_edges, "lang string, node string, after string, words int, f long")
-    row = lambda k, phrase: F.struct(F.lit(k).alias("words"), phrase.alias("phrase"), F.col("f").alias("f"))
-    itself = F.struct("words", "phrase", "f")
-
-    def summed(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
-
-    def flow(rows: DataFrame, made: Column) -> DataFrame:
-        return summed(rows.select("lang", F.explode(F.filter(made, lambda x: x.isNotNull())).alias("r")).select("lang", "r.*"))
-
-    def step(k: int) -> Column:
-        """Rows of k words, now complete, flow to their first k - 1 and stay if frequent."""
-        return F.array(row(k - 1, _first(k - 1) if k > 1 else F.lit("")), F.when(F.col("f") >= least, itself))
-
-    # edges meet at their node, where both are counted; shorter phrases flow on from there
-    edges = found.repartition("lang", "node").groupBy("lang", "node", "after", "words").agg(F.sum("f").alias("f"))
-    edge = F.when(F.col("f") >= least, row(4, F.concat_ws(" ", "node", "after")))
-    ends = F.array(*[F.when(F.col("words") >= k, row(k, _last(k, "node") if k < 3 else F.col("node"))) for k in (1, 2, 3)])  # a piece's end counts once in each length
-    made = F.filter(F.when(F.col("words") == 4, F.array(row(3, F.col("node")), edge)).otherwise(ends), lambda x: x.isNotNull())
-    rows = edges.select("lang", "node", F.explode(made).alias("r")).select("lang", "node", "r.*").groupBy("lang", "node", "words", "phrase").agg(F.sum("f").alias("f"))
-    for k in (3, 2, 1):  # sums of fewer words are still growing, those of more are complete
-        rows = flow(rows, F.when(F.col("words") == k, step(k)).otherwise(F.array(itself)))
-    return rows
+    hot = _hot_pairs(frame)
+    found = frame.mapInArrow(partial_edges, "gram string, f long")
+    pair = F.concat(_first(2, "gram"), F.lit(" "))
+    place = F.when(pair.isin(hot), _first(3, "gram")).otherwise(_first(2, "gram")) if hot else _first(2, "gram")
+    wanted = {p.encode() for p in hot}
+    dealt = found.repartition(F.xxhash64(place)).sortWithinPartitions("gram")
+    summed = dealt.mapInArrow(lambda batches: flows(batches, least, wanted), "gram string, words int, f long").groupBy("gram", "words").agg(F.sum("f").alias("f"))
+    plain = lambda c: F.replace(F.replace(F.replace(c, F.lit("%20"), F.lit(" ")), F.lit("%09"), F.lit("\t")), F.lit("%25"), F.lit("%"))
+    rows = summed.select(plain(F.substring_index("gram", "\t", 1)).alias("lang"), "words", F.rtrim(F.substring_index("gram", "\t", -1)).alias("phrase"), "f")
+    rows = durable(rows.where((F.col("words") == 1) | (F.col("f") >= least)), "flows")
+    totals = rows.where("words = 1").groupBy("lang").agg(F.sum("f").alias("f")).select("lang", F.lit(0).alias("words"), F.lit("").alias("phrase"), "f")
+    return rows.where(F.col("f") >= least).unionByName(totals)
 
 
 def compact(paths: DataFrame, rounds: int = ROUNDS) -> DataFrame:
