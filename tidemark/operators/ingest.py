@@ -27,6 +27,7 @@ from tidemark.sources.versions import TARGET_BYTES, drop_data, list_folders
 
 REASON = "failure_reason"
 TARGETS = ("offline", "online")
+MERGED = "merged"  # the writer of merged folders
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name of a null
 
 
@@ -212,21 +213,37 @@ def compact_online(spark: SparkSession, path: str, fg: FeatureGroup) -> None:
     gives the same records as reading either, and later deltas are not touched.
     A delta whose batch is written anew meanwhile (other files than were read) stays.
     """
-    deltas = {folder: _files(spark, folder) for folder in list_folders(spark, path)}
-    if not deltas:
-        return
+    deltas = {folder: _tree(spark, folder) for folder in list_folders(spark, path)}
+    if deltas:
+        _merge_deltas(spark, path, fg, deltas)
+
+
+def merge_tiers(spark: SparkSession, path: str, fg: FeatureGroup, fanout: int = 4, least: int = 1 << 20) -> int:
+    """Merge the online deltas of each full size class until none is full; returns the number of merges.
+
+    A row is rewritten once for each class it rises through, so often as the
+    logarithm of the table, while a lookup still reads few deltas: fewer than
+    `fanout` of each class. Safe against readers and late batches as `compact_online`.
+    """
+    merges = 0
+    while True:
+        deltas = {folder: _tree(spark, folder) for folder in list_folders(spark, path)}
+        groups = size_tiers({f: sum(size for _, _, size in tree) for f, tree in deltas.items()}, fanout, least)
+        if not groups:
+            return merges
+        for group in groups:
+            _merge_deltas(spark, path, fg, {folder: deltas[folder] for folder in group})
+            merges += 1
+
+
+def _merge_deltas(spark: SparkSession, path: str, fg: FeatureGroup, deltas: dict[str, set]) -> None:
     rows = spark.read.schema(online_schema(fg)).parquet(*deltas)
-    write_online(rows, fg, path, uuid.uuid4().hex, "merged")
+    write_online(rows, fg, path, uuid.uuid4().hex, MERGED)
     for folder, files in deltas.items():
-        if _files(spark, folder) == files:
+        if _tree(spark, folder) == files:
             delete_path(spark, folder)
 
 
-def _files(spark: SparkSession, folder: str) -> set[tuple[str, int]]:
-    fs, target = file_system(spark, folder)
-    return {(str(s.getPath().getName()), s.getModificationTime()) for s in fs.listStatus(target)} if fs.exists(target) else set()
-
-
 def erase_online(spark: SparkSession, path: str, fg: FeatureGroup, ids: DataFrame) -> int:
     """Remove every row of some ids from the stored online table, old deltas included.
 
@@ -333,31 +350,58 @@ def compact_offline(spark: SparkSession, path: str, keys: Sequence[str], target_
     return rewrite_partitions(spark, path, keys, touched, lambda rows: rows)
 
 
-def compact_stream(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
-    """Merge the batch folders of a streamed history into one, partitioned by the keys.
+def compact_stream(spark: SparkSession, path: str, keys: Sequence[str], fanout: int = 2) -> None:
+    """Merge batch folders of a streamed history into one, partitioned by the keys.
 
-    The merged folder is written before the old ones go, in the shared folder
-    first; a batch written anew meanwhile stays. Readers should not run
-    between, as they would see rows twice.
+    A stream that lost its last commit writes that micro-batch again, into the
+    same folder, so each writer's newest batch stays as it is. Folders merged
+    before are merged again only in size tiers, as online deltas are. The merged folder is written before the old
+    ones go, in the shared folder first. Readers should not run between, as they would see rows twice.
     """
     batches = {folder: _tree(spark, folder) for folder in list_folders(spark, path) if "/batch=" in folder}
-    if len(batches) < 2:
-        return
-    rows = spark.read.option("basePath", path).parquet(*batches).drop("batch")
-    staged = durable(rows, "merged")
-    staged.hint("rebalance", *keys).write.partitionBy(*keys).parquet(f"{path}/batch=merged.{uuid.uuid4().hex}")
-    for folder, files in batches.items():
-        if _tree(spark, folder) == files:
-            delete_path(spark, folder)
+    newest: dict[str, int] = {}
+    for folder in batches:
+        writer, number = folder_batch(folder)
+        if number is not None:
+            newest[writer] = max(number, newest.get(writer, number))
+    done = {f: tree for f, tree in batches.items() if newest.get(folder_batch(f)[0]) != folder_batch(f)[1] or folder_batch(f)[1] is None}
+    for group in size_tiers({f: sum(size for _, _, size in tree) for f, tree in done.items()}, fanout):
+        rows = spark.read.option("basePath", path).parquet(*group).drop("batch")
+        staged = durable(rows, "merged")
+        staged.hint("rebalance", *keys).write.partitionBy(*keys).parquet(f"{path}/batch=merged.{uuid.uuid4().hex}")
+        for folder in group:
+            if _tree(spark, folder) == batches[folder]:
+                delete_path(spark, folder)
+
+
+def folder_batch(folder: str) -> tuple[str, int | None]:
+    """Writer and batch number that name a folder; merged ones have no number."""
+    writer, _, batch = folder.rsplit("=", 1)[1].rpartition(".")
+    return writer, int(batch) if batch.isdigit() and writer != MERGED else None
+
+
+def size_tiers(sizes: dict[str, int], fanout: int = 4, least: int = 1 << 20) -> list[list[str]]:
+    """Folders to merge together: all of one size class, once it holds `fanout` of them.
+
+    Classes are powers of `fanout` from `least` bytes on, so a row moves to a
+    higher class whenever it is rewritten: a logarithmic number of times.
+    """
+    classes: dict[int, list[str]] = {}
+    for folder, size in sorted(sizes.items()):
+        tier = 0
+        while size >= least * fanout**tier:
+            tier += 1
+        classes.setdefault(tier, []).append(folder)
+    return [folders for _, folders in sorted(classes.items()) if len(folders) >= fanout]
 
 
-def _tree(spark: SparkSession, folder: str) -> set[tuple[str, int]]:
-    """Files below a folder with their times."""
+def _tree(spark: SparkSession, folder: str) -> set[tuple[str, int, int]]:
+    """Files below a folder with their times and sizes."""
     fs, target = file_system(spark, folder)
     found, files = fs.listFiles(target, True), set()
     while found.hasNext():
         status = found.next()
-        files.add((str(status.getPath()), status.getModificationTime()))
+        files.add((str(status.getPath()), status.getModificationTime(), status.getLen()))
     return files
 
 
