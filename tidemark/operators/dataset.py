@@ -20,6 +20,7 @@ from tidemark.operators.latest import (
 from tidemark.operators.pit import pit_recent
 from tidemark.skew import Skew
 from tidemark.sources.files import write_csv
+from tidemark.sources.layout import of_ids
 
 
 def suffixed(left: Sequence[str], right: Sequence[str], suffix: str = "_{}") -> dict[str, str]:
@@ -78,6 +79,14 @@ def batch_get(current: DataFrame, fg: FeatureGroup, ids: DataFrame) -> DataFrame
     return current.join(wanted, fg.record_id, "left_semi")
 
 
+def stored_get(history: DataFrame, fg: FeatureGroup, ids: DataFrame | Sequence[Any]) -> DataFrame:
+    """Current records of some ids from a stored history, opening only the files and row groups that may hold them.
+
+    Best on files written by `write_clustered`; null ids and ids without a record are absent from the result.
+    """
+    return latest(of_ids(history, fg.record_id, ids), fg).select(*fg.names)
+
+
 def latest_featureset(
     ids: DataFrame,
     features: Sequence[str],

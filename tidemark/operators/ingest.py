@@ -23,6 +23,7 @@ from tidemark.operators.latest import as_time, latest, time_literal
 from tidemark.operators.select import stamp
 from tidemark.session import delete_path, durable, file_system
 from tidemark.sources.files import partition_stats, write_offline
+from tidemark.sources.layout import of_ids
 from tidemark.sources.versions import TARGET_BYTES, drop_data, list_folders
 
 REASON = "failure_reason"
@@ -252,7 +253,7 @@ def erase_online(spark: SparkSession, path: str, fg: FeatureGroup, ids: DataFram
     wanted = durable(ids.select(F.col(ids.columns[0]).alias(fg.record_id)).distinct(), "erased")
     schema = T.StructType([*online_schema(fg), T.StructField("delta", T.StringType())])
     rows = spark.read.schema(schema).parquet(path)
-    touched = durable(rows.join(wanted, fg.record_id, "left_semi").select("delta").distinct(), "touched")
+    touched = durable(of_ids(rows, fg.record_id, wanted).select("delta").distinct(), "touched")
     return rewrite_partitions(
         spark, path, ["delta"], touched, lambda held: held.join(wanted, fg.record_id, "left_anti").select(*held.columns), schema)
 
@@ -317,7 +318,7 @@ def hard_delete_offline(spark: SparkSession, path: str, fg: FeatureGroup, keys:
     live = ~F.coalesce(F.col(IS_DELETED), F.lit(False))
 
     def places(rows: DataFrame) -> DataFrame:
-        return durable(rows.join(marked, fg.record_id, "left_semi").select(*keys).distinct(), "touched")
+        return durable(of_ids(rows, fg.record_id, marked).select(*keys).distinct(), "touched")
 
     def without_values(rows: DataFrame) -> DataFrame:
         kept = rows.where(live).join(marked, fg.record_id, "left_anti").select(*rows.columns)

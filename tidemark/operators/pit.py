@@ -16,6 +16,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,7 @@ from tidemark.model import IS_DELETED, WRITE_TIME, FeatureGroup, parse_features
 from tidemark.operators.latest import as_time
 from tidemark.session import durable
 from tidemark.skew import Skew, hot_slices, slice_number
+from tidemark.sources.layout import bucket_count
 
 _K, _T, _SIDE, _W, _B, _S = "__key", "__time", "__side", "__written", "__slice", "__spine"
 
@@ -55,6 +58,9 @@ def pit_join(
     The newest history row with event time up to the spine time counts, the
     later write among equal event times. If it is a delete marker, or if there
     is none, the features are null. ``strict`` excludes equal times.
+
+    ``strategy="bucketed"`` is for a history stored by ``write_bucketed``: it is
+    read in place and only the spine is shuffled, to as many partitions.
     """
     wanted = tuple(fg.core_features if features is None else features)
     request = Request(fg, history, wanted)
@@ -63,8 +69,10 @@ def pit_join(
         found = _join_rank(spine, spine_time, key, request, strict)
     elif strategy == "union_last":
         found = _lookup(spine, spine_time, key, [request], strict, skew)
+    elif strategy == "bucketed":
+        found = _bucketed(spine, spine_time, key, request, strict, skew)
     else:
-        raise ValueError(f"strategy must be 'union_last' or 'join_rank', not {strategy!r}")
+        raise ValueError(f"strategy must be 'union_last', 'bucketed' or 'join_rank', not {strategy!r}")
     names = names or {}
     taken = {c.lower() for c in spine.columns}
     clash = [f for f in wanted if names.get(f, f).lower() in taken]
@@ -309,6 +317,42 @@ def _sweep_hot(rows: DataFrame, histories: list[DataFrame], strict: bool, hot: D
     return joined.select(_S, *[f"__h{i}" for i in range(n)])
 
 
+def _bucketed(spine: DataFrame, spine_time: str, key: str, request: Request, strict: bool, skew: Skew | None) -> DataFrame:
+    """Cogroup the spine with a history that is bucketed by record id already.
+
+    A task holds the times of one record at once, as Arrow columns; hot records
+    are cut into time slices by the sweep instead, as they are elsewhere.
+    """
+    buckets = bucket_count(request.history)
+    if buckets is None:
+        raise ValueError(f"the history of {request.fg.name!r} is no bucketed table")
+    rows, history = _spine(spine, spine_time, key), _history(request, 0)
+    payload = history.schema["__h0"].dataType
+    hot = hot_records([rows, history], skew)
+    cold_rows, cold = (rows, history) if hot is None else (_cold(rows, hot), _cold(history, hot))
+    matching = F.col(_K).isNotNull() & F.col(_T).isNotNull()
+    w = Window.partitionBy(_K, _T).orderBy(F.col(_W).desc_nulls_last(), F.col("__h0").desc_nulls_last())
+    best = cold.withColumn("__r", F.row_number().over(w)).where("__r = 1")  # within a record, so nothing moves
+    best = best.select(F.col(_K).alias("__k2"), F.unix_micros(F.col(_T).cast("timestamp")).alias("__t2"), "__h0")
+    asked = cold_rows.where(matching).select(_K, F.unix_micros(F.col(_T).cast("timestamp")).alias(_T), _S).repartition(buckets, _K)
+    side = "left" if strict else "right"
+
+    def take(spine_rows: pa.Table, history_rows: pa.Table) -> pa.Table:
+        times = history_rows["__t2"].to_numpy()
+        order = np.argsort(times, kind="stable")
+        at = np.searchsorted(times[order], spine_rows[_T].to_numpy(), side=side) - 1
+        found = pa.array(order[np.maximum(at, 0)], mask=at < 0) if len(order) else pa.nulls(len(at), pa.int64())
+        taken = history_rows["__h0"].combine_chunks().take(found)
+        return pa.table({_S: spine_rows[_S], "__h0": taken})
+
+    schema = T.StructType([T.StructField(_S, rows.schema[_S].dataType), T.StructField("__h0", payload)])
+    found = asked.groupBy(_K).cogroup(best.groupBy("__k2")).applyInArrow(take, schema)
+    found = found.unionByName(cold_rows.where(~matching).select(_S, F.lit(None).cast(payload).alias("__h0")))
+    if hot is not None:
+        found = found.unionByName(_sweep_hot(rows, [history], strict, hot))
+    return found.select(f"{_S}.*", "__h0")
+
+
 def _join_rank(spine: DataFrame, spine_time: str, key: str, request: Request, strict: bool) -> DataFrame:
     """Join, filter and rank: fine for short histories, many pairs for long ones."""
     rows = _spine(spine, spine_time, key)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,16 @@ from pyspark.sql import functions as F
 
 from tidemark.model import FeatureGroup
 from tidemark.operators import ingest as I
+from tidemark.operators.compact import compact_binpack as binpack
+from tidemark.operators.compact import stored_files
+from tidemark.operators.dataset import stored_get
 from tidemark.operators.materialize import materialize_since
+from tidemark.operators.pit import pit_join
 from tidemark.plans.fixtures import frame, with_group
 from tidemark.plans.registry import query
 from tidemark.session import scratch_path
 from tidemark.sources import files as S
+from tidemark.sources.layout import write_bucketed, write_clustered
 from tidemark.streaming.ingest import file_stream, ingest_stream, read_ingested
 from tidemark.streaming.state import upsert_stream
 
@@ -109,3 +115,59 @@ def online_tiered(spark: SparkSession, d: str) -> DataFrame:
         I.ingest(rows, fg, ["online"], online_path=path, batch=batch, writer="job", written=F.lit(WRITTEN))
         I.merge_tiers(spark, path, fg)
     return I.read_online(spark, path, fg, ["user_id", "ts"])
+
+
+PIT_SQL = """
+    select p.event_id, p.user_id, p.ts, a.event_type, a.value
+    from {purchases} p asof left join (
+        select user_id as k, event_time, case when is_deleted then null else event_type end as event_type,
+               case when is_deleted then null else value end as value
+        from (select *, row_number() over (partition by user_id, event_time order by write_time desc) as rn from {user_activity}) r
+        where rn = 1) a
+    on p.user_id = a.k and p.ts >= a.event_time"""
+
+
+@query(PIT_SQL)
+def pit_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """The history is bucketed by user and stays where it is."""
+    history, fg = with_group(spark, d, "user_activity")
+    name = f"activity_{uuid.uuid4().hex}"
+    write_bucketed(history, fg, name, scratch_path(spark, "bucketed"), 16)
+    purchases = frame(spark, d, "purchases")
+    return pit_join(purchases, "ts", fg, spark.table(name), ["event_type", "value"], strategy="bucketed")
+
+
+@query("""
+    with years as (select year(event_time) as year, count(*) as n from {customer_history} group by all)
+    select year, n, true as large_kept, true as fewer_files from years""")
+def compact_binpack(spark: SparkSession, d: str) -> DataFrame:
+    """Each year has one large file and a few small ones; only the small ones are merged."""
+    history, fg = with_group(spark, d, "customer_history")
+    path, names = scratch_path(spark, "binpack"), ["folder", "file", "bytes"]
+    share = F.pmod(F.xxhash64("o_custkey", "event_time"), F.lit(20))
+    for n in range(5):
+        part = history.where(share == n if n < 4 else share >= 4)
+        S.write_offline(part, fg, path, stamped=True, grain="year")
+    before = stored_files(spark, path).select(*names).collect()
+    largest = max(r["bytes"] for r in before)
+    binpack(spark, path, target_bytes=largest, small=0.5)
+    after = {r["file"] for r in stored_files(spark, path).select(*names).collect()}
+    kept = all(r["file"] in after for r in before if r["bytes"] >= largest // 2)
+    counts = spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(F.col("year").cast("long").alias("year"), "n", F.lit(kept).alias("large_kept"), F.lit(len(after) < len(before)).alias("fewer_files"))
+
+
+@query("""
+    select user_id, event_time, event_type, value from (
+        select *, row_number() over (partition by user_id order by event_time desc, api_invocation_time desc,
+            write_time desc) as rn from {user_activity}) r
+    where rn = 1 and not is_deleted and user_id in (select o_custkey from orders where o_orderstatus = 'F')""")
+def batch_get_pruned(spark: SparkSession, d: str) -> DataFrame:
+    """Ids looked up in files that hold ranges of ids, from three appends."""
+    history, fg = with_group(spark, d, "user_activity")
+    path = scratch_path(spark, "clustered")
+    for n in range(3):
+        part = history.where((F.col("write_time") >= F.lit(BOUNDS[n])) & (F.col("write_time") < F.lit(BOUNDS[n + 1])))
+        write_clustered(part, fg, path, files=4)
+    ids = frame(spark, d, "orders").where("o_orderstatus = 'F'").select("o_custkey")
+    return stored_get(S.read_offline(spark, path), fg, ids)
