@@ -1,7 +1,9 @@
 import random
+from collections import Counter
 
 import pytest
 from helpers import rows
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from tidemark.functions import records as R
@@ -19,13 +21,35 @@ def test_encoders_disagree_on_a_frequent_one(spark):
         T.ordinal_encode(df, "v", "size")
 
 
-@pytest.mark.parametrize("order", ["freq", "alpha"])
-def test_many_labels_are_ranked_by_a_distributed_sort(spark, monkeypatch, order):
+def test_many_columns_share_one_dictionary(spark):
     rng = random.Random(1)
-    df = spark.createDataFrame([(f"v{rng.randrange(40)}",) for _ in range(300)], "v string")
-    few = rows(T.ordinal_labels(df, "v", order))
-    monkeypatch.setattr(T, "DRIVER_LABELS", 3)
-    assert rows(T.ordinal_labels(df, "v", order)) == few
+    data = [(n, rng.choice([None, "b", "a", "É", "a b"]), rng.choice([None, 10, 9, -1]), rng.randrange(300), None) for n in range(900)]
+    df = spark.createDataFrame(data, "n long, s string, i int, many int, none string")
+    for order in ("freq", "alpha"):
+        found = {r["n"]: r for r in T.encode_many(df, ["s", "i", "many", "none"], order).collect()}
+        for k, c in enumerate(["s", "i", "many", "none"], 1):
+            counts = Counter(str(r[k]) for r in data if r[k] is not None)
+            places = {v: i for i, v in enumerate(sorted(counts, key=lambda v: (-counts[v] if order == "freq" else 0, v.encode())))}
+            assert all(found[r[0]][c] == (None if r[k] is None else places[str(r[k])]) for r in data)
+    mixed = T.dictionary(df, {"s": "alpha", "i": "freq"})
+    assert rows(mixed.where("name = 's'"), "label", "label_index") == rows(T.ordinal_labels(df, "s", "alpha"))
+    assert rows(mixed.where("name = 'i'"), "label", "label_index") == rows(T.ordinal_labels(df, "i", "freq"))
+    assert T.encode_many(df, []).columns == df.columns and T.encode_many(df.limit(0), ["s"]).collect() == []
+
+
+def test_one_scan_fits_all_columns(spark, tmp_path):
+    spark.range(50).selectExpr("cast(id % 3 as string) a", "cast(id % 5 as string) b", "id").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    texts = stored.select("a", "b").unpivot([], ["a", "b"], "name", "label")
+    assert texts._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert T.dictionary(stored, ["a", "b"]).count() == 8
+
+
+def test_sparse_vectors_of_many_columns(spark):
+    df = spark.createDataFrame([(1, "b", 5), (2, "a", None), (3, None, 5), (4, "b", 6)], "n int, s string, k int")
+    found = {r["n"]: r for r in T.encode_many(df, ["s", "k"], "alpha", vectors=True).collect()}
+    assert found[1]["s"] == SparseVector(2, {1: 1.0}) and found[3]["s"] == SparseVector(2, {}) and found[2]["s"] == SparseVector(2, {0: 1.0})
+    assert [found[n]["k"].toArray().tolist() for n in (1, 2, 4)] == [[1, 0], [0, 0], [0, 1]]
 
 
 def test_row_positions_are_exact(spark):
@@ -51,8 +75,6 @@ def test_one_hot_with_spaces_and_nulls(spark):
     df = spark.createDataFrame([("a b",), ("c",), (None,)], "v string")
     got = T.one_hot(df, "v", "k")
     assert got.columns == ["k_a_b", "k_c"] and rows(got) == [(0, 0), (0, 1), (1, 0)]
-    with pytest.raises(ValueError):
-        T.categories(df, "v", limit=1)
 
 
 def test_type_inference(spark):

@@ -7,7 +7,7 @@ with many distinct values stay distributed tables.
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from datetime import date
 
 import pandas as pd
@@ -19,10 +19,6 @@ from tidemark.functions.scalar import days_since
 from tidemark.operators.select import sanitize_names
 from tidemark.session import durable
 
-# Labels ranked on the driver; more are ranked by a distributed sort.
-DRIVER_LABELS = 10_000
-MAX_CATEGORIES = 2_000
-
 INFERRED = ("bigint", "double", "timestamp")
 
 # Age bins and their labels.
@@ -51,20 +47,61 @@ def row_positions(df: DataFrame, order: Sequence[Column], name: str) -> DataFram
     return placed.withColumn(name, F.col("__m") + F.col("__offset")).drop("__m", "__p", "__offset")
 
 
+def dictionary(df: DataFrame, columns: Sequence[str] | Mapping[str, str], order: str = "freq") -> DataFrame:
+    """name, label, label_index, n: the values of several columns with their index, by frequency or by alphabet.
+
+    One scan whatever the number of columns: they are laid under each other,
+    counted once, and ranked within their column by one range sort, from which
+    the number of labels before each column is subtracted. A mapping gives each column an order of its own.
+    """
+    orders = dict(columns) if isinstance(columns, Mapping) else dict.fromkeys(columns, order)
+    if wrong := [o for o in orders.values() if o not in ("freq", "alpha")]:
+        raise ValueError(f"order must be 'freq' or 'alpha', not {wrong[0]!r}")
+    names = list(orders)
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in names]).unpivot([], names, "name", "label")
+    counts = texts.where("label IS NOT NULL").groupBy("name", "label").agg(F.count(F.lit(1)).alias("n"))
+    by_count = [c for c, o in orders.items() if o == "freq"]
+    first = [F.when(F.col("name").isin(by_count), -F.col("n")).otherwise(0).asc()] if by_count else []
+    ranked = row_positions(counts, [F.col("name").asc(), *first, F.col("label").asc()], "__place")
+    starts = ranked.groupBy("name").agg(F.min("__place").alias("__start"))  # one row to a column
+    return ranked.join(F.broadcast(starts), "name").select("name", "label", (F.col("__place") - F.col("__start")).alias("label_index"), "n")
+
+
 def ordinal_labels(df: DataFrame, column: str, order: str = "freq") -> DataFrame:
     """Distinct values of a column with their index, by frequency or by alphabet."""
-    text = F.col(column).cast("string")
-    counts = df.where(F.col(column).isNotNull()).groupBy(text.alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    if order not in ("freq", "alpha"):
-        raise ValueError(f"order must be 'freq' or 'alpha', not {order!r}")
-    by_count = order == "freq"
-    few = counts.limit(DRIVER_LABELS + 1).collect()
-    if len(few) > DRIVER_LABELS:
-        keys = [F.col("n").desc(), F.col("label").asc()] if by_count else [F.col("label").asc()]
-        return row_positions(counts, keys, "label_index").select("label", "label_index")
-    ranked = sorted(few, key=lambda r: (-r["n"] if by_count else 0, r["label"]))
-    rows = [(r["label"], i) for i, r in enumerate(ranked)]
-    return df.sparkSession.createDataFrame(rows, "label string, label_index long")
+    return dictionary(df, [column], order).select("label", "label_index")
+
+
+def encode_many(df: DataFrame, columns: Sequence[str] | Mapping[str, str], order: str = "freq", vectors: bool = False) -> DataFrame:
+    """Replace several columns by the index of their values; null stays null.
+
+    All columns are fitted together (`dictionary`). With `vectors` each becomes a
+    sparse 0/1 vector of `pyspark.ml.linalg` instead, as long as the column has values; null is all
+    zero. Columns may have any number of values: the dictionary is joined, not listed.
+    """
+    if not columns:
+        return df
+    labels = durable(dictionary(df, columns, order), "dictionary")
+    sizes = {r["name"]: r["n"] for r in labels.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()} if vectors else {}
+    out = df
+    for c in columns:
+        one = labels.where(F.col("name") == c).select(F.col("label").alias("__label"), F.col("label_index").alias("__index"))
+        out = out.join(one, F.col(c).cast("string") == F.col("__label"), "left")
+        out = out.select(*[F.col("__index").alias(k) if k == c else F.col(k) for k in df.columns])
+    return _as_vectors(out, {c: sizes.get(c, 0) for c in columns}) if vectors else out
+
+
+def _as_vectors(df: DataFrame, sizes: Mapping[str, int]) -> DataFrame:
+    """Indices as sparse vectors of known sizes. The size goes along as metadata, so nothing is scanned for it."""
+    from pyspark.ml.feature import OneHotEncoder
+
+    # an index beyond the last stands for null; it is "kept" as one more place, which dropLast leaves out
+    known = {c: F.coalesce(F.col(c).cast("double"), F.lit(float(max(n, 1)))) for c, n in sizes.items()}
+    meta = {c: {"ml_attr": {"type": "nominal", "num_vals": max(n, 1)}} for c, n in sizes.items()}
+    indexed = df.select(*[F.col(c) for c in df.columns], *[v.alias(f"__{c}", metadata=meta[c]) for c, v in known.items()])
+    encoder = OneHotEncoder(inputCols=[f"__{c}" for c in sizes], outputCols=[f"__vector_{c}" for c in sizes], handleInvalid="keep", dropLast=True)
+    made = encoder.fit(indexed).transform(indexed)
+    return made.select(*[F.col(f"__vector_{c}").alias(c) if c in sizes else F.col(c) for c in df.columns])
 
 
 def ordinal_encode(df: DataFrame, column: str, order: str = "freq", output: str | None = None) -> DataFrame:
@@ -135,12 +172,9 @@ def bucketize(
     return df.withColumn(output or column, out)
 
 
-def categories(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list:
-    """Distinct values in order; refuses a column with too many to become columns."""
-    found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{column!r} has more than {limit} categories; encode it as an ordinal instead")
-    return sorted(r[0] for r in found)
+def categories(df: DataFrame, column: str) -> list:
+    """Distinct values in order: they become columns, so they are listed on the driver. `encode_many` lists none."""
+    return sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
 
 
 def one_hot(
@@ -276,9 +310,7 @@ def prepare_customers(
     out = df.drop(*drop)
     out = bucketize(out, age, output="age_range").drop(age)
     out = one_hot(out, "age_range", "age", AGE_LABELS)
-    for column in encode:
-        if column in out.columns:
-            out = ordinal_encode(out, column, "alpha")
+    out = encode_many(out, [c for c in encode if c in out.columns], "alpha")
     days = df.select(days_since(F.col(active_since), as_of).alias("n_days_active"))
     out = out.withColumn("n_days_active", days_since(F.col(active_since), as_of)).drop(active_since)
     return minmax_of(days, out, ["n_days_active"], decimals=None, constant=0.0)

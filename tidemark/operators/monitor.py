@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -16,7 +16,6 @@ from tidemark.model import FeatureGroup
 
 PAIRS = 400  # pairs of columns that one aggregation correlates
 TOP = 50
-TOP_ROWS = 100_000  # a top-n of up to this many rows is merged by one task
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -41,24 +40,31 @@ def _long(df: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
     return typed.unpivot([], list(columns), "name", "value")
 
 
+def _prepared(df: DataFrame, columns: Sequence[str], *kept: str) -> DataFrame:
+    """Each column as v0, v1, … and its finite values as f0, f1, …: computed once a row, however many aggregates use them."""
+    df = df.select(*kept, *[_number(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    return df.select("*", *[F.when(F.abs(f"v{i}") < float("inf"), F.col(f"v{i}")).alias(f"f{i}") for i in range(len(columns))])
+
+
+def _basic(i: int) -> dict[str, Column]:
+    return {
+        "value_count": F.count(f"v{i}"),
+        "missing_count": F.count(F.lit(1)) - F.count(f"v{i}"),
+        "minimum": F.min(f"v{i}"),
+        "maximum": F.max(f"v{i}"),
+        "mean": F.avg(f"f{i}"),
+        "standard_deviation": F.stddev_samp(f"f{i}"),
+    }
+
+
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, missing, minimum, maximum, mean and deviation of each numeric column, in one pass.
 
     NaN counts as missing; mean and deviation are those of the finite values.
     """
     columns = list(columns or numeric_columns(df))
-    value = {c: _number(c) for c in columns}
-    finite = {c: _finite(c) for c in columns}
-    stats = {
-        "value_count": lambda c: F.count(value[c]),
-        "missing_count": lambda c: F.count(F.lit(1)) - F.count(value[c]),
-        "minimum": lambda c: F.min(value[c]),
-        "maximum": lambda c: F.max(value[c]),
-        "mean": lambda c: F.avg(finite[c]),
-        "standard_deviation": lambda c: F.stddev_samp(finite[c]),
-    }
-    rows = [F.struct(F.lit(c).alias("name"), *[f(c).alias(s) for s, f in stats.items()]) for c in columns]
-    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    rows = [F.struct(F.lit(c).alias("name"), *[v.alias(s) for s, v in _basic(i).items()]) for i, c in enumerate(columns)]
+    return _prepared(df, columns).agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -66,13 +72,19 @@ def frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Columns of one type are counted together, and only distinct values become text.
     """
-    by_type: dict[str, list[str]] = {}
+    return _frequencies(df, columns).drop("number")
+
+
+def _frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same with the values of numeric columns as doubles too."""
+    by_type: dict[T.DataType, list[str]] = {}
     for c in columns:
-        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+        by_type.setdefault(df.schema[c].dataType, []).append(c)
     out = None
     for dtype, names in by_type.items():
-        counts = _long(df, names, dtype).where("value IS NOT NULL").groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
-        part = counts.select("name", F.col("value").cast("string").alias("value"), "n")
+        counts = _long(df, names, dtype.simpleString()).where("value IS NOT NULL").groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+        number = F.col("value").cast("double") if isinstance(dtype, T.NumericType) else F.lit(None).cast("double")
+        part = counts.select("name", F.col("value").cast("string").alias("value"), number.alias("number"), "n")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -122,25 +134,31 @@ def profile_histogram(
     df: DataFrame, columns: Sequence[str], bins: int = 10, spread: dict[str, Spread] | None = None
 ) -> DataFrame:
     """Counts of finite values in bins of equal width; the highest bin includes the maximum."""
-    number = {}
-    for c, s in (spread or spreads(df, columns)).items():
-        width = (s.high - s.low) / bins or 1.0
-        step = F.floor((_finite(c) - F.lit(s.low)) / F.lit(width))
-        number[c] = F.least(step, F.lit(bins - 1).cast("long"))
-    return _counted(df, number, "bin")
+    return _counted(df, _steps(spread or spreads(df, columns), bins, _finite), "bin")
 
 
 def profile_zscore(df: DataFrame, columns: Sequence[str], spread: dict[str, Spread] | None = None) -> DataFrame:
     """Row counts by whole standard deviations from the mean, -4 and 4 holding all beyond."""
-    number = {
+    return _counted(df, _deviations(spread or spreads(df, columns), _finite), "deviations")
+
+
+def _steps(spread: dict[str, Spread], bins: int, value: Callable[[str], Column]) -> dict[str, Column]:
+    number = {}
+    for c, s in spread.items():
+        width = (s.high - s.low) / bins or 1.0
+        number[c] = F.least(F.floor((value(c) - F.lit(s.low)) / F.lit(width)), F.lit(bins - 1).cast("long"))
+    return number
+
+
+def _deviations(spread: dict[str, Spread], value: Callable[[str], Column]) -> dict[str, Column]:
+    return {
         c: F.greatest(F.least(F.floor(score), F.lit(4).cast("long")), F.lit(-4).cast("long"))
-        for c, score in _scores(spread or spreads(df, columns)).items()
+        for c, score in _scores(spread, value).items()
     }
-    return _counted(df, number, "deviations")
 
 
-def _scores(spread: dict[str, Spread]) -> dict[str, Column]:
-    return {c: (_finite(c) - F.lit(s.mean)) / F.lit(s.deviation or 1.0) for c, s in spread.items()}
+def _scores(spread: dict[str, Spread], value: Callable[[str], Column]) -> dict[str, Column]:
+    return {c: (value(c) - F.lit(s.mean)) / F.lit(s.deviation or 1.0) for c, s in spread.items()}
 
 
 def _counted(df: DataFrame, number: dict[str, Column], output: str) -> DataFrame:
@@ -171,26 +189,29 @@ def profile_correlation(df: DataFrame, columns: Sequence[str] | None = None) ->
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, top: int = TOP, bins: int = 10) -> DataFrame:
-    """One row per column with all statistics, as a report stores them."""
+    """One row per column with all statistics, as a report stores them.
+
+    Two scans: the first for counts and moments, one row that the bins need at
+    once; the second for the distinct values, from which everything else is counted.
+    """
     numeric = list(columns or numeric_columns(df))
-    spread = spreads(df, numeric)
-    basic = profile_numeric(df, numeric).select(
-        "name",
-        F.col("value_count").alias("size"),
-        F.col("missing_count").alias("missingValuesCount"),
-        F.col("minimum").alias("min"),
-        F.col("maximum").alias("max"),
-        "mean",
-        F.col("standard_deviation").alias("standardDeviation"),
-    )
-    counts = frequencies(df, numeric)
+    ranges = {"low": F.min, "high": F.max, "centre": F.avg, "deviation": F.stddev_pop}
+    row = _prepared(df, numeric).agg(*[
+        F.struct(*[v.alias(s) for s, v in _basic(i).items()], *[m(f"f{i}").alias(s) for s, m in ranges.items()]).alias(f"c{i}")
+        for i in range(len(numeric))]).first()
+    spread = {c: Spread(r["low"], r["high"], r["centre"], r["deviation"]) for c, r in zip(numeric, row) if r["low"] is not None}
+    basic = df.sparkSession.createDataFrame(
+        [(c, *[r[s] for s in _basic(0)]) for c, r in zip(numeric, row)],
+        "name string, size long, missingValuesCount long, min double, max double, mean double, standardDeviation double")
+    # The conditions on n are always true: they keep filters above the counts, so that every use shares one shuffle.
+    counts = _frequencies(df, numeric).where("n > 0")
     parts = [
         _entropy(counts).withColumnRenamed("distinct_count", "distinctValuesCount"),
         _gather(_topk(counts, top), ["position", "value", "n"], "mostCommonValues"),
-        _gather(profile_histogram(df, numeric, bins, spread), ["bin", "n"], "valueDistribution"),
-        _gather(profile_zscore(df, numeric, spread), ["deviations", "n"], "zScoreDistribution"),
+        _gather(_bins(counts, _steps(spread, bins, _of), "bin"), ["bin", "n"], "valueDistribution"),
+        _gather(_bins(counts, _deviations(spread, _of), "deviations"), ["deviations", "n"], "zScoreDistribution"),
         *_extremes(counts, top),
-        _outliers(df, spread, top),
+        _outliers(counts, spread, top),
     ]
     # Every part has one row per column, so the parts are laid over each other.
     united = basic
@@ -199,21 +220,34 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, top: int = TOP,
     return united.groupBy("name").agg(*[F.max(c).alias(c) for c in united.columns if c != "name"])
 
 
+def _of(name: str) -> Column:
+    """The finite value of a row of counts, for rows of one column."""
+    return F.when((F.col("name") == name) & ~F.isnan("number") & (F.abs("number") < float("inf")), F.col("number"))
+
+
+def _bins(counts: DataFrame, number: dict[str, Column], output: str) -> DataFrame:
+    """Rows by the number of their value, from counts of values."""
+    placed = F.coalesce(*[F.when(_of(c).isNotNull(), n) for c, n in number.items()]) if number else F.lit(None).cast("long")
+    return counts.select("name", "n", F.when(F.col("n") > 0, placed).alias(output)).where(F.col(output).isNotNull()).groupBy("name", output).agg(F.sum("n").alias("n"))
+
+
 def _gather(df: DataFrame, fields: list[str], output: str) -> DataFrame:
     """A short list per column: at most ``top`` or ``bins`` entries."""
     return df.groupBy("name").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(output))
 
 
 def _extremes(counts: DataFrame, k: int) -> list[DataFrame]:
-    # The condition is always true: it keeps n in the plan, so that every use of the counts shares one shuffle.
-    values = counts.where("n > 0").select("name", F.col("value").cast("double").alias("value"))
+    values = counts.select("name", F.col("number").alias("value"))
     orders = {"minimumValues": F.col("value").asc(), "maximumValues": F.col("value").desc()}
     return [_first_k(values, order, k, output) for output, order in orders.items()]
 
 
-def _outliers(df: DataFrame, spread: dict[str, Spread], k: int) -> DataFrame:
-    scores = df.select(*[s.alias(c) for c, s in _scores(spread).items()])
-    far = _long(scores, list(spread), "double").where(F.abs("value") > 3)
+def _outliers(counts: DataFrame, spread: dict[str, Spread], k: int) -> DataFrame:
+    """The k scores furthest out, a value as often as it occurs."""
+    scores = _scores(spread, _of)
+    score = F.coalesce(*scores.values()) if scores else F.lit(None).cast("double")
+    far = counts.select("name", "n", F.when(F.col("n") > 0, score).alias("value")).where(F.abs("value") > 3)
+    far = far.select("name", F.explode(F.array_repeat("value", F.least(F.col("n"), F.lit(k)).cast("int"))).alias("value"))
     return _first_k(far, F.abs("value").desc(), k, "zScoreOutliersSample")
 
 
@@ -231,11 +265,7 @@ def drift_rows(
     """
     # The hash orders rows of one record, so that the sort can cut a large record.
     order = [F.col(fg.record_id).asc(), F.xxhash64(*df.columns).asc()]
-    if n is not None and n <= TOP_ROWS:
-        df = df.orderBy(*order).limit(n)
-    numbered = row_positions(df, order, "__position")
-    if n is not None:
-        numbered = numbered.where(F.col("__position") < n)
+    numbered = row_positions(df if n is None else df.orderBy(*order).limit(n), order, "__position")
     scaled = standard_scale(numbered, feature)
     new_id = prefixed_id(prefix, F.col("__position") + F.lit(record_count))
     return scaled.withColumn(fg.record_id, new_id).drop("__position")

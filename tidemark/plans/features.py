@@ -259,3 +259,20 @@ def one_hot_many(spark: SparkSession, d: str) -> DataFrame:
     """A category for every customer, as sparse vectors."""
     rows = frame(spark, d, "orders").select("o_orderkey", "o_custkey")
     return T.one_hot_sparse(rows, "o_custkey", "vector").select("o_orderkey", "vector.size", "vector.place")
+
+
+@query("""
+    with c as (select l_returnflag, cast(l_partkey as varchar) as p, l_linenumber, l_orderkey from lineitem),
+    f as (select l_returnflag as label, row_number() over (order by count(*) desc, l_returnflag) - 1 as place from c where l_returnflag is not null group by l_returnflag),
+    p as (select p as label, row_number() over (order by count(*) desc, p) - 1 as place from c where p is not null group by p),
+    n as (select l_linenumber as label, row_number() over (order by count(*) desc, cast(l_linenumber as varchar)) - 1 as place from c where l_linenumber is not null group by l_linenumber)
+    select l_orderkey, f.place as l_returnflag, p.place as l_partkey, n.place as l_linenumber, (select count(*) from p) as parts, p.place as part_at
+    from c left join f on l_returnflag = f.label left join p on c.p = p.label left join n on l_linenumber = n.label""")
+def encode_many(spark: SparkSession, d: str) -> DataFrame:
+    """Three columns by one dictionary: as indices, and one of them as a sparse vector too."""
+    lines = frame(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_partkey", "l_linenumber", F.col("l_partkey").alias("vector"))
+    names = ["l_returnflag", "l_partkey", "l_linenumber"]
+    coded = T.encode_many(T.encode_many(lines, names, "freq"), ["vector"], "freq", vectors=True)
+    # as text a sparse vector is (size,[places],[values])
+    parts = F.split(F.regexp_replace(F.col("vector").cast("string"), r"[()\[\]]", ""), ",")
+    return coded.select("l_orderkey", *names, parts[0].cast("long").alias("parts"), parts[1].cast("long").alias("part_at"))

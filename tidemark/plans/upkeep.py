@@ -14,6 +14,7 @@ from tidemark.operators.compact import compact_binpack as binpack
 from tidemark.operators.compact import stored_files
 from tidemark.operators.dataset import stored_get
 from tidemark.operators.materialize import materialize_since
+from tidemark.operators import profile_state as PS
 from tidemark.operators.pit import pit_join
 from tidemark.plans.fixtures import frame, with_group
 from tidemark.plans.registry import query
@@ -171,3 +172,36 @@ def batch_get_pruned(spark: SparkSession, d: str) -> DataFrame:
         write_clustered(part, fg, path, files=4)
     ids = frame(spark, d, "orders").where("o_orderstatus = 'F'").select("o_custkey")
     return stored_get(S.read_offline(spark, path), fg, ids)
+
+
+LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def _line_states(spark: SparkSession, d: str) -> DataFrame:
+    """Line items stored by year of shipping: states after half of them, then after all."""
+    lines, root = frame(spark, d, "lineitem"), scratch_path(spark, "states")
+    lines = lines.withColumn("year", F.year("l_shipdate"))
+    for early in (True, False):
+        part = lines.where((F.col("year") < 1997) == early)
+        part.hint("rebalance", "year").write.mode("append").partitionBy("year").parquet(f"{root}/lines")
+        PS.update_states(spark, f"{root}/lines", f"{root}/states", LINE_NUMBERS)
+    return PS.read_states(spark, f"{root}/lines", f"{root}/states", LINE_NUMBERS)
+
+
+@query("\n    union all\n    ".join(f"""
+    select '{c}' as name, count({c}) as value_count, count(*) - count({c}) as missing_count, min({c}) as minimum,
+           max({c}) as maximum, round(avg({c}), 3) as mean, round(stddev_samp({c}), 3) as standard_deviation
+    from lineitem""" for c in LINE_NUMBERS))
+def profile_merged(spark: SparkSession, d: str) -> DataFrame:
+    """Each half of the years is read once; the profile comes from the states."""
+    found = PS.merged_profile(_line_states(spark, d))
+    return found.withColumns({c: F.round(c, 3) for c in ("mean", "standard_deviation")})
+
+
+@query("""
+    select 'l_quantity' as name, 'l_extendedprice' as other, round(corr(l_quantity, l_extendedprice), 6) as correlation
+    from lineitem
+    union all select 'l_quantity', 'l_discount', round(corr(l_quantity, l_discount), 6) from lineitem
+    union all select 'l_extendedprice', 'l_discount', round(corr(l_extendedprice, l_discount), 6) from lineitem""")
+def correlation_merged(spark: SparkSession, d: str) -> DataFrame:
+    return PS.merged_correlation(_line_states(spark, d)).withColumn("correlation", F.round("correlation", 6))
