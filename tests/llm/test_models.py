@@ -207,6 +207,64 @@ def test_evidence_decides_where_text_is_silent(spark):
     assert {r["lang"] for r in L.identify(rows, L.fit_text(docs.limit(0))).collect()} == {None}
 
 
+def test_silent_pages_give_no_vote(spark):
+    """The wrong language is the first in order, and most pages of the host are empty."""
+    rng = random.Random(8)
+    words = {"aa": ["foo", "bar", "quux"], "fr": ["les", "nous", "été", "vous"]}
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words[l]) for _ in range(40)), l) for i in range(60) for l in words], "doc_id long, text string, lang string")
+    pages = [(f"e{i}", [None, "", "<p></p>", "1 2 3"][i % 4], "http://x.example/p") for i in range(200)] + [(f"f{i}", " ".join(words["fr"] * 5), "http://x.example/p") for i in range(10)]
+    found = {r["id"]: r for r in L.identify(spark.createDataFrame(pages, "id string, body string, url string"), L.fit_text(docs)).collect()}
+    assert len(found) == 210 and {r["lang"] for r in found.values()} == {"fr"}
+    few = [p for p in pages if p[0] in ("e0", *(f"f{i}" for i in range(10)))]
+    one = {r["id"]: r for r in L.identify(spark.createDataFrame(few, "id string, body string, url string"), L.fit_text(docs)).collect()}
+    assert found["e0"]["text_lang"] is None and abs(found["e0"]["probability"] - one["e0"]["probability"]) < 1e-12
+
+
+def test_fusion_like_plain_bayes(spark):
+    """Every factor by hand: tempered text, trust in what is declared, host smoothed by domain, suffix and all."""
+    rng = random.Random(9)
+    words = {"deu": ["der", "und", "nicht"], "en": ["the", "and", "with"], "zh-cn": ["wo", "men", "shi"]}
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words[l]) for _ in range(30)), l) for i in range(40) for l in words], "doc_id long, text string, lang string")
+    model = L.fit_text(docs)
+    hosts = ["a.x.de", "b.x.de", "c.y.de", "d.z.org"]
+    pages = []
+    for n in range(90):
+        l = rng.choice(list(words))
+        tag = rng.choice(["", l, "deu", "zh-CN-hans", "xx"])
+        pages.append((str(n), (f'<html lang="{tag}">' if tag else "") + rng.choice(["", " ".join(rng.choices(words[l], k=2))]), f"http://{rng.choice(hosts)}/{rng.choice(['deu', 'q/r', 'zh-cn', 'fr'])}/i"))
+    names, known = model.languages, frozenset(model.languages)
+    assert names == ["deu", "en", "zh-cn"]
+    facts = []
+    for _, body, url in pages:
+        tag = L._DECLARED.search(body)
+        x = model.likelihoods(L.visible_text(body).encode())
+        host, domain, suffix, address = L.address_parts(url, known)
+        facts.append(({"host": host, "domain": domain, "suffix": suffix, "declared": L.code_of(tag[1], known) if tag else "", "address": address}, x, int(x.argmax()) if x.max() > x.min() else None))
+    assert {f[0]["declared"] for f in facts} == {"", "deu", "en", "zh-cn", "xx"} and {f[0]["address"] for f in facts} == {"deu", "zh-cn", "fr", ""}
+
+    def votes(test):
+        return np.array([sum(1 for f, _, b in facts if b == i and test(f)) for i in range(3)], float)
+
+    found = {r["id"]: r for r in L.identify(spark.createDataFrame(pages, "id string, body string, url string"), model).collect()}
+    for n, (f, x, best) in enumerate(facts):
+        own = np.array([float(best == i) for i in range(3)])
+        share = votes(lambda g: True) - own + 1
+        share /= share.sum()
+        for level in (("suffix",), ("domain", "suffix"), ("host", "domain", "suffix")):
+            counts = np.maximum(votes(lambda g: all(g[k] == f[k] for k in level)) - own, 0)
+            share = (counts + L.SMOOTHING * share) / (counts.sum() + L.SMOOTHING)
+        z = x + np.log(share)
+        for kind in ("declared", "address"):
+            if f[kind]:
+                place = lambda v: v if v in names else "other"
+                table = np.array([votes(lambda g: g[kind] and place(g[kind]) == v) for v in [*names, "other"]]) + np.vstack([np.full((3, 3), 0.5) + 1.5 * np.eye(3), np.full((1, 3), 0.5)])
+                z += np.log(table / table.sum(0))[[*names, "other"].index(place(f[kind]))]
+        p = np.exp(z - z.max())
+        p /= p.sum()
+        r = found[str(n)]
+        assert r["lang"] == names[int(p.argmax())] and abs(r["probability"] - p.max()) < 1e-9 and r["text_lang"] == (None if best is None else names[best])
+
+
 def test_every_language_counts_and_rare_ones_are_sampled(spark):
     rng = random.Random(6)
     names = [a + b for a in "abcdefgh" for b in "klmnopqrs"]

@@ -16,8 +16,8 @@ log P(l | page) = t * log P(text | l) + log P(declared | l) + log P(address | l)
   grouped sums over all rows; a row's own vote is taken out of its prior.
 
 Rows of one host, even a third of all, are pre-aggregated in every task; the
-priors are joined by host, which adaptive execution can split. Missing evidence (null text, no markup, no
-address) adds nothing. A table of documents without addresses uses its source as the host.
+priors are joined by host, which adaptive execution can split. Missing evidence (null text, or one without
+trigrams, no markup, no address) adds nothing: such a text gives no vote to priors or trust, and text_lang is null. A table of documents without addresses uses its source as the host.
 With no labelled documents the language is null. Ties go to the first language in order.
 """
 
@@ -45,7 +45,7 @@ _TEMPERS = (1.0, 0.3, 0.1, 0.03, 0.01)
 _LETTERS = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], np.uint8)
 _HIDDEN = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.S | re.I)
 _TAG = re.compile(r"<[^>]*>")
-_DECLARED = re.compile(r"<html\b[^>]*?\b(?:xml:)?lang\s*=\s*[\"']?([A-Za-z]{2,3})\b|content-language[\"']?\s+content\s*=\s*[\"']?([A-Za-z]{2,3})\b", re.I)
+_DECLARED = re.compile(r"<html\b[^>]*?\b(?:xml:)?lang\s*=\s*[\"']?([A-Za-z]{2,3}(?:[-_][A-Za-z0-9]{1,8})*)\b|content-language[\"']?\s+content\s*=\s*[\"']?([A-Za-z]{2,3}(?:[-_][A-Za-z0-9]{1,8})*)\b", re.I)
 
 
 def trigrams(data: bytes) -> np.ndarray:
@@ -63,8 +63,21 @@ def visible_text(page: str) -> str:
     return html.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", page)))
 
 
-def address_parts(url: str | None) -> tuple[str, str, str, str]:
-    """Host, domain, suffix and language code of an address; empty where missing."""
+def code_of(tag: str, languages: frozenset[str]) -> str:
+    """The longest start of a language tag that is a known language, else its first part."""
+    parts = re.split("[-_]", tag.lower())
+    for n in range(len(parts), 0, -1):
+        for sign in "-_":
+            if (code := sign.join(parts[:n])) in languages:
+                return code
+    return parts[0]
+
+
+def address_parts(url: str | None, languages: frozenset[str] = frozenset()) -> tuple[str, str, str, str]:
+    """Host, domain, suffix and language code of an address; empty where missing.
+
+    A code is two letters, maybe with a region, or any known language.
+    """
     try:
         parts = urlsplit(url or "")
         host = (parts.hostname or "").lower()
@@ -72,7 +85,7 @@ def address_parts(url: str | None) -> tuple[str, str, str, str]:
         return "", "", "", ""
     labels = [x for x in host.split(".") if x]
     steps = [*labels[:-2][:1], *parts.path.lower().split("/")[1:2]]
-    code = next((s[:2] for s in steps if re.fullmatch(r"[a-z]{2}([-_][a-z]{2})?", s)), "")
+    code = next((code_of(s, languages) for s in steps if re.fullmatch(r"[a-z]{2}([-_][a-z]{2})?", s) or s in languages or code_of(s, languages) in languages), "")
     return host, ".".join(labels[-2:]), labels[-1] if labels else "", code
 
 
@@ -138,7 +151,9 @@ EVIDENCE = "id string, host string, domain string, suffix string, declared strin
 
 
 def gather(rows: DataFrame, model: TextModel, markup: bool) -> DataFrame:
-    """Evidence of each row of (id, body, url): what it says by itself."""
+    """Evidence of each row of (id, body, url): what it says by itself. A text without trigrams is for no language."""
+    languages = frozenset(model.languages)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "body"):
             out: list[list] = [[] for _ in range(8)]
@@ -146,11 +161,11 @@ def gather(rows: DataFrame, model: TextModel, markup: bool) -> DataFrame:
                 declared = ""
                 if markup:
                     found = _DECLARED.search(body)
-                    declared = (found[1] or found[2]).lower()[:2] if found else ""
+                    declared = code_of(found[1] or found[2], languages) if found else ""
                     body = visible_text(body)
                 x = model.likelihoods(body.encode())
-                places = address_parts(url) if markup else (url or "", "", "", "")
-                for column, value in zip(out, (name, *places[:3], declared, places[3], x.tolist(), int(x.argmax()) if len(x) else None), strict=True):
+                places = address_parts(url, languages) if markup else (url or "", "", "", "")
+                for column, value in zip(out, (name, *places[:3], declared, places[3], x.tolist(), int(x.argmax()) if len(x) and x.max() > x.min() else None), strict=True):
                     column.append(value)
             kinds = [pa.string()] * 6 + [pa.list_(pa.float64()), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["id", "host", "domain", "suffix", "declared", "address", "x", "best"])
@@ -182,7 +197,7 @@ def identify(rows: DataFrame, model: TextModel, markup: bool = True, smoothing:
         none = F.lit(None).cast("string")
         return evidence.select("id", none.alias("lang"), F.lit(None).cast("double").alias("probability"), none.alias("text_lang"), "declared")
     declared, address = _trust(evidence, "declared", languages), _trust(evidence, "address", languages)
-    votes = [F.sum((F.col("best") == i).cast("double")).alias(f"v{i}") for i in range(len(languages))]
+    votes = [F.count_if(F.col("best") == i).cast("double").alias(f"v{i}") for i in range(len(languages))]
     hosts = evidence.groupBy("host", "domain", "suffix").agg(*votes)
     sums = [F.sum(f"v{i}").alias(f"v{i}") for i in range(len(languages))]
 
@@ -203,8 +218,9 @@ def identify(rows: DataFrame, model: TextModel, markup: bool = True, smoothing:
             if not n:
                 continue
             x = np.array(batch.column("x").to_pylist())
-            best = np.array(batch.column("best").to_pylist())
-            own = np.eye(len(languages))[best]
+            best = batch.column("best").to_pylist()
+            silent = len(languages)  # the place of rows whose text is for no language: they gave no vote
+            own = np.eye(silent + 1)[[silent if i is None else i for i in best], :silent]
             share = everywhere[None, :] - own
             share = (share + 1) / (share + 1).sum(1, keepdims=True)
             for level in ("of_suffix", "of_domain", "of_host"):
@@ -217,7 +233,7 @@ def identify(rows: DataFrame, model: TextModel, markup: bool = True, smoothing:
             p /= p.sum(1, keepdims=True)
             at = p.argmax(1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([languages[i] for i in at]), pa.array(p[np.arange(n), at]), pa.array([languages[i] for i in best]), batch.column("declared")],
+                [batch.column("id"), pa.array([languages[i] for i in at]), pa.array(p[np.arange(n), at]), pa.array([None if i is None else languages[i] for i in best], pa.string()), batch.column("declared")],
                 names=["id", "lang", "probability", "text_lang", "declared"])
 
     return evidence.join(priors, "host").select("id", "declared", "address", "x", "best", "of_host", "of_domain", "of_suffix").mapInArrow(fuse, out)
