@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from itertools import count
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import durable
@@ -51,11 +50,18 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EDGE_SCHEMA).parquet(path).distinct()
 
 
+#: Edges followed by one job near the start, and how many such jobs come before paths are doubled.
+HOPS, NEAR = 3, 2
+
+
 def reach(edges: DataFrame, start: str, direction: str, max_depth: int | None = None) -> DataFrame:
     """Nodes within ``max_depth`` steps of a node, by default at any distance, with their kind and smallest depth.
 
-    One join and distinct per step, only over newly found nodes, so cycles end.
-    Each step is written to the shared folder: the next starts from files.
+    The first six steps, more than most lineages have, are followed edge by edge from
+    the nodes found last, three to a job. What lies deeper is found by path doubling over the edges
+    between nodes not reached yet: each round takes paths twice as long as the one before, so
+    rounds grow with the logarithm of the depth. Cycles end, as only nearest finds count. Each
+    round is written to the shared folder: the next starts from files.
     """
     steps = {
         "down": edges.select(F.col("src").alias("at"), F.col("dst").alias("node"), F.col("dst_kind").alias("kind")),
@@ -67,22 +73,59 @@ def reach(edges: DataFrame, start: str, direction: str, max_depth: int | None =
         hop = steps[direction]
     else:
         raise ValueError(f"direction must be 'up', 'down' or 'both', not {direction!r}")
-    first = hop.where((F.col("at") == start) & (F.col("node") != start)).select("node", "kind").distinct()
-    found = durable(first.withColumn("depth", F.lit(1)), "reach")
-    frontier = found
-    for depth in count(2) if max_depth is None else range(2, max_depth + 1):
-        new = (
-            hop.join(frontier.select(F.col("node").alias("at")), "at", "left_semi")
-            .where(F.col("node") != start)
-            .select("node", "kind")
-            .distinct()
-            .join(found.select("node"), "node", "left_anti")
-        )
-        frontier = durable(new.withColumn("depth", F.lit(depth)).select("node", "kind", "depth"), "reach")
+    hop = hop.where((F.col("node") != start) & (F.col("at") != F.col("node")))
+    most = float("inf") if max_depth is None else max_depth
+    found, frontier, depth = None, edges.sparkSession.range(1).select(F.lit(start).alias("node")), 0
+    for _ in range(NEAR):
+        new, last, far = None, frontier, min(depth + HOPS, most)
+        while depth < far:
+            depth += 1
+            last = hop.join(last.select(F.col("node").alias("at")).distinct(), "at", "left_semi").select("node", "kind").distinct()
+            step = last.withColumn("depth", F.lit(depth))
+            new = step if new is None else new.unionByName(step)
+        if new is None:
+            return found if found is not None else _nothing(hop)
+        new = _nearest(new)
+        if found is not None:
+            new = new.join(found.select("node"), "node", "left_anti")
+        new = durable(new.select("node", "kind", "depth"), "reach")
+        found = new if found is None else found.unionByName(new)
+        frontier = new.where(F.col("depth") == depth).select("node").distinct()
         if frontier.isEmpty():
+            return found
+    return found if depth >= most else _doubled(hop, found, frontier, depth, most)
+
+
+def _nothing(hop: DataFrame) -> DataFrame:
+    return hop.select("node", "kind", F.lit(0).alias("depth")).limit(0)
+
+
+def _nearest(rows: DataFrame) -> DataFrame:
+    """Each node once per kind, all of them at its least depth."""
+    least = rows.groupBy("node", "kind").agg(F.min("depth").alias("depth"))
+    return least.withColumn("depth", F.min("depth").over(Window.partitionBy("node")))
+
+
+def _doubled(hop: DataFrame, found: DataFrame, frontier: DataFrame, depth: int, most: float) -> DataFrame:
+    """What lies beyond the frontier. In round k, `paths` are all of exactly 2^k edges, and nodes nearer than that are known."""
+    known = found.select("node").distinct()
+    beyond = hop.join(known.select(F.col("node").alias("at")).join(frontier.select(F.col("node").alias("at")), "at", "left_anti"), "at", "left_anti")
+    paths = durable(beyond.join(known, "node", "left_anti").select("at", "node", "kind").distinct(), "paths")
+    near = durable(frontier.select("node", F.lit("").alias("kind"), F.lit(depth).alias("depth")), "reach")  # left out in the end: `found` has them
+    length = 1
+    while depth + length <= most and not paths.isEmpty():
+        ahead = paths.join(near.select(F.col("node").alias("at"), "depth").distinct(), "at").select("node", "kind", (F.col("depth") + length).cast("int").alias("depth"))
+        ahead = ahead.join(near.select("node"), "node", "left_anti")
+        if most != float("inf"):
+            ahead = ahead.where(F.col("depth") <= most)
+        new = durable(_nearest(ahead).select("node", "kind", "depth"), "reach")
+        if new.isEmpty():
             break
-        found = found.unionByName(frontier)
-    return found
+        near = near.unionByName(new)
+        then = paths.select(F.col("at").alias("node"), F.col("node").alias("end"), F.col("kind").alias("end_kind"))
+        paths = durable(paths.join(then, "node").select("at", F.col("end").alias("node"), F.col("end_kind").alias("kind")).distinct(), "paths")
+        length *= 2
+    return found.unionByName(near.where(F.col("depth") > depth))
 
 
 def groups_of_model(edges: DataFrame, model: str, max_depth: int | None = None) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.transforms import row_positions
 from tidemark.model import FeatureGroup
 from tidemark.operators import ingest as I
 from tidemark.operators.compact import compact_binpack as binpack
@@ -15,12 +17,15 @@ from tidemark.operators.compact import stored_files
 from tidemark.operators.dataset import stored_get
 from tidemark.operators.materialize import materialize_since
 from tidemark.operators import profile_state as PS
+from tidemark.operators.flow import run_document
+from tidemark.operators.lineage import reach
 from tidemark.operators.pit import pit_join
 from tidemark.plans.fixtures import frame, with_group
 from tidemark.plans.registry import query
-from tidemark.session import scratch_path
+from tidemark.session import durable, scratch_path
 from tidemark.sources import files as S
 from tidemark.sources.layout import write_bucketed, write_clustered
+from tidemark.sources.reports import read_reports_variant, write_report
 from tidemark.streaming.ingest import file_stream, ingest_stream, read_ingested
 from tidemark.streaming.state import upsert_stream
 
@@ -205,3 +210,57 @@ def profile_merged(spark: SparkSession, d: str) -> DataFrame:
     union all select 'l_extendedprice', 'l_discount', round(corr(l_extendedprice, l_discount), 6) from lineitem""")
 def correlation_merged(spark: SparkSession, d: str) -> DataFrame:
     return PS.merged_correlation(_line_states(spark, d)).withColumn("correlation", F.round("correlation", 6))
+
+
+ORDERS_FLOW = {
+    "nodes": [
+        {"node_id": "scaled", "type": "TRANSFORM", "operator": "spark.scale_minmax_0.2", "parameters": {"columns": ["purchase_amount"], "decimals": 2}, "inputs": [{"node_id": "joined"}]},
+        {"node_id": "joined", "type": "TRANSFORM", "operator": "spark.join_0.1", "parameters": {"on": "customer_id"}, "inputs": [{"node_id": "flagged"}, {"node_id": "customers"}]},
+        {"node_id": "flagged", "type": "TRANSFORM", "operator": "spark.cast_single_data_type_0.1", "parameters": {"column": "is_reordered", "data_type": "long"}, "inputs": [{"node_id": "typed"}]},
+        {"node_id": "typed", "type": "TRANSFORM", "operator": "spark.infer_and_cast_type_0.1", "parameters": {}, "trained_parameters": {"schema": {"order_id": "long", "customer_id": "long", "purchase_amount": "float", "is_reordered": "bool", "gone": "string"}}, "inputs": [{"node_id": "orders"}]},
+        {"node_id": "orders", "type": "SOURCE", "operator": "csv_source_0.1", "parameters": {"dataset_definition": {"name": "orders.csv"}}},
+        {"node_id": "customers", "type": "SOURCE", "operator": "csv_source_0.1", "parameters": {"dataset_definition": {"name": "customers.csv"}}},
+    ]
+}
+
+
+@query("""
+    with o as (select order_id, customer_id, purchase_amount, cast(is_reordered as bigint) as is_reordered, age
+               from {order_facts} join (select customer_id as k, age from {customers}) c on customer_id = k),
+    b as (select min(purchase_amount) as lo, max(purchase_amount) as hi from o)
+    select order_id, customer_id, round((purchase_amount - lo) / (hi - lo), 2) as purchase_amount, is_reordered, age from o, b""")
+def flow_document(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as text, typed, flagged, joined and scaled as a document says."""
+    names = ["order_id", "customer_id", "purchase_amount", "is_reordered"]
+    orders = frame(spark, d, "order_facts").select(*[F.col(c).cast("string").alias(c) for c in names])
+    customers = frame(spark, d, "customers").select("customer_id", "age")
+    return run_document(json.dumps(ORDERS_FLOW), {"orders.csv": orders, "customers.csv": customers})
+
+
+@query("""
+    select timestamp '1997-01-01 00:00:00' as written_on, 'o_totalprice' as name, cast(count(*) as double) as size, round(avg(o_totalprice), 2) as mean,
+           null::double as largest, null::varchar as note, '1' as flag from orders where o_orderdate < timestamp '1997-01-01 00:00:00'
+    union all
+    select timestamp '1999-01-01 00:00:00', 'o_totalprice', count(*), null, max(o_totalprice), 'no mean', '"low"' from orders where o_orderdate < timestamp '1999-01-01 00:00:00'""")
+def reports_variant(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs with different statistics, one of which is a number in one and text in the other."""
+    path, orders = scratch_path(spark, "variant"), frame(spark, d, "orders")
+    for year, more in ((1997, {"mean": F.round(F.avg("o_totalprice"), 2), "flag": F.lit(1)}), (1999, {"largest": F.max("o_totalprice"), "note": F.lit("no mean"), "flag": F.lit("low")})):
+        known = orders.where(F.col("o_orderdate") < F.lit(f"{year}-01-01").cast("timestamp_ntz"))
+        made = known.agg(F.count(F.lit(1)).alias("size"), *[v.alias(k) for k, v in more.items()])
+        write_report(made.withColumn("name", F.lit("o_totalprice")), path, "orders", datetime(year, 1, 1))
+    found = read_reports_variant(spark, path, "orders")
+    return found.select("written_on", "name", "size", "mean", "largest", "note", F.to_json("flag").alias("flag"))
+
+
+@query("""
+    with o as (select o_orderkey, row_number() over (order by o_orderkey) as n from orders)
+    select concat('order/', o_orderkey) as node, cast(n - 1 as int) as depth from o where n between 2 and 1001""")
+def lineage_deep(spark: SparkSession, d: str) -> DataFrame:
+    """A chain of a thousand edges: each order leads to the next."""
+    orders = frame(spark, d, "orders").select("o_orderkey").orderBy("o_orderkey").limit(1001)
+    numbered = row_positions(orders, [F.col("o_orderkey").asc()], "n").select(F.concat(F.lit("order/"), "o_orderkey").alias("node"), "n")
+    later = numbered.select(F.col("node").alias("dst"), (F.col("n") - 1).alias("n"))
+    chain = durable(numbered.join(later, "n").select(F.col("node").alias("src"), F.lit("training").alias("src_kind"), "dst", F.lit("training").alias("dst_kind")), "chain")
+    first = numbered.where("n = 0").first()["node"]
+    return reach(chain, first, "down").select("node", "depth")

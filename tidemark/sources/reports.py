@@ -23,7 +23,7 @@ def write_report(profile: DataFrame, path: str, group: str, written_on: Any) ->
 
     A report has one row per profiled column, so it is one small file.
     """
-    stats = F.struct(*[F.col(c) for c in profile.columns])
+    stats = F.struct(*[F.col(f"`{c}`").alias(c) for c in profile.columns])
     report = profile.agg(F.sort_array(F.collect_list(stats)).alias("columns")).withColumn(
         "writtenOn", F.date_format(F.lit(written_on).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     )
@@ -45,6 +45,32 @@ def read_reports(spark: SparkSession, path: str, group: str, after: Any = None)
     return rows.orderBy("written_on", "name")
 
 
+def read_reports_variant(spark: SparkSession, path: str, group: str, after: Any = None) -> DataFrame:
+    """The same for reports whose statistics differ by run, or have another type in some.
+
+    Reports are parsed to VARIANT. The columns are all statistics that any report has, each of
+    the type that fits all its values: whole and other numbers become doubles; lists, objects, and
+    statistics of several types stay VARIANT. What a report doesn't have is null, and a file that is no report is
+    left out. Only the names and types of the statistics come to the driver.
+    """
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(f"{path}/{group}")
+    raw = files.select(F.try_parse_json("value").alias("v"), F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("report_file"))
+    rows = raw.select(
+        F.explode(F.try_variant_get("v", "$.columns", "array<variant>")).alias("c"),
+        F.try_to_timestamp(F.try_variant_get("v", "$.writtenOn", "string")).alias("written_on"), "report_file")
+    if after is not None:
+        rows = rows.where(F.col("written_on") > F.lit(after).cast("timestamp"))
+    fields = rows.select(F.explode(F.try_variant_get("c", "$", "map<string, variant>")).alias("name", "value"))
+    kinds = {r["name"]: r["kind"] for r in fields.groupBy("name").agg(F.schema_of_variant_agg("value").alias("kind")).orderBy("name").collect()}
+    kept = [k for k in kinds if k not in DROPPED_ALWAYS]
+    values = [F.try_variant_get("c", f'$["{k}"]', _VARIANT_TYPES.get(kinds[k].split("(")[0], "variant")).alias(k) for k in kept]
+    return rows.select(*values, "written_on", "report_file").orderBy("written_on", *(["name"] if "name" in kept else []))
+
+
+#: Types that a statistic is read as; all others stay VARIANT.
+_VARIANT_TYPES = {"BIGINT": "double", "DECIMAL": "double", "DOUBLE": "double", "FLOAT": "double", "STRING": "string", "BOOLEAN": "boolean", "VOID": "string"}
+
+
 def consolidate_reports(reports: DataFrame, path: str, group: str) -> tuple[DataFrame, DataFrame]:
     """Write the full and the short table as ``;`` separated CSV and return both.
 
@@ -54,7 +80,7 @@ def consolidate_reports(reports: DataFrame, path: str, group: str) -> tuple[Data
     for name, df in (("full", reports), ("short", short)):
         flat = df.select(
             *[
-                F.to_json(f.name).alias(f.name) if f.dataType.typeName() in ("array", "struct", "map") else f.name
+                F.to_json(f"`{f.name}`").alias(f.name) if f.dataType.typeName() in ("array", "struct", "map", "variant") else F.col(f"`{f.name}`").alias(f.name)
                 for f in df.schema.fields
             ]
         )
