@@ -8,7 +8,8 @@ language keeps the terms in at least `min_docs` of its documents, whatever
 their source.
 
 The merged counts are dealt into columnar shards: the terms of a language go by
-hash to as many shards as keep sources x terms of one near `CELLS`. A shard is
+hash to as many shards as keep sources x terms of one near `CELLS`, or, with many
+sources, their terms near the number of sources and below `MOST_CELLS`. A shard is
 one matrix, with a row per source of the language; it gives its part of each
 pair's distance and its best terms of each group, which are added and ranked.
 Hot sources and languages only get more shards. All arithmetic is in integers.
@@ -38,7 +39,8 @@ MIN_DOCS = 30
 SMOOTH = 5
 SCALE = 10**9
 TOP_TERMS = 50
-CELLS = 1 << 21
+CELLS = 1 << 16
+MOST_CELLS = 1 << 23
 PIECE_BYTES = 16 << 20
 _GAP = re.compile(BETWEEN.encode())
 
@@ -145,7 +147,9 @@ def audit(documents: DataFrame, text: str = "text", lang: str = "lang", source:
     kept = durable(spread.where(F.col("term").isNull() | (F.col("everywhere") >= min_docs)).drop("docs", "everywhere"), "audit")
     groups = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.sum(F.when(F.col("term").isNotNull(), F.col("first")).otherwise(0)).alias("terms"))
     langs = groups.groupBy("lang").agg(F.sum("terms").alias("kept"), F.count(F.lit(1)).alias("sources"))
-    langs = langs.select("lang", "kept", F.greatest(F.lit(1), F.ceil(F.col("kept") * F.col("sources") / cells)).cast("int").alias("shards"))
+    # Every shard gives a row for each pair of sources, so its terms should be as many as the sources where memory allows.
+    wide = F.greatest(F.lit(1), F.floor(cells / F.col("sources")), F.least("sources", F.floor(MOST_CELLS / F.col("sources"))))
+    langs = langs.select("lang", "kept", F.greatest(F.lit(1), F.ceil(F.col("kept") / wide)).cast("int").alias("shards"))
     left = kept.where("term is not null").join(langs, "lang").select("lang", F.pmod(F.xxhash64("term"), "shards").cast("int").alias("shard"), "source", "term", "n")
     right = groups.join(langs, "lang").select("lang", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "source", "total", "kept")
     right = right.select(*[F.col(c).alias(f"{c}_") for c in right.columns])  # names of its own, as both sides come from one table
