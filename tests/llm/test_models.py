@@ -1,6 +1,8 @@
 """Search, toxicity, quality and language: exact parts against brute force, learned parts by held-out accuracy."""
 
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -107,7 +109,38 @@ def test_toxicity_on_held_out_documents_of_a_small_table(spark):
     found = X.score(docs, model).join(labels, "doc_id").where("held_out and toxic = 1").toPandas()
     assert found.evidence.map(len).min() > 0 and found.predicted.mean() > 0.6
     words = {w for r in docs.join(labels.where(~X.held_out("doc_id")), "doc_id").select("text").collect() for w in X.split_words((r["text"] or "").encode())}
-    assert words <= set(model.vocabulary.number)
+    assert {X.hash_of(w, model.vocabulary.seed) for w in words} <= set(model.vocabulary.hashes.tolist())
+
+
+def test_toxicity_scores_and_evidence_by_brute_force(spark):
+    """Votes of the nearest by all cosines of plain TF-IDF vectors, then the model's own calibration."""
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    model = X.fit(docs, labels, k=7)
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    marked = {r["doc_id"]: int(r["toxic"] > 0) for r in labels.collect() if r["toxic"] is not None and r["doc_id"] in texts and zlib.crc32(str(r["doc_id"]).encode()) % 5}
+    terms = {k: Counter(t for w in X.split_words(v) for t in X.terms_of(w)) for k, v in texts.items()}
+    has = [Counter(t for k, y in marked.items() if y == v for t in terms[k]) for v in (0, 1)]
+    share, known = sum(marked.values()) / len(marked), set(has[0]) | set(has[1])
+    spread = Counter(t for c in terms.values() for t in c)
+    weight = {t: (np.log((len(texts) + 1) / (spread[t] + 1)) + 1) * abs(np.log((has[1][t] + 4 * share) / (has[0][t] + 4 * (1 - share)) / (share / (1 - share)))) for t in known}
+
+    def vector(c):
+        v = {t: (1 + np.log(n)) * weight[t] for t, n in c.items() if t in known}
+        size = np.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()} if size else {}
+
+    examples = sorted(((k, vector(terms[k])) for k in marked), key=lambda x: str(x[0]))
+    examples = [(k, v) for k, v in examples if v]
+    for r in X.score(docs, model).collect():
+        q = vector(terms[r["doc_id"]])
+        near = sorted(((-round(sum(x * v.get(t, 0) for t, x in q.items()), 12), i) for i, (_, v) in enumerate(examples)))[: model.k]
+        near = [(-c, i) for c, i in near if c < 0]
+        vote = model.without_terms
+        if near:
+            w = [1 / (1.05 - min(1.0, c)) for c, _ in near]
+            vote = (sum(a * marked[examples[i][0]] for a, (_, i) in zip(w, near)) + model.without_terms) / (sum(w) + 1)
+        wanted = float(model.calibration(np.log(np.array([[vote / (1 - vote)]])))[0]) if near else vote
+        assert abs(r["score"] - wanted) < 1e-6 and len(r["evidence"]) == min(3, len(near))
 
 
 def odd_documents(spark):

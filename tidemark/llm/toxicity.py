@@ -14,8 +14,9 @@
   logistic fit on the examples themselves, each without its own vote. Texts that share no
   word with any example get the smoothed share of toxic ones among such examples.
 
-Documents are read twice (frequencies, scores) and not shuffled; what goes to
-the tasks is bounded by the examples and their words. Null text is empty.
+Documents are read for frequencies and for scores, and the sample's for terms and vectors; they aren't shuffled. Terms
+are known by 64-bit hashes (others are tried if two terms of the examples share one); a word outside the examples could share one
+too, about once in 10^13 words. What goes to the tasks is bounded by the examples and their words. Null text is empty.
 Repeated labels of a document count once, as toxic if any is. Null labels don't count. Without
 labels all scores are the same low prior.
 """
@@ -24,18 +25,20 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.batches import pieces, raw, table
 from tidemark.llm.decontaminate import split_words
 from tidemark.llm.logistic import Logistic, logit
+from tidemark.session import durable
 
 EXAMPLES = 16_384
 #: Examples without any lean that a term's odds are smoothed by.
@@ -52,24 +55,35 @@ def terms_of(word: bytes) -> list[bytes]:
 
 @dataclass
 class Vocabulary:
-    """Term numbers, and a bounded memory of words that hold no term."""
+    """Terms as sorted 64-bit hashes, known to be of different terms, and their weights; with a bounded memory of words."""
 
-    number: dict[bytes, int]
+    hashes: np.ndarray
+    seed: int = 0
     idf: np.ndarray | None = None
-    plain: set[bytes] = field(default_factory=set)
+    memory: dict[bytes, tuple[int, ...]] = field(default_factory=dict)
+
+    def places(self, words: Iterable[bytes]) -> dict[bytes, tuple[int, ...]]:
+        """The numbers of each word's terms."""
+        new = [w for w in words if w not in self.memory]
+        if len(self.memory) + len(new) > _MEMORY:
+            self.memory.clear()
+            new = list(words)
+        terms = [terms_of(w) for w in new]
+        h = np.array([hash_of(t, self.seed) for ts in terms for t in ts], np.uint64)
+        at = np.searchsorted(self.hashes, h)
+        known = at < len(self.hashes)
+        known[known] = self.hashes[at[known]] == h[known]
+        numbers, i = np.where(known, at, -1).tolist(), 0
+        for w, ts in zip(new, terms, strict=True):
+            self.memory[w] = tuple(n for n in numbers[i : i + len(ts)] if n >= 0)
+            i += len(ts)
+        return self.memory
 
     def counts(self, text: bytes) -> dict[int, int]:
-        out: dict[int, int] = {}
-        for word, times in Counter(split_words(text)).items():
-            if word in self.plain:
-                continue
-            found = [self.number[t] for t in terms_of(word) if t in self.number]
-            if not found:
-                if len(self.plain) > _MEMORY:
-                    self.plain.clear()
-                self.plain.add(word)
-                continue
-            for t in found:
+        words = Counter(split_words(text))
+        places, out = self.places(words.keys()), {}
+        for word, times in words.items():
+            for t in places[word]:
                 out[t] = out.get(t, 0) + times
         return out
 
@@ -82,7 +96,11 @@ class Vocabulary:
         return (terms, weights / size) if size else (terms[:0], weights[:0])
 
     def __getstate__(self) -> dict:
-        return {"number": self.number, "idf": self.idf, "plain": set()}
+        return self.__dict__ | {"memory": {}}
+
+
+def hash_of(term: bytes, seed: int) -> int:
+    return xxhash.xxh3_64_intdigest(term, seed)
 
 
 def _mark(terms: np.ndarray, weights: np.ndarray) -> bytes:
@@ -101,22 +119,30 @@ class BlockMaxIndex:
         # examples led by one term stand together, so bounds are tight
         lead = [int(t[np.argmax(w)]) for t, w in vectors]
         self.order = np.array(sorted(range(len(vectors)), key=lambda i: (lead[i], len(vectors[i][0]), i)), np.int64)
-        self.block, self.blocks = block, -(-len(vectors) // block)
+        self.block, self.blocks, self.terms = block, -(-len(vectors) // block), terms
         rows = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(vectors[i][0]) for i in self.order])
-        term = np.concatenate([vectors[i][0] for i in self.order]).astype(np.int32) if vectors else np.zeros(0, np.int32)
-        weight = np.concatenate([vectors[i][1] for i in self.order]) if vectors else np.zeros(0)
-        by_term = np.argsort(term, kind="stable")  # rows stay in order
-        self.rows, term, self.weights = rows[by_term], term[by_term], weight[by_term]
-        # cells: the postings of one term in one block, with their greatest weight
-        blocks = self.rows // block
+        term = np.concatenate([vectors[i][0] for i in self.order], dtype=np.int32, casting="same_kind") if vectors else np.zeros(0, np.int32)
+        by_term = np.argsort(term, kind="stable").astype(np.int32)  # rows stay in order
+        self.rows, self.term = rows[by_term], term[by_term]
+        self.weights = np.concatenate([vectors[i][1] for i in self.order])[by_term] if vectors else np.zeros(0)
+        self.cells: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("starts", "cell_block", "most")} | {"cells": None}
+
+    def _open(self) -> None:
+        """Find the cells: the postings of one term in one block, with their greatest weight. Each process does so itself, as they are larger than the postings."""
+        term, blocks = self.term, self.rows // self.block
         first = np.flatnonzero(np.concatenate([np.ones(min(1, len(term)), bool), (term[1:] != term[:-1]) | (blocks[1:] != blocks[:-1])]))
         self.starts = np.concatenate([first, [len(term)]])
         self.cell_block = blocks[first].astype(np.int32)
         self.most = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
-        self.cells = np.searchsorted(term[first], np.arange(terms + 1))
+        self.cells = np.searchsorted(term[first], np.arange(self.terms + 1))
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k nearest as (cosine, example), best first, equal ones by number of the example; without cosines of 0."""
+        if self.cells is None:
+            self._open()
         cells = _runs(self.cells[terms], self.cells[terms + 1] - self.cells[terms])
         of = np.repeat(weights, self.cells[terms + 1] - self.cells[terms])
         bounds = np.bincount(self.cell_block[cells], of * self.most[cells], self.blocks)
@@ -188,10 +214,10 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     marked = labels.where(~held_out(key) & F.col(f"`{key}`").isNotNull() & F.col(f"`{label}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("key")).agg(F.max((F.col(f"`{label}`") > 0).cast("int")).alias("y"))
     chosen = marked.orderBy(F.xxhash64("key"), "key").limit(examples)
     sample = docs.join(F.broadcast(chosen), "key")  # at most `examples` rows of numbers
-    number, leaning = _leaning(sample)
-    vocabulary = Vocabulary(number)
+    vocabulary, leaning = _leaning(sample)
     n, frequency = _document_frequencies(docs, vocabulary)
     vocabulary.idf = (np.log((n + 1) / (frequency + 1)) + 1) * leaning
+    del frequency, leaning
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -199,62 +225,76 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("y"), pa.array([t for t, _ in found], pa.list_(pa.int32())), pa.array([w for _, w in found], pa.list_(pa.float64()))], names=["key", "y", "terms", "weights"])
 
     schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string("y int, terms array<int>, weights array<double>").fields])
-    rows = sample.select("key", "y", "text").mapInArrow(vectors, schema).toArrow()
+    written = durable(sample.select("key", "y", "text").mapInArrow(vectors, schema), "examples")  # read here and by the tasks below
+    rows = written.toArrow()
     keys, y = rows.column("key").to_pylist(), rows.column("y").to_pylist()
     numbers, weights = ([x.values.to_numpy() for x in rows.column(c)] for c in ("terms", "weights"))
-    order = sorted(range(len(keys)), key=lambda i: (str(keys[i]), _mark(numbers[i], weights[i])))
+    marks = [_mark(t, w) for t, w in zip(numbers, weights, strict=True)]
+    order = sorted(range(len(keys)), key=lambda i: (str(keys[i]), marks[i]))
     plain = [y[i] for i in order if not len(numbers[i])]
     used = [i for i in order if len(numbers[i])]
     share = sum(y) / len(y) if y else 0.1
     without = (sum(plain) + share) / (len(plain) + 1)
-    found = [(numbers[i], weights[i]) for i in used]
-    model = Model(vocabulary, BlockMaxIndex(found, max(1, len(vocabulary.number))), np.array([y[i] for i in used], np.float64), [keys[i] for i in used], without, None, k)
+    index = BlockMaxIndex([(numbers[i], weights[i]) for i in used], max(1, len(vocabulary.hashes)))
+    del rows, numbers, weights
+    model = Model(vocabulary, index, np.array([y[i] for i in used], np.float64), [keys[i] for i in used], without, None, k)
     if used:
-        del rows, numbers, weights
-        own = np.array(_votes_of_others(docs.sparkSession, replace(model, vocabulary=Vocabulary({})), found))  # only the index goes to the tasks
+        # only the index goes to the tasks; rows of one key and one vector are interchangeable
+        votes = _votes_of_others(written, replace(model, vocabulary=Vocabulary(np.zeros(0, np.uint64))), {marks[i]: at for at, i in reversed(list(enumerate(used)))})
+        own = np.array([votes[marks[i], y[i]] for i in used])
         model.calibration = Logistic.fit(logit(own[:, None]), model.labels)
     return model
 
 
-def _votes_of_others(spark: SparkSession, model: Model, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[float]:
-    """For each example the votes of its nearest others."""
+def _votes_of_others(examples: DataFrame, model: Model, place: dict[bytes, int]) -> dict[tuple[bytes, int], float]:
+    """By vector and label, the votes of an example's nearest others. One example of its own vector and label is left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("id").to_pylist()
-            votes = [model.votes([x for x in model.index.search(*vectors[i], model.k + 1) if x[1] != i][: model.k]) for i in ids]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(votes, pa.float64())], names=["id", "vote"])
-
-    rows = spark.range(0, len(vectors), numPartitions=max(1, min(64, len(vectors) // 100))).mapInArrow(run, "id long, vote double").collect()  # at most `examples`
-    return [r["vote"] for r in sorted(rows, key=lambda r: r["id"])]
+            out: dict[tuple[bytes, int], float] = {}
+            for y, terms, weights in zip(batch.column("y").to_pylist(), batch.column("terms"), batch.column("weights"), strict=True):
+                terms, weights = terms.values.to_numpy(), weights.values.to_numpy()
+                if (mark := _mark(terms, weights)) in place and (mark, y) not in out:
+                    near = model.index.search(terms, weights, model.k + 1)
+                    own = next((i for s, i in near if model.labels[i] == y and s > 1 - 1e-9), place[mark])
+                    out[mark, y] = model.votes([x for x in near if x[1] != own][: model.k])
+            yield pa.RecordBatch.from_arrays([pa.array([m for m, _ in out], pa.binary()), pa.array([y for _, y in out], pa.int32()), pa.array(list(out.values()), pa.float64())], names=["mark", "y", "vote"])
 
+    rows = examples.select("y", "terms", "weights").mapInArrow(run, "mark binary, y int, vote double").collect()  # at most `examples`
+    return {(bytes(r["mark"]), r["y"]): r["vote"] for r in rows}
 
-def _leaning(sample: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
-    """Numbers of all terms of the examples, and how far each term's smoothed odds of the label are from those of all."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            found: dict[bytes, list[int]] = {}
-            for y, text in zip(batch.column("y").to_pylist(), raw(batch.column("text")), strict=True):
-                for term in {t for w in set(split_words(text)) for t in terms_of(w)}:
-                    found.setdefault(term, [0, 0])[y] += 1
-            yield table(pa.schema([("term", pa.binary()), ("clean", pa.int64()), ("toxic", pa.int64())]), {"term": list(found), "clean": [v[0] for v in found.values()], "toxic": [v[1] for v in found.values()]})
 
+def _leaning(sample: DataFrame) -> tuple[Vocabulary, np.ndarray]:
+    """All terms of the examples, and how far each term's smoothed odds of the label are from those of all."""
     totals = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     clean, toxic = totals.get(0, 0), totals.get(1, 0)
     if not clean or not toxic:
-        return {}, np.zeros(0)
-    counted = sample.select("y", "text").mapInArrow(count, "term binary, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
-    a, b = (counted.column(c).to_numpy().astype(np.float64) for c in ("toxic", "clean"))
+        return Vocabulary(np.zeros(0, np.uint64)), np.zeros(0)
+    for seed in range(8):
+        def count(batches: Iterator[pa.RecordBatch], seed: int = seed) -> Iterator[pa.RecordBatch]:
+            for batch in pieces(batches, "text"):
+                found: dict[bytes, list[int]] = {}
+                for y, text in zip(batch.column("y").to_pylist(), raw(batch.column("text")), strict=True):
+                    for term in {t for w in set(split_words(text)) for t in terms_of(w)}:
+                        found.setdefault(term, [0, 0])[y] += 1
+                hashes = [np.array([hash_of(t, s) for t in found], np.uint64).view(np.int64) for s in (seed, seed + 1000)]
+                yield table(pa.schema([(n, pa.int64()) for n in ("hash", "other", "clean", "toxic")]), {"hash": hashes[0], "other": hashes[1], "clean": [v[0] for v in found.values()], "toxic": [v[1] for v in found.values()]})
+
+        counted = sample.select("y", "text").mapInArrow(count, "hash long, other long, clean long, toxic long").groupBy("hash").agg(
+            F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), (F.min("other") != F.max("other")).alias("mixed")).toArrow()
+        if not any(c.true_count for c in counted.column("mixed").chunks):  # else two terms share a hash: try others
+            break
+    hashes = counted.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    a, b = (counted.column(c).to_numpy()[order].astype(np.float64) for c in ("toxic", "clean"))
     share = toxic / (clean + toxic)
     odds = np.log((a + SMOOTHING * share) / (b + SMOOTHING * (1 - share)) / (share / (1 - share)))
-    terms = counted.column("term").to_pylist()
-    order = sorted(range(len(terms)), key=terms.__getitem__)
-    return {terms[i]: at for at, i in enumerate(order)}, np.abs(odds[order])
+    return Vocabulary(hashes[order], seed), np.abs(odds)
 
 
 def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.ndarray]:
     """Of all documents: how many, and how many have each term."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(vocabulary.number) + 1, np.int64)
+        total = np.zeros(len(vocabulary.hashes) + 1, np.int64)
         for batch in pieces(batches, "text"):
             for text in raw(batch.column("text")):
                 total[-1] += 1
@@ -263,7 +303,7 @@ def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int,
         some = np.flatnonzero(total)
         yield table(pa.schema([("term", pa.int64()), ("n", pa.int64())]), {"term": some, "n": total[some]})
 
-    out = np.zeros(len(vocabulary.number) + 1, np.int64)
+    out = np.zeros(len(vocabulary.hashes) + 1, np.int64)
     found = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     out[found.column("term").to_numpy()] = found.column("n").to_numpy()
     return int(out[-1]), out[:-1]
