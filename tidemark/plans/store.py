@@ -381,7 +381,7 @@ def compaction_stats(spark: SparkSession, d: str) -> DataFrame:
     after = S.partition_stats(spark, path).select("partition", F.col("file_count").alias("files_after"), F.col("total_size").alias("size_after"))
     return before.join(after, "partition").select(
         F.replace("partition", F.lit("year=")).cast("long").alias("year"), (F.col("files_after") < F.col("file_count")).alias("fewer_files"),
-        (F.col("size_after") > 0).alias("as_large"))
+        F.col("size_after").between(F.col("total_size") / 4, F.col("total_size")).alias("as_large"))
 
 
 @query("""
