@@ -91,11 +91,12 @@ PART_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quant
 
 
 @query("\n    union all\n    ".join(
-    f"select '{a}' as name, '{b}' as other, round(corr({a}, {b}), 3) as correlation from lineitem"
+    f"select '{a}' as name, '{b}' as other, round(corr({a}, {b}), 3) + 0.0 as correlation from lineitem"
     for i, a in enumerate(PART_NUMBERS) for b in PART_NUMBERS[i + 1 :]))
 def correlation_all(spark: SparkSession, d: str) -> DataFrame:
     """All numeric columns, without being named."""
-    return _rounded(M.profile_correlation(frame(spark, d, "lineitem").select(*PART_NUMBERS)), "correlation")
+    found = _rounded(M.profile_correlation(frame(spark, d, "lineitem").select(*PART_NUMBERS)), "correlation")
+    return found.withColumn("correlation", F.col("correlation") + 0.0)  # a rounded -0.0 is 0.0
 
 
 
