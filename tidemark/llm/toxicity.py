@@ -26,11 +26,12 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,7 +129,14 @@ class BlockMaxIndex:
         self.cells: np.ndarray | None = None
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("starts", "cell_block", "most")} | {"cells": None}
+        """Postings alone, in the narrowest form: rows as small numbers, and where each term's end."""
+        ends = np.searchsorted(self.term, np.arange(self.terms), side="right").astype(np.int32)
+        rows = self.rows.astype(np.min_scalar_type(max(1, len(self.order))))
+        return {"order": self.order, "block": self.block, "blocks": self.blocks, "terms": self.terms, "rows": rows, "ends": ends, "weights": self.weights}
+
+    def __setstate__(self, state: dict) -> None:
+        ends = state.pop("ends")
+        self.__dict__ = state | {"rows": state["rows"].astype(np.int32), "term": np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0)), "cells": None}
 
     def _open(self) -> None:
         """Find the cells: the postings of one term in one block, with their greatest weight. Each process does so itself, as they are larger than the postings."""
@@ -177,6 +185,13 @@ class Model:
     calibration: Logistic | None
     k: int
     known: dict = field(default_factory=dict)
+    shared: tuple[Broadcast, Broadcast] | None = None
+
+    def opened(self) -> Model:
+        """In a task: vocabulary and index as the process has them, loaded once for all its tasks."""
+        if self.shared is not None and self.index is None:
+            self.vocabulary, self.index = (part.value for part in self.shared)
+        return self
 
     def votes(self, near: list[tuple[float, int]]) -> float:
         if not near:
@@ -201,7 +216,8 @@ class Model:
         return self.known[mark]
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"known": {}}
+        away = {} if self.shared is None else {"vocabulary": None, "index": None}
+        return self.__dict__ | {"known": {}} | away
 
 
 def held_out(key: str) -> F.Column:
@@ -218,10 +234,12 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     n, frequency = _document_frequencies(docs, vocabulary)
     vocabulary.idf = (np.log((n + 1) / (frequency + 1)) + 1) * leaning
     del frequency, leaning
+    context = docs.sparkSession.sparkContext
+    words = context.broadcast(vocabulary)  # bounded by the examples, as the index is; each is sent once for all jobs
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            found = [vocabulary.vector(t) for t in raw(batch.column("text"))]
+            found = [words.value.vector(t) for t in raw(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("y"), pa.array([t for t, _ in found], pa.list_(pa.int32())), pa.array([w for _, w in found], pa.list_(pa.float64()))], names=["key", "y", "terms", "weights"])
 
     schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string("y int, terms array<int>, weights array<double>").fields])
@@ -237,10 +255,9 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     without = (sum(plain) + share) / (len(plain) + 1)
     index = BlockMaxIndex([(numbers[i], weights[i]) for i in used], max(1, len(vocabulary.hashes)))
     del rows, numbers, weights
-    model = Model(vocabulary, index, np.array([y[i] for i in used], np.float64), [keys[i] for i in used], without, None, k)
+    model = Model(vocabulary, index, np.array([y[i] for i in used], np.float64), [keys[i] for i in used], without, None, k, shared=(words, context.broadcast(index)))
     if used:
-        # only the index goes to the tasks; rows of one key and one vector are interchangeable
-        votes = _votes_of_others(written, replace(model, vocabulary=Vocabulary(np.zeros(0, np.uint64))), {marks[i]: at for at, i in reversed(list(enumerate(used)))})
+        votes = _votes_of_others(written, model, {marks[i]: at for at, i in reversed(list(enumerate(used)))})
         own = np.array([votes[marks[i], y[i]] for i in used])
         model.calibration = Logistic.fit(logit(own[:, None]), model.labels)
     return model
@@ -249,6 +266,7 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 def _votes_of_others(examples: DataFrame, model: Model, place: dict[bytes, int]) -> dict[tuple[bytes, int], float]:
     """By vector and label, the votes of an example's nearest others. One example of its own vector and label is left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model.opened()
         for batch in batches:
             out: dict[tuple[bytes, int], float] = {}
             for y, terms, weights in zip(batch.column("y").to_pylist(), batch.column("terms"), batch.column("weights"), strict=True):
@@ -316,6 +334,7 @@ def score(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "
     schema = T.StructType([T.StructField("key", kind), *T._parse_datatype_string("held_out boolean, score double, predicted int").fields, T.StructField("evidence", T.ArrayType(kind))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model.opened()
         for batch in pieces(batches, "text"):
             found = [model.score(t) for t in raw(batch.column("text"))]
             key_type = batch.schema.field("key").type
