@@ -88,18 +88,28 @@ class Vocabulary:
                 out[t] = out.get(t, 0) + times
         return out
 
-    def vector(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Terms in order and their weights, of unit length."""
+    def measured(self, text: bytes) -> tuple[np.ndarray, np.ndarray, float]:
+        """Terms in order, how often each occurs, and the length of their vector."""
         counts = self.counts(text)
         terms = np.array(sorted(counts), np.int64)
-        weights = (1 + np.log(np.array([counts[t] for t in terms.tolist()], np.float64))) * self.idf[terms]
-        size = np.sqrt(weights @ weights)
-        return (terms, weights / size) if size else (terms[:0], weights[:0])
+        times = np.array([counts[t] for t in terms.tolist()], np.int64)
+        weights = weigh(times, self.idf[terms], 1.0)
+        size = float(np.sqrt(weights @ weights))
+        return (terms, times, size) if size else (terms[:0], times[:0], 1.0)
+
+    def vector(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Terms in order and their weights, of unit length."""
+        terms, times, size = self.measured(text)
+        return terms, weigh(times, self.idf[terms], size)
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"memory": {}}
 
 
+def weigh(times: np.ndarray, idf: np.ndarray, size: np.ndarray | float) -> np.ndarray:
+    return (1 + np.log(times.astype(np.float64))) * idf / size
+
+
 def hash_of(term: bytes, seed: int) -> int:
     return xxhash.xxh3_64_intdigest(term, seed)
 
@@ -116,7 +126,8 @@ def _runs(first: np.ndarray, n: np.ndarray) -> np.ndarray:
 class BlockMaxIndex:
     """Exact cosine search over unit vectors of positive weights."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK) -> None:
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK, measured: list[tuple[np.ndarray, float]] | None = None) -> None:
+        """With `measured`, how often the terms occur and the vectors' lengths, those travel instead of the weights (`weigh_by`)."""
         # examples led by one term stand together, so bounds are tight
         lead = [int(t[np.argmax(w)]) for t, w in vectors]
         self.order = np.array(sorted(range(len(vectors)), key=lambda i: (lead[i], len(vectors[i][0]), i)), np.int64)
@@ -126,13 +137,23 @@ class BlockMaxIndex:
         by_term = np.argsort(term, kind="stable").astype(np.int32)  # rows stay in order
         self.rows, self.term = rows[by_term], term[by_term]
         self.weights = np.concatenate([vectors[i][1] for i in self.order])[by_term] if vectors else np.zeros(0)
+        self.times = self.sizes = None
+        if measured is not None and vectors:
+            times = np.concatenate([measured[i][0] for i in self.order])
+            self.times = times.astype(np.min_scalar_type(times.max(initial=1)))[by_term]
+            self.sizes = np.array([measured[i][1] for i in self.order])
         self.cells: np.ndarray | None = None
 
+    def weigh_by(self, idf: np.ndarray) -> None:
+        """The weights anew, to the last bit, where they didn't travel."""
+        if self.weights is None:
+            self.weights = weigh(self.times, idf[self.term], self.sizes[self.rows])
+
     def __getstate__(self) -> dict:
         """Postings alone, in the narrowest form: rows as small numbers, and where each term's end."""
         ends = np.searchsorted(self.term, np.arange(self.terms), side="right").astype(np.int32)
         rows = self.rows.astype(np.min_scalar_type(max(1, len(self.order))))
-        return {"order": self.order, "block": self.block, "blocks": self.blocks, "terms": self.terms, "rows": rows, "ends": ends, "weights": self.weights}
+        return {"order": self.order, "block": self.block, "blocks": self.blocks, "terms": self.terms, "rows": rows, "ends": ends, "weights": self.weights if self.times is None else None, "times": self.times, "sizes": self.sizes}
 
     def __setstate__(self, state: dict) -> None:
         ends = state.pop("ends")
@@ -191,6 +212,7 @@ class Model:
         """In a task: vocabulary and index as the process has them, loaded once for all its tasks."""
         if self.shared is not None and self.index is None:
             self.vocabulary, self.index = (part.value for part in self.shared)
+            self.index.weigh_by(self.vocabulary.idf)
         return self
 
     def votes(self, near: list[tuple[float, int]]) -> float:
@@ -239,22 +261,25 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            found = [words.value.vector(t) for t in raw(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("y"), pa.array([t for t, _ in found], pa.list_(pa.int32())), pa.array([w for _, w in found], pa.list_(pa.float64()))], names=["key", "y", "terms", "weights"])
+            found = [words.value.measured(t) for t in raw(batch.column("text"))]
+            weights = [weigh(n, words.value.idf[t], size) for t, n, size in found]
+            columns = [pa.array([t for t, _, _ in found], pa.list_(pa.int32())), pa.array([n for _, n, _ in found], pa.list_(pa.int32())), pa.array([x for _, _, x in found], pa.float64()), pa.array([_mark(t, w) for (t, _, _), w in zip(found, weights, strict=True)], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("y"), *columns], names=["key", "y", "terms", "times", "size", "mark"])
 
-    schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string("y int, terms array<int>, weights array<double>").fields])
+    schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string("y int, terms array<int>, times array<int>, size double, mark binary").fields])
     written = durable(sample.select("key", "y", "text").mapInArrow(vectors, schema), "examples")  # read here and by the tasks below
     rows = written.toArrow()
     keys, y = rows.column("key").to_pylist(), rows.column("y").to_pylist()
-    numbers, weights = ([x.values.to_numpy() for x in rows.column(c)] for c in ("terms", "weights"))
-    marks = [_mark(t, w) for t, w in zip(numbers, weights, strict=True)]
+    numbers, times = ([x.values.to_numpy() for x in rows.column(c)] for c in ("terms", "times"))
+    sizes, marks = rows.column("size").to_pylist(), rows.column("mark").to_pylist()
     order = sorted(range(len(keys)), key=lambda i: (str(keys[i]), marks[i]))
     plain = [y[i] for i in order if not len(numbers[i])]
     used = [i for i in order if len(numbers[i])]
     share = sum(y) / len(y) if y else 0.1
     without = (sum(plain) + share) / (len(plain) + 1)
-    index = BlockMaxIndex([(numbers[i], weights[i]) for i in used], max(1, len(vocabulary.hashes)))
-    del rows, numbers, weights
+    found = [(numbers[i], weigh(times[i], vocabulary.idf[numbers[i]], sizes[i])) for i in used]
+    index = BlockMaxIndex(found, max(1, len(vocabulary.hashes)), measured=[(times[i], sizes[i]) for i in used])
+    del rows, numbers, times, found
     model = Model(vocabulary, index, np.array([y[i] for i in used], np.float64), [keys[i] for i in used], without, None, k, shared=(words, context.broadcast(index)))
     if used:
         votes = _votes_of_others(written, model, {marks[i]: at for at, i in reversed(list(enumerate(used)))})
@@ -269,15 +294,16 @@ def _votes_of_others(examples: DataFrame, model: Model, place: dict[bytes, int])
         model.opened()
         for batch in batches:
             out: dict[tuple[bytes, int], float] = {}
-            for y, terms, weights in zip(batch.column("y").to_pylist(), batch.column("terms"), batch.column("weights"), strict=True):
-                terms, weights = terms.values.to_numpy(), weights.values.to_numpy()
-                if (mark := _mark(terms, weights)) in place and (mark, y) not in out:
+            for y, mark, terms, times, size in zip(*(batch.column(c).to_pylist() for c in ("y", "mark")), batch.column("terms"), batch.column("times"), batch.column("size").to_pylist(), strict=True):
+                if mark in place and (mark, y) not in out:
+                    terms = terms.values.to_numpy()
+                    weights = weigh(times.values.to_numpy(), model.vocabulary.idf[terms], size)
                     near = model.index.search(terms, weights, model.k + 1)
                     own = next((i for s, i in near if model.labels[i] == y and s > 1 - 1e-9), place[mark])
                     out[mark, y] = model.votes([x for x in near if x[1] != own][: model.k])
             yield pa.RecordBatch.from_arrays([pa.array([m for m, _ in out], pa.binary()), pa.array([y for _, y in out], pa.int32()), pa.array(list(out.values()), pa.float64())], names=["mark", "y", "vote"])
 
-    rows = examples.select("y", "terms", "weights").mapInArrow(run, "mark binary, y int, vote double").collect()  # at most `examples`
+    rows = examples.select("y", "mark", "terms", "times", "size").mapInArrow(run, "mark binary, y int, vote double").collect()  # at most `examples`
     return {(bytes(r["mark"]), r["y"]): r["vote"] for r in rows}
 
 
