@@ -109,6 +109,46 @@ def test_nothing_is_cut_where_halves_meet(spark):
     assert got == brute.repeats(docs, 20)
 
 
+def test_added_bytes():
+    rng = random.Random(4)
+    for _ in range(200):
+        stretches, seen = [], set()
+        for _ in range(30):
+            first = rng.randrange(200)
+            end = first + rng.randrange(1, 30)
+            new = set(range(first, end)) - seen
+            assert S.added(stretches, first, end) == len(new)
+            seen |= new
+            assert {i for a, b in stretches for i in range(a, b)} == seen
+            assert all(x[1] < y[0] for x, y in zip(stretches, stretches[1:]))
+
+
+def test_shards_are_bounded_in_any_order():
+    rng = random.Random(6)
+    rows = [{"key": k, "r1": d, "r2": 0, "first": a + 7 * d, "piece": b"x" * 600} for k, a in enumerate(range(0, 100_000, 100)) for d in range(2)]
+    for order in (lambda r: r["key"], lambda r: -r["key"], lambda r: hash((r["key"] // 40, 5))):
+        rows.sort(key=order)
+        runs = list(S.shards(iter(rows), 10_000, 500))
+        assert [r for run in runs for r in run] == rows
+        for run in runs:
+            covered = {(r["r1"], i) for r in run for i in range(r["first"], r["first"] + 600)}
+            assert len(covered) < 10_000 + 2 * 600 and len(run) <= 501
+        assert not {r["key"] for r in runs[0]} & {r["key"] for r in runs[1]}
+    one = [{"key": 1, "r1": rng.randrange(9), "r2": 0, "first": 0, "piece": b"y" * 600} for _ in range(700)]
+    assert [len(run) for run in S.shards(iter(one), 10_000, 500)] == [700]
+
+
+def test_long_copies_with_passages_in_another_order(spark, monkeypatch):
+    rng = random.Random(6)
+    big = noise(rng, 300_000)
+    parts = [big[i : i + 3000] for i in range(0, len(big), 3000)]
+    rng.shuffle(parts)
+    docs = [(0, big), (1, "x" + big + "tail"), (2, "".join(parts))]
+    monkeypatch.setattr(S, "SHARD_BYTES", 40_000)
+    got = {r[0]: [tuple(r)[1:]] for r in remove_repeats(frame(spark, docs), length=100).collect()}
+    assert got == brute.repeats(docs, 100)
+
+
 def test_fm_index():
     rng = np.random.default_rng(0)
     for _ in range(30):

@@ -16,7 +16,8 @@ shard, whose Burrows-Wheeler transform then tells which windows repeat
    single windows, which have one neighbourhood each. Nothing is dropped.
 4. *Shards.* Tasks read the neighbourhoods in the order of the first document that
    has them, so that neighbouring anchors come together and their overlapping bytes join to one text,
-   in shards of about `SHARD_BYTES`, all of an anchor in one shard.
+   in shards of about `SHARD_BYTES`, all of an anchor in one shard. A shard's bytes are those of the joined texts, in
+   whatever order the pieces of a document come, so with an anchor's largest group it stays below `suffixes.MAX_SYMBOLS`.
 5. Marks go back to every occurrence and merge to spans per document.
 
 Hashes only decide what meets; whether windows are equal is decided by the transform
@@ -29,7 +30,9 @@ repeated in full count as copies of each other. Matches never cross documents.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +48,8 @@ LENGTH = 400
 #: Neighbourhoods of one anchor that are examined together at most: about 3 MB with two occurrences each.
 CAP = 2500
 SHARD_BYTES = 950_000
+#: Pieces of a shard, which overlap; text with an anchor at every byte would else hold far more than its bytes.
+SHARD_ROWS = 65_536
 #: Bytes of a document whose anchors come together; times `CAP`, the most that one task can't share.
 _STRETCH = 4096
 _SEGMENT = 1 << 18
@@ -234,18 +239,7 @@ def _examined(docs: DataFrame, near: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     def examine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        ends: dict[tuple[int, int], int] = {}
-        size = 0
-        for row in _rows(batches):
-            if held and size >= SHARD_BYTES and held[-1]["key"] != row["key"]:
-                yield _marks(held, length)
-                held, ends, size = [], {}, 0
-            held.append(row)
-            place, end = (row["r1"], row["r2"]), row["first"] + len(row["piece"])
-            size += max(0, end - max(row["first"], ends.get(place, 0)))  # bytes beyond what its document has here
-            ends[place] = max(end, ends.get(place, 0))
-        if held:
+        for held in shards(_rows(batches), SHARD_BYTES, SHARD_ROWS):
             yield _marks(held, length)
 
     pieces_of = docs.join(by_doc, ["r1", "r2"]).select("r1", "r2", "text", "slots").mapInArrow(slice_texts, cut)
@@ -253,6 +247,31 @@ def _examined(docs: DataFrame, near: DataFrame, length: int) -> DataFrame:
         examine, "key long, near long, width int, starts array<struct<first:long,last:long>>")
 
 
+def shards(rows: Iterable[dict], most_bytes: int, most_rows: int) -> Iterator[list[dict]]:
+    """Runs of rows whose joined texts have about `most_bytes`, all rows of a key in one."""
+    held: list[dict] = []
+    stretches: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    size = 0
+    for row in rows:
+        if held and (size >= most_bytes or len(held) >= most_rows) and held[-1]["key"] != row["key"]:
+            yield held
+            held, stretches, size = [], {}, 0
+        held.append(row)
+        size += added(stretches.setdefault((row["r1"], row["r2"]), []), row["first"], row["first"] + len(row["piece"]))
+    if held:
+        yield held
+
+
+def added(stretches: list[tuple[int, int]], first: int, end: int) -> int:
+    """Put [first, end) to a document's stretches, in order and apart from each other; the number of bytes that are new."""
+    a = bisect_left(stretches, first, key=itemgetter(1))
+    b = bisect_right(stretches, end, key=itemgetter(0))
+    old = stretches[a:b]
+    whole = (min(first, old[0][0]), max(end, old[-1][1])) if old else (first, end)
+    stretches[a:b] = [whole]
+    return whole[1] - whole[0] - sum(y - x for x, y in old)
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(0, batch.num_rows, 512):
