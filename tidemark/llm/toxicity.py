@@ -6,9 +6,10 @@
   weighs its inverse document frequency, from all documents, times the smoothed log odds
   of the label where it occurs (`_leaning`), so that words which go with a label decide
   which texts are near. No term is left out, however rare it is or however small the table.
-* *Index.* Postings of the examples by term, in blocks of `BLOCK` examples with
-  each term's greatest weight in the block, kept only where there is one. A block's bound is the query's
-  weights times these; blocks are opened by falling bound until no other can
+* *Index.* Examples in blocks of `BLOCK`. Postings of rare terms are added up in full. Of common terms (in over
+  `COMMON` of the examples) each block keeps the greatest weight, and each example the length of its
+  common part; an example's bound is its sum over rare terms plus the lesser of the query's weights times the block's greatest
+  ones and the product of both lengths. Examples are opened by falling bound until no other can
   reach the k-th best, so the k nearest are exact.
 * *Score.* Votes of the k nearest, weighted by closeness, are calibrated by a
   logistic fit on the examples themselves, each without its own vote. Texts that share no
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -45,8 +46,12 @@ EXAMPLES = 16_384
 #: Examples without any lean that a term's odds are smoothed by.
 SMOOTHING = 4.0
 NEAREST = 25
-BLOCK = 64
+BLOCK = 16
 PREFIX = 5
+#: Share of the examples above which a term's postings are opened only where its greatest weights ask for it.
+COMMON = 1 / 32
+#: By how much a bound may miss a cosine that it equals.
+_SLACK = 1e-11
 _MEMORY = 400_000
 
 
@@ -61,38 +66,50 @@ class Vocabulary:
     hashes: np.ndarray
     seed: int = 0
     idf: np.ndarray | None = None
-    memory: dict[bytes, tuple[int, ...]] = field(default_factory=dict)
-
-    def places(self, words: Iterable[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """The numbers of each word's terms."""
-        new = [w for w in words if w not in self.memory]
+    memory: dict[bytes, int] = field(default_factory=dict)
+    numbers: np.ndarray | None = None
+
+    def places(self, words: Collection[bytes]) -> np.ndarray:
+        """The numbers of each word's terms, -1 where there is none."""
+        at_words = list(map(self.memory.get, words))
+        if None not in at_words:
+            return self.numbers[at_words]
+        new = [w for w, at in zip(words, at_words, strict=True) if at is None]
         if len(self.memory) + len(new) > _MEMORY:
             self.memory.clear()
             new = list(words)
+        at = len(self.memory)
+        if self.numbers is None or at + len(new) > len(self.numbers):
+            more = np.full((2 * at + len(new) + 1024, 2), -1)
+            if at:
+                more[:at] = self.numbers[:at]
+            self.numbers = more
         terms = [terms_of(w) for w in new]
+        owner = np.repeat(np.arange(at, at + len(new)), [len(ts) for ts in terms])
         h = np.array([hash_of(t, self.seed) for ts in terms for t in ts], np.uint64)
-        at = np.searchsorted(self.hashes, h)
-        known = at < len(self.hashes)
-        known[known] = self.hashes[at[known]] == h[known]
-        numbers, i = np.where(known, at, -1).tolist(), 0
-        for w, ts in zip(new, terms, strict=True):
-            self.memory[w] = tuple(n for n in numbers[i : i + len(ts)] if n >= 0)
-            i += len(ts)
-        return self.memory
-
-    def counts(self, text: bytes) -> dict[int, int]:
+        place = np.searchsorted(self.hashes, h)
+        known = place < len(self.hashes)
+        known[known] = self.hashes[place[known]] == h[known]
+        which = np.concatenate([[0], np.diff(owner) == 0]).astype(np.int64)
+        self.numbers[at : at + len(new)] = -1
+        self.numbers[owner, which] = np.where(known, place, -1)
+        self.memory.update(zip(new, range(at, at + len(new)), strict=True))
+        return self.numbers[[self.memory[w] for w in words]]
+
+    def counts(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Terms in order and how often each occurs."""
         words = Counter(split_words(text))
-        places, out = self.places(words.keys()), {}
-        for word, times in words.items():
-            for t in places[word]:
-                out[t] = out.get(t, 0) + times
-        return out
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        numbers = self.places(words.keys()).ravel()
+        known = numbers >= 0
+        terms, at = np.unique(numbers[known], return_inverse=True)
+        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), 2)[known]
+        return terms, np.bincount(at, times, len(terms)).astype(np.int64)
 
     def measured(self, text: bytes) -> tuple[np.ndarray, np.ndarray, float]:
         """Terms in order, how often each occurs, and the length of their vector."""
-        counts = self.counts(text)
-        terms = np.array(sorted(counts), np.int64)
-        times = np.array([counts[t] for t in terms.tolist()], np.int64)
+        terms, times = self.counts(text)
         weights = weigh(times, self.idf[terms], 1.0)
         size = float(np.sqrt(weights @ weights))
         return (terms, times, size) if size else (terms[:0], times[:0], 1.0)
@@ -103,7 +120,7 @@ class Vocabulary:
         return terms, weigh(times, self.idf[terms], size)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memory": {}}
+        return self.__dict__ | {"memory": {}, "numbers": None}
 
 
 def weigh(times: np.ndarray, idf: np.ndarray, size: np.ndarray | float) -> np.ndarray:
@@ -142,7 +159,7 @@ class BlockMaxIndex:
             times = np.concatenate([measured[i][0] for i in self.order])
             self.times = times.astype(np.min_scalar_type(times.max(initial=1)))[by_term]
             self.sizes = np.array([measured[i][1] for i in self.order])
-        self.cells: np.ndarray | None = None
+        self.column: np.ndarray | None = None
 
     def weigh_by(self, idf: np.ndarray) -> None:
         """The weights anew, to the last bit, where they didn't travel."""
@@ -157,43 +174,62 @@ class BlockMaxIndex:
 
     def __setstate__(self, state: dict) -> None:
         ends = state.pop("ends")
-        self.__dict__ = state | {"rows": state["rows"].astype(np.int32), "term": np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0)), "cells": None}
+        self.__dict__ = state | {"rows": state["rows"].astype(np.int32), "term": np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0)), "column": None}
 
     def _open(self) -> None:
-        """Find the cells: the postings of one term in one block, with their greatest weight. Each process does so itself, as they are larger than the postings."""
-        term, blocks = self.term, self.rows // self.block
-        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(term)), bool), (term[1:] != term[:-1]) | (blocks[1:] != blocks[:-1])]))
-        self.starts = np.concatenate([first, [len(term)]])
-        self.cell_block = blocks[first].astype(np.int32)
-        self.most = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
-        self.cells = np.searchsorted(term[first], np.arange(self.terms + 1))
+        """Part the terms. Each process does so itself, as the parts are larger than the postings."""
+        n, starts = len(self.order), np.searchsorted(self.term, np.arange(self.terms + 1))
+        self.starts, frequency = starts[:-1], np.diff(starts)
+        common = np.flatnonzero(frequency > max(self.block, n * COMMON))
+        self.column = np.full(self.terms, -1)
+        self.column[common] = np.arange(len(common))
+        self.rare = np.where(self.column < 0, frequency, 0)
+        p = np.flatnonzero(self.column[self.term] >= 0)
+        p = p[np.argsort(self.rows[p], kind="stable")]
+        rows, self.columns, self.held = self.rows[p], self.column[self.term[p]], self.weights[p]
+        self.begin = np.searchsorted(rows, np.arange(n + 1))
+        self.lengths = np.sqrt(np.bincount(rows, self.held**2, n))
+        self.most = np.zeros((len(common), self.blocks))
+        np.maximum.at(self.most, (self.columns, rows // self.block), self.held)
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k nearest as (cosine, example), best first, equal ones by number of the example; without cosines of 0."""
-        if self.cells is None:
+        if self.column is None:
             self._open()
-        cells = _runs(self.cells[terms], self.cells[terms + 1] - self.cells[terms])
-        of = np.repeat(weights, self.cells[terms + 1] - self.cells[terms])
-        bounds = np.bincount(self.cell_block[cells], of * self.most[cells], self.blocks)
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        wanted = self.cell_block[cells]
-        scores, found = np.zeros(0), np.zeros(0, np.int64)
-        at, step = 0, 4
-        while at < len(order) and not (len(scores) >= k and bounds[order[at]] < scores[k - 1] - 1e-11):
-            opened = np.zeros(self.blocks, bool)
-            opened[order[at : at + step]] = True
-            some = opened[wanted]
-            first = self.starts[cells[some]]
-            n = self.starts[cells[some] + 1] - first
-            postings = _runs(first, n)
-            sums = np.bincount(self.rows[postings], np.repeat(of[some], n) * self.weights[postings], len(self.order))
-            rows = np.flatnonzero(sums)
-            scores, found = np.concatenate([scores, np.round(sums[rows], 12)]), np.concatenate([found, self.order[rows]])
-            best = np.lexsort((found, -scores))[:k]
-            scores, found = scores[best], found[best]
+        n, rare = len(self.order), self.rare[terms]
+        postings = _runs(self.starts[terms], rare)
+        sums = np.bincount(self.rows[postings], np.repeat(weights, rare) * self.weights[postings], n)
+        column = self.column[terms]
+        some = column >= 0
+        wanted = np.zeros(len(self.most))
+        wanted[column[some]] = weights[some]
+        in_block = weights[some] @ self.most[column[some]]
+        bounds = sums + np.minimum(np.repeat(in_block, self.block)[:n], np.sqrt(weights[some] @ weights[some]) * self.lengths)
+
+        # the best by rare terms give a cosine that the others have to reach
+        ahead = np.argpartition(-sums, k)[:k] if n > k else np.arange(n)
+        scores, found = self._nearest(self._exact(ahead, sums, wanted), ahead, k)
+        left = bounds > 0
+        left[ahead] = False
+        left = np.flatnonzero(left & (bounds >= (scores[k - 1] - _SLACK if len(scores) >= k else 0)))
+        left = left[np.argsort(-bounds[left], kind="stable")]
+        at, step = 0, 4 * k
+        while at < len(left) and not (len(scores) >= k and bounds[left[at]] < scores[k - 1] - _SLACK):
+            rows = left[at : at + step]
+            scores, found = self._nearest(np.concatenate([scores, self._exact(rows, sums, wanted)]), np.concatenate([found, rows]), k)
             at, step = at + step, 2 * step
-        return list(zip(scores.tolist(), found.tolist(), strict=True))
+        return list(zip(scores.tolist(), self.order[found].tolist(), strict=True))
+
+    def _exact(self, rows: np.ndarray, sums: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        n = self.begin[rows + 1] - self.begin[rows]
+        p = _runs(self.begin[rows], n)
+        common = np.bincount(np.repeat(np.arange(len(rows)), n), wanted[self.columns[p]] * self.held[p], len(rows))
+        return np.round(sums[rows] + common, 12)
+
+    def _nearest(self, scores: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        best = np.lexsort((self.order[rows], -scores))[:k]
+        best = best[scores[best] > 0]
+        return scores[best], rows[best]
 
 
 @dataclass
@@ -342,8 +378,7 @@ def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int,
         for batch in pieces(batches, "text"):
             for text in raw(batch.column("text")):
                 total[-1] += 1
-                for t in vocabulary.counts(text):
-                    total[t] += 1
+                total[vocabulary.counts(text)[0]] += 1
         some = np.flatnonzero(total)
         yield table(pa.schema([("term", pa.int64()), ("n", pa.int64())]), {"term": some, "n": total[some]})
 
