@@ -143,22 +143,24 @@ def _runs(first: np.ndarray, n: np.ndarray) -> np.ndarray:
 class BlockMaxIndex:
     """Exact cosine search over unit vectors of positive weights."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK, measured: list[tuple[np.ndarray, float]] | None = None) -> None:
-        """With `measured`, how often the terms occur and the vectors' lengths, those travel instead of the weights (`weigh_by`)."""
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK, measured: tuple[list[float], list[int]] | None = None) -> None:
+        """With `measured`, the vectors' lengths and leading terms, `vectors` say how often terms occur; the weights come by `weigh_by`, where they are needed."""
         # examples led by one term stand together, so bounds are tight
-        lead = [int(t[np.argmax(w)]) for t, w in vectors]
+        lead = measured[1] if measured else [int(t[np.argmax(w)]) for t, w in vectors]
         self.order = np.array(sorted(range(len(vectors)), key=lambda i: (lead[i], len(vectors[i][0]), i)), np.int64)
         self.block, self.blocks, self.terms = block, -(-len(vectors) // block), terms
         rows = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(vectors[i][0]) for i in self.order])
         term = np.concatenate([vectors[i][0] for i in self.order], dtype=np.int32, casting="same_kind") if vectors else np.zeros(0, np.int32)
         by_term = np.argsort(term, kind="stable").astype(np.int32)  # rows stay in order
         self.rows, self.term = rows[by_term], term[by_term]
-        self.weights = np.concatenate([vectors[i][1] for i in self.order])[by_term] if vectors else np.zeros(0)
-        self.times = self.sizes = None
-        if measured is not None and vectors:
-            times = np.concatenate([measured[i][0] for i in self.order])
-            self.times = times.astype(np.min_scalar_type(times.max(initial=1)))[by_term]
-            self.sizes = np.array([measured[i][1] for i in self.order])
+        del rows, term
+        self.weights = self.times = self.sizes = None
+        held = np.concatenate([vectors[i][1] for i in self.order]) if vectors else np.zeros(0)
+        if measured and vectors:
+            self.times = held.astype(np.min_scalar_type(held.max(initial=1)))[by_term]
+            self.sizes = np.array([measured[0][i] for i in self.order])
+        else:
+            self.weights = held[by_term]
         self.column: np.ndarray | None = None
 
     def weigh_by(self, idf: np.ndarray) -> None:
@@ -235,7 +237,7 @@ class BlockMaxIndex:
 @dataclass
 class Model:
     vocabulary: Vocabulary
-    index: BlockMaxIndex
+    index: BlockMaxIndex | None
     labels: np.ndarray
     keys: list
     without_terms: float
@@ -313,10 +315,12 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     used = [i for i in order if len(numbers[i])]
     share = sum(y) / len(y) if y else 0.1
     without = (sum(plain) + share) / (len(plain) + 1)
-    found = [(numbers[i], weigh(times[i], vocabulary.idf[numbers[i]], sizes[i])) for i in used]
-    index = BlockMaxIndex(found, max(1, len(vocabulary.hashes)), measured=[(times[i], sizes[i]) for i in used])
-    del rows, numbers, times, found
-    model = Model(vocabulary, index, np.array([y[i] for i in used], np.float64), [keys[i] for i in used], without, None, k, shared=(words, context.broadcast(index)))
+    lead = [int(numbers[i][np.argmax(weigh(times[i], vocabulary.idf[numbers[i]], sizes[i]))]) for i in used]
+    index = BlockMaxIndex([(numbers[i], times[i]) for i in used], max(1, len(vocabulary.hashes)), measured=([sizes[i] for i in used], lead))
+    del rows, numbers, times
+    sent = context.broadcast(index)
+    del index
+    model = Model(vocabulary, None, np.array([y[i] for i in used], np.float64), [keys[i] for i in used], without, None, k, shared=(words, sent))
     if used:
         votes = _votes_of_others(written, model, {marks[i]: at for at, i in reversed(list(enumerate(used)))})
         own = np.array([votes[marks[i], y[i]] for i in used])
