@@ -82,7 +82,7 @@ class Counter:
             for part in self.parts(text):
                 held.append(part)
                 owners.append(i)
-                size += len(part)
+                size += len(part) if part.isascii() else len(part.encode())
                 if size >= limit:
                     flush()
                     size = 0
