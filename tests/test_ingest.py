@@ -165,6 +165,22 @@ def test_compaction_in_place_rewrites_crowded_partitions_once(spark, tmp_path):
     assert rows(spark.read.parquet(path), "id", "x") == [(1, 1.0), (2, 2.0), (3, 3.0)]
 
 
+def test_compacted_files_are_no_larger_than_their_parts(spark, tmp_path):
+    path = str(tmp_path / "h")
+    hour = F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.xxhash64("id"), F.lit(300)) * 3600)
+    df = spark.range(60_000).select("id", hour.alias("event_time"), F.round(F.rand(1) * 500_000, 2).alias("x"))
+    df = df.withColumns({c: F.col("event_time") + F.make_dt_interval(secs=F.col("id")) for c in ("write_time", "api_invocation_time")})
+    df = df.withColumn("is_deleted", F.lit(False))
+    fg = FeatureGroup.from_frame("g", df, "id", "event_time")
+    for n in range(3):
+        S.write_offline(df.where(F.col("id") % 3 == n), fg, path, stamped=True, grain="year")
+    before = S.partition_stats(spark, path).first()
+    assert before.file_count == 3 and I.compact_offline(spark, path, ["year"]) == 1
+    after = S.partition_stats(spark, path).first()
+    assert after.file_count == 1 and after.total_size <= before.total_size
+    assert spark.read.parquet(path).drop("year").exceptAll(df).isEmpty() and spark.read.parquet(path).count() == 60_000
+
+
 def test_feature_added_later_is_null_in_older_rows(spark, tmp_path):
     df, fg = history(spark, [(1, 1, 1.0, 1, 1, False)])
     off, on = str(tmp_path / "off"), str(tmp_path / "on")

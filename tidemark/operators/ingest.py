@@ -332,23 +332,27 @@ def hard_delete_offline(spark: SparkSession, path: str, fg: FeatureGroup, keys:
     return values + rewrite_partitions(spark, path, keys, markers, without_markers)
 
 
-def compact_offline(spark: SparkSession, path: str, keys: Sequence[str], target_bytes: int = TARGET_BYTES) -> int:
+def compact_offline(spark: SparkSession, path: str, keys: Sequence[str], target_bytes: int = TARGET_BYTES, order: Sequence[str] | None = None) -> int:
     """Merge the small files of a partitioned history, rewriting only partitions with too many files.
 
     File sizes follow spark.sql.adaptive.advisoryPartitionSizeInBytes. Returns
-    the number of partitions rewritten; a second run finds none.
+    the number of partitions rewritten; a second run finds none. Rows of a file are sorted by
+    `order`, by default the times in the table's order: dictionaries of merged files are larger, and
+    without an order of the rows a merged file may be larger than its parts.
     """
     check_layout(spark, path, keys)
     stats = partition_stats(spark, path)
     crowded = stats.where(F.col("file_count") > F.ceil(F.col("total_size") / target_bytes))
     types = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+    if order is None:
+        order = [c for c, t in types.items() if isinstance(t, (T.TimestampType, T.TimestampNTZType)) and c not in keys]
     types = {k: T.StringType() if isinstance(t, T.NullType) else t for k, t in types.items()}  # only nulls so far
     values = []
     for k in keys:
         value = F.regexp_extract("partition", f"(?:^|/){k}=([^/]+)", 1)
         values.append(F.when(value != DEFAULT_PARTITION, F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))).cast(types[k]).alias(k))
     touched = durable(crowded.select(*values), "touched")
-    return rewrite_partitions(spark, path, keys, touched, lambda rows: rows)
+    return rewrite_partitions(spark, path, keys, touched, lambda rows: rows, order=order)
 
 
 def compact_stream(spark: SparkSession, path: str, keys: Sequence[str], fanout: int = 2) -> None:
@@ -425,8 +429,9 @@ def rewrite_partitions(
     touched: DataFrame,
     change: Callable[[DataFrame], DataFrame],
     schema: T.StructType | None = None,
+    order: Sequence[str] = (),
 ) -> int:
-    """Replace the content of some partitions by a change of it.
+    """Replace the content of some partitions by a change of it, in files sorted by `order`.
 
     The new content is written to the shared folder first, so nothing being read
     is overwritten, and a copy outlives a failed replacement. A partition left
@@ -438,7 +443,9 @@ def rewrite_partitions(
     history = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     inside = history.join(touched, [history[k].eqNullSafe(touched[k]) for k in keys], "left_semi")
     staged = durable(change(inside), "rewritten")
-    writer = staged.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    placed = staged.hint("rebalance", *keys)
+    placed = placed.sortWithinPartitions(*keys, *order) if order else placed
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).parquet(path)
     # Dynamic overwrite leaves alone a partition that no row remains in.
     left = staged.select(*keys).distinct()
