@@ -99,6 +99,19 @@ def test_replay_after_stream_compaction(spark, tmp_path):
     assert len(wanted) == 100 and len(I.list_folders(spark, f"{root}/off")) == 2  # merged, and the newest batch
 
 
+def test_stream_batches_of_any_sizes_are_merged(spark, tmp_path):
+    path = str(tmp_path / "off")
+    noise = spark.range(200_000).select("id", F.rand(1).alias("x"), F.lit(1).alias("day"))  # above the first size class
+    for n, part in enumerate((noise, noise.limit(1), noise.limit(2))):
+        part.coalesce(1).write.partitionBy("day").parquet(f"{path}/batch=w.{n}")
+    I.compact_stream(spark, path, ["day"])
+    folders = sorted(f.rsplit("/", 1)[1].split(".")[0] for f in I.list_folders(spark, path))
+    assert folders == ["batch=merged", "batch=w"]  # the newest batch stays
+    assert read_ingested(spark, path).count() == 200_003
+    I.compact_stream(spark, path, ["day"])  # a merged folder waits for others of its size
+    assert len(I.list_folders(spark, path)) == 2
+
+
 def test_size_tiers():
     sizes = {f"d{i}": 10 for i in range(3)}
     assert I.size_tiers(sizes, 4, 100) == []

@@ -359,7 +359,7 @@ def compact_stream(spark: SparkSession, path: str, keys: Sequence[str], fanout:
     """Merge batch folders of a streamed history into one, partitioned by the keys.
 
     A stream that lost its last commit writes that micro-batch again, into the
-    same folder, so each writer's newest batch stays as it is. Folders merged
+    same folder, so each writer's newest batch stays as it is. All other batches are merged, of whatever sizes; folders merged
     before are merged again only in size tiers, as online deltas are. The merged folder is written before the old
     ones go, in the shared folder first. Readers should not run between, as they would see rows twice.
     """
@@ -370,7 +370,11 @@ def compact_stream(spark: SparkSession, path: str, keys: Sequence[str], fanout:
         if number is not None:
             newest[writer] = max(number, newest.get(writer, number))
     done = {f: tree for f, tree in batches.items() if newest.get(folder_batch(f)[0]) != folder_batch(f)[1] or folder_batch(f)[1] is None}
-    for group in size_tiers({f: sum(size for _, _, size in tree) for f, tree in done.items()}, fanout):
+    fresh = sorted(f for f in done if folder_batch(f)[1] is not None)
+    if len(fresh) < 2:  # a single batch goes with merged folders of its size
+        fresh = []
+    tiers = size_tiers({f: sum(size for _, _, size in tree) for f, tree in done.items() if f not in fresh}, fanout)
+    for group in [*([fresh] if fresh else []), *tiers]:
         rows = spark.read.option("basePath", path).parquet(*group).drop("batch")
         staged = durable(rows, "merged")
         staged.hint("rebalance", *keys).write.partitionBy(*keys).parquet(f"{path}/batch=merged.{uuid.uuid4().hex}")
