@@ -112,3 +112,23 @@ def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
 def test_two_kinds_of_a_node(spark):
     frame = O.edges_frame(spark, [("a", "x", "b", "y"), ("b", "z", "c", "y"), ("q", "x", "c", "w"), ("a", "x", "q", "x")])
     assert rows(O.reach(frame, "a", "down")) == [("b", "y", 1), ("c", "w", 2), ("c", "y", 2), ("q", "x", 1)]
+
+
+def test_steps_move_nodes_and_not_edges(spark, monkeypatch):
+    plans, plain = [], O.durable
+
+    def written(df, label="stage"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, label)
+
+    monkeypatch.setattr(O, "durable", written)
+    frame = O.edges_frame(spark, [(f"n{i}", "k", f"n{i + 1}", "k") for i in range(5)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert O.reach(frame, "n0", "down").count() == 5
+        tables = spark.catalog.listTables()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert all("hashpartitioning(src#" not in p for p in plans) and all("Bucketed: true" in p for p in plans)
+    assert not [t for t in tables if t.name.startswith("hop_")]

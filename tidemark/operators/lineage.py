@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import durable
+from tidemark.session import durable, scratch_path
 
 # The kinds of node, from upstream to downstream.
 KINDS = ("source", "processing", "feature_group", "training", "model", "endpoint")
@@ -58,7 +59,8 @@ def reach(edges: DataFrame, start: str, direction: str, max_depth: int | None =
     """Nodes within ``max_depth`` steps of a node, by default at any distance, with their kind and smallest depth.
 
     The first six steps, more than most lineages have, are followed edge by edge from
-    the nodes found last, three to a job. What lies deeper is found by path doubling over the edges
+    the nodes found last, three to a job. The edges are bucketed by their near end once, so only nodes
+    move in the steps. What lies deeper is found by path doubling over the edges
     between nodes not reached yet: each round takes paths twice as long as the one before, so
     rounds grow with the logarithm of the depth. Cycles end, as only nearest finds count. Each
     round is written to the shared folder: the next starts from files.
@@ -75,7 +77,29 @@ def reach(edges: DataFrame, start: str, direction: str, max_depth: int | None =
         raise ValueError(f"direction must be 'up', 'down' or 'both', not {direction!r}")
     hop = hop.where((F.col("node") != start) & (F.col("at") != F.col("node")))
     most = float("inf") if max_depth is None else max_depth
-    found, frontier, depth = None, edges.sparkSession.range(1).select(F.lit(start).alias("node")), 0
+    first = hop.where(F.col("at") == start)
+    if most < 1 or first.isEmpty():
+        return _nothing(hop)
+    if most == 1:
+        return durable(first.select("node", "kind").distinct().withColumn("depth", F.lit(1)), "reach")
+    stored = _bucketed(hop)
+    try:
+        return _followed(edges.sparkSession.table(stored), start, most)
+    finally:
+        edges.sparkSession.sql(f"drop table {stored}")  # its files are scratch
+
+
+def _bucketed(hop: DataFrame) -> str:
+    """The edges as a table bucketed by their near end, one sorted file to a bucket."""
+    spark = hop.sparkSession
+    name, buckets = f"hop_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = hop.repartition(buckets, "at").write.bucketBy(buckets, "at").sortBy("at")
+    rows.option("path", scratch_path(spark, "hop")).saveAsTable(name)
+    return name
+
+
+def _followed(hop: DataFrame, start: str, most: float) -> DataFrame:
+    found, frontier, depth = None, hop.sparkSession.range(1).select(F.lit(start).alias("node")), 0
     for _ in range(NEAR):
         new, last, far = None, frontier, min(depth + HOPS, most)
         while depth < far:
@@ -84,7 +108,7 @@ def reach(edges: DataFrame, start: str, direction: str, max_depth: int | None =
             step = last.withColumn("depth", F.lit(depth))
             new = step if new is None else new.unionByName(step)
         if new is None:
-            return found if found is not None else _nothing(hop)
+            return found
         new = _nearest(new)
         if found is not None:
             new = new.join(found.select("node"), "node", "left_anti")
