@@ -4,6 +4,7 @@ import random
 import re
 from datetime import timedelta
 
+import pyarrow as pa
 import pytest
 from helpers import DAY0, at, history, rows
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from tidemark.skew import Skew
 from tidemark.sources import layout as L
 from tidemark.sources.files import write_offline
 from tidemark.streaming.ingest import file_stream, ingest_stream, read_ingested
+from tidemark.streaming import state as stream_state
 from tidemark.streaming.state import ROCKSDB, upsert_stream
 
 
@@ -65,6 +67,16 @@ def test_state_keeps_the_newest_in_any_order(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != ROCKSDB["spark.sql.streaming.stateStore.providerClass"]
 
 
+def test_tasks_drop_rows_the_state_would_not_keep(spark, tmp_path):
+    root = str(tmp_path)
+    put(spark, f"{root}/in", [(i % 3, float(h), float(h)) for h in range(200) for i in range(3)] + [(1, 199.0, -1.0), (9, 0.0, 9.0)])
+
+    assert drain(spark, root) == [(0, 199.0), (1, 199.0), (2, 199.0), (9, 9.0)]
+    parts = pa.table({"id": [1, 2, 1, 2, 1], "t": pa.array([1, 5, 3, 5, 2], pa.timestamp("us")), "x": [0, 1, 2, 3, 4]}).to_batches(max_chunksize=2)
+    kept = [r for most in (2, 3, 100) for b in [stream_state.newest_of_task(iter(parts), "id", "t", most)] for r in [pa.Table.from_batches(list(b), parts[0].schema)["x"].to_pylist()]]
+    assert all({1, 2, 3} <= set(k) for k in kept) and kept[-1] == [1, 2, 3]
+
+
 def test_state_expires_by_event_time_and_comes_back(spark, tmp_path):
     root, options = str(tmp_path), {"ttl": timedelta(hours=5), "delay": "0 seconds"}
     put(spark, f"{root}/in", [(1, 0, 1.0), (2, 4, 2.0)])
