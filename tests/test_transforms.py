@@ -3,6 +3,9 @@ from collections import Counter
 
 import pytest
 from helpers import rows
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
@@ -142,3 +145,32 @@ def test_foreign_model_and_decision(spark):
     scored = N.score_foreign(df, lambda: 1.0, lambda m, x: x["a"] + m * x["b"])
     decided = N.decide(scored, "prediction_score", 0.65, "standard", "discount")
     assert rows(decided, "id", "decision") == [(1, "standard"), (2, "discount")]
+
+
+def test_training_passes_over_distinct_rows(spark, monkeypatch):
+    seen = []
+
+    class Trees(N.GBTClassifier):
+        def _fit(self, dataset):
+            seen.append(dataset.count())
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(N, "GBTClassifier", Trees)
+    a, b = F.pmod(F.xxhash64("id"), F.lit(7)), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3))
+    df = spark.range(5000).select("id", F.when(a < 6, a).alias("a"), b.cast("double").alias("b"), F.lit(1).alias("c"))
+    df = df.withColumn("y", ((F.coalesce("a", F.lit(0)) + F.col("b") > 4) != (F.col("id") % 10 == 0)).cast("int"))
+    model = N.train_classifier(df, "y", ["a", "b", "c"], rounds=5)
+    assert seen == [2 * 6 * 3]  # a null is a zero
+    plain = GBTClassifier(labelCol="y", featuresCol="v", maxIter=5, seed=123)
+    rows = VectorAssembler(inputCols=["a", "b", "c"], outputCol="v").transform(df.fillna(0, ["a"]))
+    wanted = plain.fit(rows).transform(rows).select("id", vector_to_array("probability")[1].alias("wanted"))
+    scored = N.score(model, df, ["a", "b", "c"])
+    assert scored.columns == [*df.columns, "prediction_score"] and scored.count() == 5000
+    assert scored.join(wanted, "id").where(F.abs(F.col("prediction_score") - F.col("wanted")) > 1e-6).isEmpty()
+
+
+def test_many_values_are_binned_by_quantiles(spark):
+    df = spark.range(20_000).select((F.col("id") * 1.0).alias("x"), F.lit(None).cast("double").alias("z"), (F.col("id") % 40).alias("w"))
+    x, z, w = N._bin_edges(df.fillna(0, ["z"]), ["x", "z", "w"])
+    assert len(x) == 33 and all(abs(e - 625 * (i + 1)) < 10 for i, e in enumerate(x[1:-1]))
+    assert z == [float("-inf"), 0.0, float("inf")] and len(w) <= 33
