@@ -15,7 +15,7 @@ from tidemark.llm.fmindex import FMIndex
 from tidemark.llm.graph import components
 from tidemark.llm.shingles import bands_for
 from tidemark.llm.substring_dedup import remove_repeats, remove_repeats_from_texts
-from tidemark.llm.suffixes import suffix_array
+from tidemark.llm.suffixes import suffix_array, told_apart
 
 SCHEMA = "doc_id long, text string, key string, r1 int, name int, row int"
 
@@ -109,6 +109,40 @@ def test_nothing_is_cut_where_halves_meet(spark):
     assert got == brute.repeats(docs, 20)
 
 
+def test_hot_anchors_do_not_read_documents_again(spark):
+    rng, docs = random.Random(12), []
+    for i in range(6):
+        shared = noise(rng, 25)
+        docs += [(100 * i + j, noise(rng, 40) + shared + noise(rng, 40)) for j in range(8)]
+
+    def rows_read(cap):
+        read = spark.sparkContext.accumulator(0)
+
+        def count(batches):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        table = frame(spark, docs)
+        got = {r[0]: [tuple(r)[1:]] for r in remove_repeats(table.mapInArrow(count, table.schema), length=20, cap=cap).collect()}
+        assert got == brute.repeats(docs, 20)
+        return read.value
+
+    assert rows_read(3) == rows_read(1000) == 3 * len(docs)
+
+
+def test_the_sort_tells_rows_apart():
+    rng = np.random.default_rng(7)
+    for length in (1, 3, 20, 40):
+        base = rng.integers(1, 4, 60)
+        text = np.concatenate([base, [0], base[10:55], [0], rng.integers(1, 4, 50), [0]])
+        sa, apart, told = told_apart(text, length)
+        assert told <= length and sa.tolist() == suffix_array(text, length).tolist()
+        if told:
+            heads = [text[i : i + told].tolist() for i in sa]
+            assert apart.tolist() == [True, *(a != b for a, b in zip(heads, heads[1:]))]
+
+
 def test_added_bytes():
     rng = random.Random(4)
     for _ in range(200):
