@@ -313,3 +313,37 @@ def test_address_parts():
     assert L.address_parts("https://m.shop.example.co.de:8080/fr/25#top") == ("m.shop.example.co.de", "co.de", "de", "fr")
     assert L.address_parts("http://en.example.org/") == ("en.example.org", "example.org", "org", "en")
     assert L.address_parts(None) == ("", "", "", "") == L.address_parts("http://[bad")
+
+
+def test_document_frequencies_count_a_term_once_a_document(spark):
+    words = [b"alpha", b"alphabet", b"alphabets", b"beta"]
+    terms = sorted({X.hash_of(t, 0) for w in words for t in X.terms_of(w)})
+    vocabulary = X.Vocabulary(np.array(terms, np.uint64))
+    texts = ["alphabet alphabets alphabet beta", "Alpha. alphabets", "", None, "other"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    n, found = X._document_frequencies(docs, vocabulary)
+    assert n == len(texts)
+    wanted = [0] * len(terms)
+    for text in texts:
+        for at in vocabulary.counts((text or "").encode())[0]:
+            wanted[at] += 1
+    assert found.tolist() == wanted and max(wanted) == 2
+
+
+def test_bounds_in_single_precision_lose_no_neighbour():
+    rng = np.random.default_rng(9)
+    vectors = []
+    for _ in range(700):
+        t = np.unique(rng.integers(0, 40, 12))
+        w = rng.random(len(t)) * 10.0 ** rng.integers(-9, 1, len(t))
+        vectors.append((t, w / np.sqrt(w @ w)))
+    index = X.BlockMaxIndex(vectors, 40)
+    dense = np.zeros((700, 40))
+    for row, (t, w) in zip(dense, vectors):
+        row[t] = w
+    for t, w in vectors[::35]:
+        cosines = np.round(dense[:, t] @ w, 12)
+        best = sorted(((-c, i) for i, c in enumerate(cosines.tolist()) if c > 0))[:10]
+        got = index.search(t, w, 10)
+        assert np.allclose([s for s, _ in got], [-c for c, _ in best], rtol=0, atol=1e-11)
+        assert all(abs(cosines[i] - s) <= 1e-11 for s, i in got)

@@ -52,6 +52,8 @@ PREFIX = 5
 COMMON = 1 / 32
 #: By how much a bound may miss a cosine that it equals.
 _SLACK = 1e-11
+#: More than what sums of single precision can fall short by.
+_ROUNDED = 1.001
 _MEMORY = 400_000
 
 
@@ -103,9 +105,11 @@ class Vocabulary:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         numbers = self.places(words.keys()).ravel()
         known = numbers >= 0
-        terms, at = np.unique(numbers[known], return_inverse=True)
         times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), 2)[known]
-        return terms, np.bincount(at, times, len(terms)).astype(np.int64)
+        order = np.argsort(numbers[known])
+        terms, times = numbers[known][order], times[order]
+        first = np.flatnonzero(np.diff(terms, prepend=-1))
+        return terms[first], np.add.reduceat(times, first) if len(first) else times
 
     def measured(self, text: bytes) -> tuple[np.ndarray, np.ndarray, float]:
         """Terms in order, how often each occurs, and the length of their vector."""
@@ -190,9 +194,10 @@ class BlockMaxIndex:
         p = p[np.argsort(self.rows[p], kind="stable")]
         rows, self.columns, self.held = self.rows[p], self.column[self.term[p]], self.weights[p]
         self.begin = np.searchsorted(rows, np.arange(n + 1))
-        self.lengths = np.sqrt(np.bincount(rows, self.held**2, n))
-        self.most = np.zeros((len(common), self.blocks))
-        np.maximum.at(self.most, (self.columns, rows // self.block), self.held)
+        self.lengths = np.sqrt(np.bincount(rows, self.held**2, self.blocks * self.block)).reshape(self.blocks, self.block)
+        most = np.zeros((len(common), self.blocks))
+        np.maximum.at(most, (self.columns, rows // self.block), self.held)
+        self.most = np.nextafter(most.astype(np.float32), np.float32(np.inf))  # never less
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k nearest as (cosine, example), best first, equal ones by number of the example; without cosines of 0."""
@@ -200,20 +205,23 @@ class BlockMaxIndex:
             self._open()
         n, rare = len(self.order), self.rare[terms]
         postings = _runs(self.starts[terms], rare)
-        sums = np.bincount(self.rows[postings], np.repeat(weights, rare) * self.weights[postings], n)
+        held = self.weights.take(postings)
+        held *= np.repeat(weights, rare)
+        sums = np.bincount(self.rows.take(postings), held, n)
         column = self.column[terms]
         some = column >= 0
         wanted = np.zeros(len(self.most))
         wanted[column[some]] = weights[some]
-        in_block = weights[some] @ self.most[column[some]]
-        bounds = sums + np.minimum(np.repeat(in_block, self.block)[:n], np.sqrt(weights[some] @ weights[some]) * self.lengths)
+        in_block = (weights[some].astype(np.float32) @ self.most.take(column[some], 0)) * _ROUNDED
+        bounds = np.minimum(in_block[:, None], np.sqrt(weights[some] @ weights[some]) * self.lengths).ravel()[:n]
+        bounds += sums
 
         # the best by rare terms give a cosine that the others have to reach
         ahead = np.argpartition(-sums, k)[:k] if n > k else np.arange(n)
         scores, found = self._nearest(self._exact(ahead, sums, wanted), ahead, k)
-        left = bounds > 0
-        left[ahead] = False
-        left = np.flatnonzero(left & (bounds >= (scores[k - 1] - _SLACK if len(scores) >= k else 0)))
+        bounds[ahead] = 0
+        left = np.flatnonzero(bounds >= scores[k - 1] - _SLACK if len(scores) >= k else bounds > 0)
+        left = left[bounds[left] > 0]
         left = left[np.argsort(-bounds[left], kind="stable")]
         at, step = 0, 4 * k
         while at < len(left) and not (len(scores) >= k and bounds[left[at]] < scores[k - 1] - _SLACK):
@@ -225,7 +233,9 @@ class BlockMaxIndex:
     def _exact(self, rows: np.ndarray, sums: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         n = self.begin[rows + 1] - self.begin[rows]
         p = _runs(self.begin[rows], n)
-        common = np.bincount(np.repeat(np.arange(len(rows)), n), wanted[self.columns[p]] * self.held[p], len(rows))
+        held = self.held.take(p)
+        held *= wanted.take(self.columns.take(p))
+        common = np.bincount(np.repeat(np.arange(len(rows)), n), held, len(rows))
         return np.round(sums[rows] + common, 12)
 
     def _nearest(self, scores: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -382,7 +392,10 @@ def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int,
         for batch in pieces(batches, "text"):
             for text in raw(batch.column("text")):
                 total[-1] += 1
-                total[vocabulary.counts(text)[0]] += 1
+                words = set(split_words(text))
+                if words:
+                    numbers = vocabulary.places(words)
+                    total[numbers[numbers >= 0]] += 1  # once for each term, however many words have it
         some = np.flatnonzero(total)
         yield table(pa.schema([("term", pa.int64()), ("n", pa.int64())]), {"term": some, "n": total[some]})
 
